@@ -1,7 +1,7 @@
 """Column builders (no DataFrame in, Column out)."""
 
 from homesense.functions.scalars import (array_text, bool_words, center_angle, clip, device_type_text,
-                                         map_replace, map_strict, not_blank_keep_null, not_in_keep_null,
+                                         map_replace, map_strict, not_blank_keep_null, np_round, not_in_keep_null,
                                          round_half, round_quarter, row_total, safe_ratio)
 from homesense.functions.time import (angle_to_hms_text, between_time, bin_start, day_start,
                                       duration_hours, duration_seconds, dst_shift_hours, dst_windows,

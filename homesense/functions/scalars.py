@@ -11,6 +11,13 @@ from pyspark.sql import functions as F
 from homesense.functions.time import c
 
 
+def np_round(x, digits: int = 0) -> Column:
+    """NumPy ``round``: scale, round half to even, scale back (SC7). Spark's ``bround(x, d)`` rounds the
+    decimal text of x instead and differs on values such as 36.855."""
+    f = 10.0 ** digits
+    return F.bround(c(x) * f, 0) / f
+
+
 def round_quarter(x) -> Column:
     """Round to the nearest 0.25, ties to even (SC5)."""
     return F.bround(c(x) * 4, 0) / 4

@@ -2,15 +2,22 @@
 
 A plain ``Window.partitionBy(patient)`` sends every row of one patient to one task; one patient holding a
 third of all rows would then sort a third of the data in one task. Here each entity's sequence is cut into
-time chunks (a column monotone in time, default one day):
-
-* shifts (lead/lag by up to K rows) are computed inside ``(keys, chunk)`` windows; only the first and last
-  K rows of every chunk can need a neighbour from another chunk. Those border rows (2K per chunk, so
-  bounded by the time span, not by the row count) are re-windowed per entity and unioned back. No join of
-  the large side.
-* running sums are local running sums plus the exclusive prefix of per-chunk totals (one row per chunk).
-
-``chunk_seconds=None`` gives the single-window form; both forms return identical rows (tested).
+time chunks (a column monotone in time, default one day) and every plan is a single stream: the input is
+consumed once, so chained operators keep a linear plan (no self-join or self-union whose upstream would be
+recomputed per branch).
+
+* shifts (lead/lag by up to K rows): window over ``(keys, chunk)``; only the first and last K rows of a
+  chunk can need a neighbour from another chunk. A second window is partitioned by ``(keys, part)`` where
+  part is the chunk for interior rows and -1 for border rows, so the border rows of all chunks of a key
+  meet in one partition (2K rows per chunk: bounded by the time span, not by the row count) and take their
+  cross-chunk neighbours there. Two exchanges.
+* running sums: local running sum and chunk total per ``(keys, chunk)``; the last row of every chunk also
+  emits a summary row; summaries of a key meet in partition ``(keys, -1)`` and get the exclusive prefix
+  of chunk totals; a third window over ``(keys, chunk)`` hands that offset to the chunk's rows. Three
+  exchanges, one row per chunk in the per-key partition.
+
+``chunk_seconds=None`` gives the single-window form (one exchange, hot keys stay whole); both forms return
+identical rows (tested).
 """
 
 from __future__ import annotations
@@ -24,7 +31,7 @@ from homesense.functions.time import c, epoch_micros
 
 DAY = 86_400
 
-_CHUNK, _RN, _CNT = "__chunk", "__rn", "__cnt"
+_CHUNK, _RN, _CNT, _PART = "__chunk", "__rn", "__cnt", "__part"
 
 
 def _order(ts: str, tiebreak: str | Sequence[str] | None) -> list[Column]:
@@ -61,22 +68,21 @@ def with_shifts(df: DataFrame, keys: Sequence[str], ts: str, tiebreak, shifts: M
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.select("*", *[_shift(v, k).over(w).alias(n) for n, (v, k) in shifts.items()])
 
+    base_cols = df.columns
     big_k = max(abs(k) for _, k in shifts.values())
     d = df.withColumn(_CHUNK, chunk_of(ts, chunk_seconds))
     wc = Window.partitionBy(*keys, _CHUNK).orderBy(*order)
     wall = wc.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     d = d.select("*", F.row_number().over(wc).alias(_RN), F.count(F.lit(1)).over(wall).alias(_CNT),
-                 *[_shift(v, k).over(wc).alias(n) for n, (v, k) in shifts.items()])
+                 *[_shift(v, k).over(wc).alias(f"__l_{i}") for i, (v, k) in enumerate(shifts.values())])
     rn, cnt = F.col(_RN), F.col(_CNT)
-    inner = d.where((rn > big_k) & (rn <= cnt - big_k))
-    border = d.where((rn <= big_k) | (rn > cnt - big_k))
-    wb = Window.partitionBy(*keys).orderBy(*order)
-    fixed = []
-    for n, (v, k) in shifts.items():
+    d = d.withColumn(_PART, F.when((rn <= big_k) | (rn > cnt - big_k), F.lit(-1)).otherwise(F.col(_CHUNK)))
+    wp = Window.partitionBy(*keys, _PART).orderBy(*order)
+    out = []
+    for i, (n, (v, k)) in enumerate(shifts.items()):
         in_chunk = (rn + k <= cnt) if k > 0 else (rn + k >= 1)
-        fixed.append(F.when(in_chunk, F.col(n)).otherwise(_shift(v, k).over(wb)).alias(n))
-    border = border.select(*[x for x in d.columns if x not in shifts], *fixed)
-    return inner.unionByName(border).drop(_CHUNK, _RN, _CNT)
+        out.append(F.when(in_chunk, F.col(f"__l_{i}")).otherwise(_shift(v, k).over(wp)).alias(n))
+    return d.select(*base_cols, *out)
 
 
 def with_running_sum(df: DataFrame, keys: Sequence[str], ts: str, tiebreak, value, out: str,
@@ -87,12 +93,21 @@ def with_running_sum(df: DataFrame, keys: Sequence[str], ts: str, tiebreak, valu
     if chunk_seconds is None:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(out, F.sum(c(value)).over(w))
+    base_cols = df.columns
     d = df.withColumn(_CHUNK, chunk_of(ts, chunk_seconds)).withColumn("__v", c(value))
-    wc = Window.partitionBy(*keys, _CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    d = d.withColumn("__local", F.sum("__v").over(wc))
-    totals = d.groupBy(*keys, _CHUNK).agg(F.sum("__v").alias("__t"))
-    wt = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select(*keys, _CHUNK, F.coalesce(F.sum("__t").over(wt), F.lit(0)).alias("__off"))
-    return (d.join(totals, on=[*keys, _CHUNK], how="inner")
-            .withColumn(out, F.col("__local") + F.col("__off"))
-            .drop(_CHUNK, "__v", "__local", "__off"))
+    wc = Window.partitionBy(*keys, _CHUNK).orderBy(*order)
+    d = d.select("*", F.sum("__v").over(wc.rowsBetween(Window.unboundedPreceding, 0)).alias("__local"),
+                 F.sum("__v").over(wc.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("__tot"),
+                 F.row_number().over(wc).alias(_RN),
+                 F.count(F.lit(1)).over(wc.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias(_CNT))
+    # kind 0 = data row, kind 1 = the chunk's summary row (emitted once, from its last row)
+    d = d.withColumn("__kind", F.explode(F.when(F.col(_RN) == F.col(_CNT), F.array(F.lit(0), F.lit(1)))
+                                         .otherwise(F.array(F.lit(0)))))
+    is_sum = F.col("__kind") == 1
+    d = d.withColumn(_PART, F.when(is_sum, F.lit(-1)).otherwise(F.col(_CHUNK)))
+    w2 = Window.partitionBy(*keys, _PART).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    d = d.withColumn("__off", F.when(is_sum, F.coalesce(F.sum(F.when(is_sum, F.col("__tot"))).over(w2),
+                                                        F.lit(0).cast(d.schema["__tot"].dataType))))
+    w3 = Window.partitionBy(*keys, _CHUNK)
+    d = d.withColumn("__off", F.max("__off").over(w3))
+    return d.where(F.col("__kind") == 0).select(*base_cols, (F.col("__local") + F.col("__off")).alias(out))
