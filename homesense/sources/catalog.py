@@ -90,7 +90,8 @@ def incremental_append(stored: DataFrame, fresh: DataFrame, ts: str = "start_dat
 
 
 def incremental_derive(stored: DataFrame, parents: dict[str, DataFrame], recipe: Callable[..., DataFrame],
-                       keys: Sequence[str], ts: str = "start_date", lookback: str | None = None) -> DataFrame:
+                       keys: Sequence[str], ts: str = "start_date", parent_ts: str | None = None,
+                       lookback: str | None = None) -> DataFrame:
     """Derived update (SRC13, fixing [Q-20]): each parent is cut at the last stored start **per key**
     (inclusive, minus an optional look-back), the recipe reruns on that slice, the stored rows before the
     cut are kept and the union is de-duplicated. With a look-back at least as long as the recipe's
@@ -101,11 +102,12 @@ def incremental_derive(stored: DataFrame, parents: dict[str, DataFrame], recipe:
     cut = stored.groupBy(*keys).agg(F.max(ts).alias("__cut"))
     if lookback:
         cut = cut.withColumn("__cut", F.col("__cut") - F.expr(f"INTERVAL {lookback}"))
+    pts = parent_ts or ts
     sliced = {}
     for name, p in parents.items():
-        if ts in p.columns and all(k in p.columns for k in keys):
+        if pts in p.columns and all(k in p.columns for k in keys):
             j = p.join(cut, on=list(keys), how="left")
-            sliced[name] = j.where(F.col("__cut").isNull() | (F.col(ts) >= F.col("__cut"))).drop("__cut")
+            sliced[name] = j.where(F.col("__cut").isNull() | (F.col(pts) >= F.col("__cut"))).drop("__cut")
         else:
             sliced[name] = p
     redo = recipe(**sliced)
