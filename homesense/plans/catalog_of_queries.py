@@ -1,6 +1,6 @@
 """Import every query module so the registry is complete."""
 
-from homesense.plans import q_joins, q_resample, q_scalars, q_segments, q_sequences, q_sources  # noqa: F401
+from homesense.plans import q_joins, q_resample, q_scalars, q_segments, q_sequences, q_sources, q_stats  # noqa: F401
 from homesense.plans.registry import REGISTRY
 
 __all__ = ["REGISTRY"]
