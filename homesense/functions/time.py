@@ -148,43 +148,48 @@ def hms_text_to_seconds(text) -> Column:
 # ---------------------------------------------------------------- time zones (SC8-SC11)
 
 
-def _utc_of_local(ts, tz) -> Column:
-    """Read ``ts`` as wall time in ``tz``; return the UTC wall time of that instant.
+def _as_instant(ts) -> Column:
+    """Reinterpret a wall-clock NTZ value as an instant with the same microseconds (no zone involved)."""
+    return F.timestamp_micros(epoch_micros(ts))
 
-    Gap times are resolved with the offset in force before the gap, repeated times with the earlier
-    (summer) offset.
+
+def _tz(tz) -> Column:
+    return F.lit(tz) if isinstance(tz, str) else c(tz)
+
+
+def _utc_micros_of_local(ts, tz) -> Column:
+    """Read ``ts`` as wall time in ``tz``; microseconds of the UTC wall time of that instant.
+
+    ``to_utc_timestamp`` resolves a skipped wall time with the offset before the gap and a repeated one
+    with the earlier (summer) offset, like ``java.time``.
     """
-    return F.convert_timezone(c(tz) if not isinstance(tz, str) else F.lit(tz), F.lit("UTC"), c(ts))
+    return F.unix_micros(F.to_utc_timestamp(_as_instant(ts), _tz(tz)))
 
 
 def localize(ts, tz="Europe/London") -> Column:
-    """UTC reading -> local wall clock, offset looked up by treating the UTC reading as if local.
+    """UTC reading -> local wall clock, offset looked up by treating the UTC reading as if local (SC8).
 
     Repeated hour -> summer offset, skipped hour -> the offset after the gap. ``tz`` is a zone name or
-    a column of zone names.
+    a column of zone names. Independent of the session time zone.
     """
-    tzc = F.lit(tz) if isinstance(tz, str) else c(tz)
-    u = F.convert_timezone(tzc, F.lit("UTC"), c(ts))
-    local_of_u = F.convert_timezone(F.lit("UTC"), tzc, u)
-    return c(ts) + (local_of_u - u)
+    u = _utc_micros_of_local(ts, tz)
+    local_of_u = F.unix_micros(F.from_utc_timestamp(F.timestamp_micros(u), _tz(tz)))
+    return F.timestamp_add("MICROSECOND", local_of_u - u, c(ts))
 
 
 def localize_true(ts, tz="Europe/London") -> Column:
     """Plain UTC -> local conversion (the instant-correct variant)."""
-    tzc = F.lit(tz) if isinstance(tz, str) else c(tz)
-    return F.convert_timezone(F.lit("UTC"), tzc, c(ts))
+    return from_epoch_micros(F.unix_micros(F.from_utc_timestamp(_as_instant(ts), _tz(tz))))
 
 
 def utc_to_local(ts, tz="Europe/London", shift_hours: int = -2) -> Column:
-    """UTC -> local with an hour shift; repeated hour -> summer offset, skipped hour -> offset before."""
-    tzc = F.lit(tz) if isinstance(tz, str) else c(tz)
-    u = F.convert_timezone(tzc, F.lit("UTC"), c(ts))
-    out = c(ts) + (c(ts) - u)
-    return out + F.make_dt_interval(F.lit(0), F.lit(shift_hours)) if shift_hours else out
+    """UTC -> local with an hour shift; repeated hour -> summer offset, skipped hour -> offset before (SC9)."""
+    off = epoch_micros(ts) - _utc_micros_of_local(ts, tz)
+    return F.timestamp_add("MICROSECOND", off + F.lit(shift_hours * 3_600_000_000), c(ts))
 
 
 def epoch_to_local(seconds, tz="Europe/London", shift_hours: int = 0) -> Column:
-    """Epoch seconds -> UTC wall time -> local (as ``utc_to_local``)."""
+    """Epoch seconds -> UTC wall time -> local (as ``utc_to_local``, SC10)."""
     utc = from_epoch_micros((c(seconds) * MICROS_PER_SECOND).cast("long"))
     return utc_to_local(utc, tz, shift_hours)
 

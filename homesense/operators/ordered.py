@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 from homesense.functions.time import c, epoch_micros
 
 DAY = 86_400
+AUTO = "auto"
+CHUNK_CONF = "spark.homesense.sequence.chunkSeconds"
 
 _CHUNK, _RN, _CNT, _PART = "__chunk", "__rn", "__cnt", "__part"
 
@@ -50,18 +52,28 @@ def chunk_of(ts, chunk_seconds: int) -> Column:
     return F.floor(epoch_micros(ts) / F.lit(chunk_seconds * 1_000_000)).cast("long")
 
 
+def resolve_chunk(df: DataFrame, chunk_seconds) -> int | None:
+    """``"auto"`` reads ``spark.homesense.sequence.chunkSeconds`` from the session (default one day;
+    0 or a negative value selects the single-window form)."""
+    if chunk_seconds != AUTO:
+        return chunk_seconds
+    v = int(df.sparkSession.conf.get(CHUNK_CONF, str(DAY)))
+    return v if v > 0 else None
+
+
 def _shift(v, k: int) -> Column:
     return F.lead(c(v), k) if k > 0 else F.lag(c(v), -k)
 
 
 def with_shifts(df: DataFrame, keys: Sequence[str], ts: str, tiebreak, shifts: Mapping[str, tuple],
-                chunk_seconds: int | None = DAY) -> DataFrame:
+                chunk_seconds: int | None | str = AUTO) -> DataFrame:
     """Add ``name = value taken k rows later (k > 0) or earlier (k < 0)`` per key, ordered by (ts, tiebreak).
 
     ``shifts`` maps output name -> (column or name, k).
     """
     keys = require_keys(keys)
     order = _order(ts, tiebreak)
+    chunk_seconds = resolve_chunk(df, chunk_seconds)
     if not shifts:
         return df
     if chunk_seconds is None:
@@ -86,10 +98,11 @@ def with_shifts(df: DataFrame, keys: Sequence[str], ts: str, tiebreak, shifts: M
 
 
 def with_running_sum(df: DataFrame, keys: Sequence[str], ts: str, tiebreak, value, out: str,
-                     chunk_seconds: int | None = DAY) -> DataFrame:
+                     chunk_seconds: int | None | str = AUTO) -> DataFrame:
     """Add ``out`` = running sum of ``value`` (inclusive of the current row) per key in (ts, tiebreak) order."""
     keys = require_keys(keys)
     order = _order(ts, tiebreak)
+    chunk_seconds = resolve_chunk(df, chunk_seconds)
     if chunk_seconds is None:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(out, F.sum(c(value)).over(w))

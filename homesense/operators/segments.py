@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from homesense.functions.scalars import np_round
 from homesense.functions.time import (bin_start, c, day_start, duration_hours, micros_of_day,
                                       noon_day_bin, parse_time_of_day, time_angle)
-from homesense.operators.ordered import DAY, require_keys, with_running_sum, with_shifts
+from homesense.operators.ordered import AUTO, require_keys, with_running_sum, with_shifts
 from homesense.operators.sequences import _no_null_keys
 
 # Edge labels and sleep states as written by the reference recipes.
@@ -30,7 +30,7 @@ def _minute() -> Column:
     return F.make_dt_interval(F.lit(0), F.lit(0), F.lit(1))
 
 
-def presence_edges(df: DataFrame, keys: Sequence[str], ts: str, chunk_seconds: int | None = DAY,
+def presence_edges(df: DataFrame, keys: Sequence[str], ts: str, chunk_seconds: int | None | str = AUTO,
                    label_col: str = "location_name") -> DataFrame:
     """Bed_in / Bed_out edges from per-minute presence counts (``mine_bed_occupancy``, WN7).
 
@@ -58,7 +58,7 @@ def presence_edges(df: DataFrame, keys: Sequence[str], ts: str, chunk_seconds: i
 
 def gap_sessions(df: DataFrame, keys: Sequence[str], start: str = "start_date", end: str = "end_date",
                  gap_seconds: float = 3600, out: str = "period_segments", tiebreak=None,
-                 chunk_seconds: int | None = DAY) -> DataFrame:
+                 chunk_seconds: int | None | str = AUTO) -> DataFrame:
     """Segment id per key: a new segment starts when start - previous end > gap (``segment_periods``,
     WN5). Ids run from 0 within each key, in (start, tiebreak) order."""
     keys = require_keys(keys)
@@ -92,7 +92,7 @@ def bed_habits(bed_in: DataFrame, keys: Sequence[str], seg: str = "period_segmen
 
 
 def mark_periods(sleep: DataFrame, habits: DataFrame, keys: Sequence[str], ts: str = "start_date",
-                 out: str = "period_segments", chunk_seconds: int | None = DAY) -> DataFrame:
+                 out: str = "period_segments", chunk_seconds: int | None | str = AUTO) -> DataFrame:
     """Carry a period id forward over the minute rows: a row whose (key, time) is a habit start opens a
     new period; id = running count of opened periods per key, 0 before the first one (JN8 + WN6)."""
     keys = require_keys(keys)
@@ -181,7 +181,7 @@ def nightly_metrics(periods: DataFrame, keys: Sequence[str], kind: str = NOCTURN
 
 
 def sleep_dailies(sleep: DataFrame, edges: DataFrame, keys: Sequence[str], gap_seconds: float = 3600,
-                  nap_window: tuple[str, str] = ("08:00", "20:00"), chunk_seconds: int | None = DAY) -> DataFrame:
+                  nap_window: tuple[str, str] = ("08:00", "20:00"), chunk_seconds: int | None | str = AUTO) -> DataFrame:
     """Nightly sleep features from minute rows and bed edges (``process_sleep_dailies``, D12)."""
     from homesense.operators.resample import daily_counts_between
     from homesense.operators.sequences import mine_transition

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from homesense.functions.time import bin_start, duration_seconds, epoch_micros
-from homesense.operators.ordered import DAY, require_keys, with_shifts
+from homesense.operators.ordered import AUTO, require_keys, with_shifts
 
 
 def _no_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -29,7 +29,7 @@ def _text(v) -> F.Column:
 
 def transitions(df: DataFrame, keys: Sequence[str], ts: str, value: str,
                 covariates: Sequence[str] | None = None, tiebreak=None,
-                chunk_seconds: int | None = DAY) -> DataFrame:
+                chunk_seconds: int | None | str = AUTO) -> DataFrame:
     """Pair each event with the next one of the same key (``process_transition``, WN1).
 
     Output: keys, start_date, end_date, source, sink, [covariates of the source row], transition 'a>b',
@@ -52,7 +52,7 @@ def transitions(df: DataFrame, keys: Sequence[str], ts: str, value: str,
 
 
 def mine_transition(df: DataFrame, keys: Sequence[str], value: str, ts: str = "start_date",
-                    window: int = 1, tiebreak=None, chunk_seconds: int | None = DAY) -> DataFrame:
+                    window: int = 1, tiebreak=None, chunk_seconds: int | None | str = AUTO) -> DataFrame:
     """Look-ahead transitions of ``window`` steps after a full-row dedupe (``mine_transition``, WN2).
 
     transition = the ``window + 1`` values joined by '>', sink = value ``window`` rows ahead,
@@ -74,7 +74,7 @@ def mine_transition(df: DataFrame, keys: Sequence[str], value: str, ts: str = "s
 
 
 def ngrams(df: DataFrame, keys: Sequence[str], ts: str, value: str, window: int, tiebreak=None,
-           chunk_seconds: int | None = DAY) -> DataFrame:
+           chunk_seconds: int | None | str = AUTO) -> DataFrame:
     """Complete sliding n-grams of a value sequence, joined by '>' (``rolling_window``, WN3)."""
     keys = require_keys(keys)
     d = _no_null_keys(df, keys).select(*keys, ts, *([tiebreak] if tiebreak else []),
@@ -88,7 +88,7 @@ def ngrams(df: DataFrame, keys: Sequence[str], ts: str, value: str, window: int,
 
 
 def lag_matrix(df: DataFrame, keys: Sequence[str], ts: str, factor: str, lags: int = 7, tiebreak=None,
-               chunk_seconds: int | None = DAY) -> DataFrame:
+               chunk_seconds: int | None | str = AUTO) -> DataFrame:
     """Lag matrix with columns ``t(-(L-1))`` .. ``t(-0)``; lag k is named ``t(-(L-k-1))`` (WN4).
 
     Incomplete rows (not enough history) are dropped.
@@ -103,7 +103,7 @@ def lag_matrix(df: DataFrame, keys: Sequence[str], ts: str, factor: str, lags: i
 
 
 def count_gaps(df: DataFrame, keys: Sequence[str], ts: str, gap_seconds: float = 60, tiebreak=None,
-               chunk_seconds: int | None = DAY) -> DataFrame:
+               chunk_seconds: int | None | str = AUTO) -> DataFrame:
     """Number of consecutive-time differences larger than ``gap_seconds`` per key (WN11)."""
     keys = require_keys(keys)
     d = _no_null_keys(df, keys).select(*keys, ts, *([tiebreak] if tiebreak else []))
@@ -114,7 +114,7 @@ def count_gaps(df: DataFrame, keys: Sequence[str], ts: str, gap_seconds: float =
 
 def door_episodes(df: DataFrame, keys: Sequence[str], ts: str, state: str, open_word: str = "Open",
                   close_word: str = "Close", max_seconds: float = 900, tiebreak=None,
-                  chunk_seconds: int | None = DAY) -> DataFrame:
+                  chunk_seconds: int | None | str = AUTO) -> DataFrame:
     """Close events paired with the immediately preceding Open of the same key, kept when shorter
     than ``max_seconds`` (WN13). Output: keys, start_date (open), end_date (close), dur."""
     keys = require_keys(keys)
@@ -128,7 +128,7 @@ def door_episodes(df: DataFrame, keys: Sequence[str], ts: str, state: str, open_
 
 def pathways(df: DataFrame, keys: Sequence[str], ts: str, value: str, source: str, sink: str,
              min_dur: float = 180, max_dur: float = 900, tiebreak=None,
-             chunk_seconds: int | None = DAY) -> DataFrame:
+             chunk_seconds: int | None | str = AUTO) -> DataFrame:
     """Episodes ``source -> sink`` with min_dur < dur < max_dur and the '>'-joined path of every event
     of the key with start <= t <= end, in time order (``mine_pathway``, WN16 + interval join JN7).
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from homesense.functions.scalars import bool_words
 from homesense.functions.time import localize, minute_bin
-from homesense.operators.ordered import DAY
+from homesense.operators.ordered import AUTO
 from homesense.operators.segments import presence_edges, sleep_dailies
 
 
@@ -45,12 +45,12 @@ def process_sleep(sleep_mat: DataFrame, keys: Sequence[str] = ("patient_id",), t
 
 
 def process_bed_occupancy(sleep: DataFrame, keys: Sequence[str] = ("patient_id",),
-                          chunk_seconds: int | None = DAY) -> DataFrame:
+                          chunk_seconds: int | None | str = AUTO) -> DataFrame:
     """Bed_in / Bed_out edges from the minute table."""
     return presence_edges(sleep, list(keys), "start_date", chunk_seconds)
 
 
 def process_sleep_dailies(sleep: DataFrame, bed_occupancy: DataFrame, keys: Sequence[str] = ("patient_id",),
-                          gap_hours: float = 1.0, chunk_seconds: int | None = DAY) -> DataFrame:
+                          gap_hours: float = 1.0, chunk_seconds: int | None | str = AUTO) -> DataFrame:
     """Nightly sleep profile."""
     return sleep_dailies(sleep, bed_occupancy, list(keys), gap_hours * 3600, chunk_seconds=chunk_seconds)
