@@ -124,7 +124,7 @@ def stream_transitions(stream: DataFrame, keys: Sequence[str], ts: str, value: s
 # ---------------------------------------------------------------- T4 / T5
 
 
-def presence_sessions(stream: DataFrame, keys: Sequence[str], start: str, end: str, gap: str = "1 hour",
+def presence_sessions(stream: DataFrame, keys: Sequence[str], start: str, end: str, gap_seconds: float = 3600,
                       delay: str = "2 hours") -> DataFrame:
     """T4: sessions of intervals whose next start is less than ``gap`` after the session's end so far.
 
@@ -133,8 +133,9 @@ def presence_sessions(stream: DataFrame, keys: Sequence[str], start: str, end: s
     same session, the stream splits).
     """
     d = stream.withColumn("__s", event_time(start)).withColumn("__e", event_time(end)).withWatermark("__s", delay)
-    # per-row gap = the interval's own length + ``gap``, so the window ends ``gap`` after the interval ends
-    row_gap = F.expr(f"make_dt_interval(0, 0, 0, (unix_micros(__e) - unix_micros(__s)) / 1e6) + INTERVAL '{gap}'")
+    # per-row gap = the interval's own length + ``gap``, so the window ends ``gap_seconds`` after the interval ends
+    secs = ((F.unix_micros("__e") - F.unix_micros("__s")) / 1e6 + F.lit(float(gap_seconds))).cast("decimal(18,6)")
+    row_gap = F.make_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(0), F.lit(0), F.lit(0), secs)
     g = d.groupBy(*keys, F.session_window("__s", row_gap).alias("__w"))
     g = g.agg(F.count(F.lit(1)).alias("n"), F.min("__s").alias("__first"), F.max("__e").alias("__last"))
     return g.select(*keys, wall_time("__first").alias("start_date"), wall_time("__last").alias("end_date"), "n")
