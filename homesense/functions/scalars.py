@@ -77,7 +77,7 @@ def not_in_keep_null(x, values: Sequence) -> Column:
 
 def not_blank_keep_null(x) -> Column:
     """pandas ``col != ''``: null rows are kept (FIL3)."""
-    return c(x).isNull() | (c(x) != "")
+    return c(x).isNull() | (c(x).cast("string") != "")
 
 
 def bool_words(x) -> Column:

@@ -37,10 +37,10 @@ def _map_devices(df: DataFrame, device_types: DataFrame) -> DataFrame:
     return lookup_replace(df, "device_type", device_types, "id", "type")
 
 
-def process_doors(door: DataFrame, tz: str | None = LONDON) -> DataFrame:
+def process_doors(door: DataFrame, tz: str | None = LONDON, tiebreak: str | None = None) -> DataFrame:
     """Door open/close transitions per patient and door."""
     d = _localized(door, tz)
-    return transitions(d, ["patient_id", "location_name"], "start_date", "value")
+    return transitions(d, ["patient_id", "location_name"], "start_date", "value", tiebreak=tiebreak)
 
 
 def process_entryway(doors: DataFrame) -> DataFrame:
@@ -57,7 +57,7 @@ def process_environment(readings: DataFrame, device_types: DataFrame, tz: str |
 
 
 def process_kitchen(appliances: DataFrame, doors: DataFrame, activity: DataFrame, device_types: DataFrame,
-                    tz: str | None = LONDON) -> DataFrame:
+                    tz: str | None = LONDON, tiebreak: str | None = "activity") -> DataFrame:
     """Kitchen activity stream (fridge-door closings, PIR in kitchen / dining room, appliance use
     with microwave / toaster as oven and iron / socket dropped) as transitions per patient, with the
     device type of the source event. All three branches are localised [Q-11]."""
@@ -71,7 +71,7 @@ def process_kitchen(appliances: DataFrame, doors: DataFrame, activity: DataFrame
     app = app.select("patient_id", "start_date", "device_type",
                      map_replace(F.col("value").cast("string"), APPLIANCE_MAP).alias("activity")).na.drop()
     k = union_all([dr, act, app]).where(not_blank_keep_null("patient_id") & F.col("patient_id").isNotNull())
-    return transitions(k, ["patient_id"], "start_date", "activity", covariates=["device_type"])
+    return transitions(k, ["patient_id"], "start_date", "activity", covariates=["device_type"], tiebreak=tiebreak)
 
 
 def process_motion(activity: DataFrame, entryway: DataFrame, bed_occupancy: DataFrame,
