@@ -31,7 +31,7 @@ def main() -> None:
 
     names = list(REGISTRY) if os.environ.get("BENCH_QUERIES") == "all" else \
         [q for q in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if q]
-    spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16")))
+    spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "8")))
     REGISTRY["transitions"].fn(spark, sf).write.format("noop").mode("overwrite").save()  # warm-up
     times = {}
     for name in names:

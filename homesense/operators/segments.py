@@ -187,8 +187,9 @@ def sleep_dailies(sleep: DataFrame, edges: DataFrame, keys: Sequence[str], gap_s
     from homesense.operators.sequences import mine_transition
 
     keys = require_keys(keys)
+    # presence edges hold at most one row per key and minute, so the distinct step is skipped
     tr = mine_transition(edges.select(*keys, "start_date", "location_name"), keys, "location_name",
-                         "start_date", 1, None, chunk_seconds)
+                         "start_date", 1, None, chunk_seconds, dedupe=False)
     bed_in = tr.where(F.col("transition") == f"{BED_IN}>{BED_OUT}")
     bed_in = gap_sessions(bed_in, keys, "start_date", "end_date", gap_seconds, chunk_seconds=chunk_seconds)
     habits = bed_habits(bed_in, keys)

@@ -52,16 +52,18 @@ def transitions(df: DataFrame, keys: Sequence[str], ts: str, value: str,
 
 
 def mine_transition(df: DataFrame, keys: Sequence[str], value: str, ts: str = "start_date",
-                    window: int = 1, tiebreak=None, chunk_seconds: int | None | str = AUTO) -> DataFrame:
+                    window: int = 1, tiebreak=None, chunk_seconds: int | None | str = AUTO,
+                    dedupe: bool = True) -> DataFrame:
     """Look-ahead transitions of ``window`` steps after a full-row dedupe (``mine_transition``, WN2).
 
     transition = the ``window + 1`` values joined by '>', sink = value ``window`` rows ahead,
     dur = seconds to the row ``window`` ahead. Only rows without a successor that far are dropped.
+    ``dedupe=False`` skips the full-row distinct (one shuffle) for inputs unique by construction.
     """
     keys = require_keys(keys)
     if window < 1:
         raise ValueError("window must be >= 1")
-    d = _no_null_keys(df.dropDuplicates(), keys)
+    d = _no_null_keys(df.dropDuplicates() if dedupe else df, keys)
     shifts = {f"__v{j}": (value, j) for j in range(1, window + 1)}
     shifts["end_date"] = (ts, window)
     s = with_shifts(d, keys, ts, tiebreak, shifts, chunk_seconds)
