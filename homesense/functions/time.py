@@ -245,3 +245,10 @@ def iso_text(ts) -> Column:
 def iso_from_text(text) -> Column:
     """Date text ('2021-06-09' or '2021-06-09 08:10') -> ISO text (SC13)."""
     return iso_text(F.to_timestamp_ntz(c(text)))
+
+
+def is_instant(df, col: str) -> bool:
+    """SC14: whether a column holds instants (``TIMESTAMP``, zone-aware) rather than wall-clock time
+    (``TIMESTAMP_NTZ``). Decided from the schema on the driver, no pass over the data."""
+    from pyspark.sql import types as T
+    return isinstance(df.schema[col].dataType, T.TimestampType)

@@ -105,3 +105,28 @@ def test_orphans_and_upsert(spark):
 
 def test_declared_schemas_complete():
     assert len(RAW) == 11 and all(f.name == "source" for f in [s.fields[-1] for s in RAW.values()])
+
+
+def test_refresh_domain_and_tz_check(spark, scratch):
+    import datetime as dt
+    from homesense.functions.time import is_instant
+    c = cat.Catalog(spark, os.path.join(scratch, "data2"))
+
+    @c.source("raw", "events")
+    def events(s):
+        return s.createDataFrame([("p1", dt.datetime(2024, 1, 1, 10, m)) for m in range(3)],
+                                 "patient_id string, start_date timestamp_ntz")
+
+    @c.recipe("base", "first", parents=[("events", "raw")])
+    def first(events):
+        return events.groupBy("patient_id").agg(F.min("start_date").alias("start_date"))
+
+    @c.recipe("base", "count_of_first", parents=[("first", "base")])
+    def count_of_first(first):
+        return first.groupBy().count()
+
+    paths = c.refresh_domain("base")
+    assert len(paths) == 2 and paths[0].split("/")[-2] == "first"  # parents before children
+    assert cat.manifest_latest(c.manifest()).count() == 2
+    assert not is_instant(c.load("first", "base"), "start_date")
+    assert is_instant(spark.createDataFrame([(dt.datetime(2024, 1, 1),)], "t timestamp"), "t")
