@@ -91,12 +91,21 @@ def bed_habits(bed_in: DataFrame, keys: Sequence[str], seg: str = "period_segmen
     return h.na.drop().withColumn("end_date", F.col("end_date") - _minute())
 
 
+HABIT_COLS = ("end_date", "awake_events", "time_in_bed", "bed_time_period", "time_out_of_bed", "period_type")
+
+
 def mark_periods(sleep: DataFrame, habits: DataFrame, keys: Sequence[str], ts: str = "start_date",
-                 out: str = "period_segments", chunk_seconds: int | None | str = AUTO) -> DataFrame:
+                 out: str = "period_segments", chunk_seconds: int | None | str = AUTO,
+                 carry: Sequence[str] = ()) -> DataFrame:
     """Carry a period id forward over the minute rows: a row whose (key, time) is a habit start opens a
-    new period; id = running count of opened periods per key, 0 before the first one (JN8 + WN6)."""
+    new period; id = running count of opened periods per key, 0 before the first one (JN8 + WN6).
+
+    ``carry`` habit columns are attached (as ``__h_<name>``) to the opening row only, so the period
+    aggregate can pick them up without joining the habits a second time.
+    """
     keys = require_keys(keys)
-    starts = habits.select(*keys, F.col("start_date").alias(ts), F.lit(1).alias("__mark")).distinct()
+    starts = habits.select(*keys, F.col("start_date").alias(ts), F.lit(1).alias("__mark"),
+                           *[F.col(x).alias(f"__h_{x}") for x in carry])  # one habit per start: unique
     d = sleep.join(starts, on=[*keys, ts], how="left").withColumn("__mark", F.coalesce("__mark", F.lit(0)))
     # ties on one minute (merged duplicates) are all marked; order inside a minute does not change sums
     return with_running_sum(d, keys, ts, None, "__mark", out, chunk_seconds).drop("__mark")
@@ -130,11 +139,11 @@ def vitals_by_period(sleep: DataFrame, keys: Sequence[str], seg: str = "period_s
 
 
 def period_features(marked: DataFrame, keys: Sequence[str], seg: str = "period_segments",
-                    states: Sequence[str] = SLEEP_STATES) -> DataFrame:
+                    carried: Sequence[str] = (), states: Sequence[str] = SLEEP_STATES) -> DataFrame:
     """Vitals (AG1) and state hours (AG11) of every period in one aggregation (JN6: no join of two
     aggregates of the same rows). State columns are null when the period lacks any state."""
     keys = require_keys(keys)
-    st_hours = [(F.sum(F.when(F.col("state") == s, 1).otherwise(0)) / 60.0).alias(f"__h_{s}") for s in states]
+    st_hours = [(F.sum(F.when(F.col("state") == s, 1).otherwise(0)) / 60.0).alias(f"__st_{s}") for s in states]
     present = [F.max(F.when(F.col("state") == s, 1)).alias(f"__has_{s}") for s in states]
     g = marked.groupBy(*keys, seg).agg(
         F.min("start_date").alias("start_date"), F.max("start_date").alias("end_date"),
@@ -142,23 +151,36 @@ def period_features(marked: DataFrame, keys: Sequence[str], seg: str = "period_s
         F.avg("heart_rate").alias("heart_rate"), F.min("heart_rate").alias("hr_min"),
         F.max("heart_rate").alias("hr_max"), F.avg("respiratory_rate").alias("respiratory_rate"),
         F.min("respiratory_rate").alias("rr_min"), F.max("respiratory_rate").alias("rr_max"),
-        F.count("respiratory_rate").alias("period_obs"), *st_hours, *present)
+        F.count("respiratory_rate").alias("period_obs"), *st_hours, *present,
+        *[F.max(x).alias(x) for x in carried])
     vit = ["start_date", "end_date", "minutes_snoring", "heart_rate", "hr_min", "hr_max", "respiratory_rate",
            "rr_min", "rr_max", "period_obs"]
     g = g.na.drop(subset=vit)
     complete = None
     for s in states:
         complete = F.col(f"__has_{s}").isNotNull() if complete is None else complete & F.col(f"__has_{s}").isNotNull()
-    return g.select(*keys, seg, *vit, *[F.when(complete, F.col(f"__h_{s}")).alias(s) for s in states])
+    return g.select(*keys, seg, *vit, *[F.when(complete, F.col(f"__st_{s}")).alias(s) for s in states], *carried)
 
 
-def sleep_periods(marked: DataFrame, habits: DataFrame, keys: Sequence[str], seg: str = "period_segments",
-                  digits: int = 2) -> DataFrame:
+def sleep_periods(marked: DataFrame, habits: DataFrame | None, keys: Sequence[str],
+                  seg: str = "period_segments", digits: int = 2) -> DataFrame:
     """Period vitals and states left-joined with the bed habits on (keys, start, end) (JN4), doubles
-    rounded as NumPy does to ``digits`` (SC7), rows without time_in_bed / DEEP / hr_max dropped."""
+    rounded as NumPy does to ``digits`` (SC7), rows without time_in_bed / DEEP / hr_max dropped.
+
+    With ``habits=None`` the habit columns come from the opening row of each period (see
+    :func:`mark_periods` ``carry``); a period keeps them only when the habit's end equals the period's
+    last minute, which is exactly the join condition (habit starts are unique per key).
+    """
     keys = require_keys(keys)
     on = [*keys, "start_date", "end_date"]
-    j = period_features(marked, keys, seg).drop(seg).join(habits.drop(seg), on=on, how="left")
+    if habits is not None:
+        j = period_features(marked, keys, seg).drop(seg).join(habits.drop(seg), on=on, how="left")
+    else:
+        carried = [f"__h_{x}" for x in HABIT_COLS]
+        f = period_features(marked, keys, seg, carried)
+        hit = F.col("__h_end_date") == F.col("end_date")
+        j = f.select(*[x for x in f.columns if x not in carried and x != seg],
+                     *[F.when(hit, F.col(f"__h_{x}")).alias(x) for x in HABIT_COLS if x != "end_date"])
     dbl = [f.name for f in j.schema.fields if f.dataType.typeName() == "double"]
     j = j.select(*[np_round(F.col(x), digits).alias(x) if x in dbl else F.col(x) for x in j.columns])
     return j.na.drop(subset=["time_in_bed", "DEEP", "hr_max"])
@@ -193,8 +215,9 @@ def sleep_dailies(sleep: DataFrame, edges: DataFrame, keys: Sequence[str], gap_s
     bed_in = tr.where(F.col("transition") == f"{BED_IN}>{BED_OUT}")
     bed_in = gap_sessions(bed_in, keys, "start_date", "end_date", gap_seconds, chunk_seconds=chunk_seconds)
     habits = bed_habits(bed_in, keys)
-    marked = mark_periods(sleep, habits, keys, "start_date", chunk_seconds=chunk_seconds)
-    periods = sleep_periods(marked, habits, keys)
+    # habit attributes ride on each period's opening row: habits are consumed once
+    marked = mark_periods(sleep, habits, keys, "start_date", chunk_seconds=chunk_seconds, carry=HABIT_COLS)
+    periods = sleep_periods(marked, None, keys)
     night = nightly_metrics(periods, keys)
     naps = daily_counts_between(sleep, keys, "start_date", *nap_window).select(*keys, "date", "nap_ibp")
     night = (night.withColumn("date", day_start("start_date"))
