@@ -147,8 +147,10 @@ def parse_activity(observation: DataFrame, device_type: DataFrame, locations: Se
     """Door episodes (< 15 min), appliance use (microwave / toaster as oven) and movement, with
     the example's room exclusions, one-hot encoded over ``locations``."""
     df = clean_observations(observation, device_type)
+    # door states come as 'True'/'False' in one export and 'Open'/'Close' in the other
+    st = F.col("valueState")
     doors = df.where(F.col("display") == "Door").withColumn(
-        "__state", F.when(F.col("valueState") == "True", "Open").when(F.col("valueState") == "False", "Close"))
+        "__state", F.when(st.isin("True", "Open"), "Open").when(st.isin("False", "Close"), "Close"))
     ep = door_episodes(doors, ["subject", "location", "project"], "datetimeObserved", "__state", max_seconds=900)
     ep = ep.where(~F.col("location").isin(list(EXAMPLE_DOOR_DROP))).select(
         "project", "subject", F.col("start_date").alias("datetimeObserved"), "location")
