@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from homesense.functions.scalars import bool_words
+from homesense.functions.time import epoch_micros
 
 
 def read_table(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
@@ -87,7 +88,7 @@ def align_union(old: DataFrame, new: DataFrame) -> DataFrame:
             cols.append(x)
         elif isinstance(t, T.TimestampType) and isinstance(f.dataType, T.TimestampNTZType):
             # wall time read as UTC, independent of the session zone
-            cols.append(F.to_utc_timestamp(F.date_format(x, "yyyy-MM-dd HH:mm:ss.SSSSSS"), "UTC").alias(f.name))
+            cols.append(F.timestamp_micros(epoch_micros(x)).alias(f.name))
         else:
             cols.append(x.try_cast(t).alias(f.name))
     return old.select(*cols).unionByName(new, allowMissingColumns=True)

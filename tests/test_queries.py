@@ -34,3 +34,18 @@ def test_query_matches_oracle(spark, con, name):
         return
     ok, why = compare(pdf, con.sql(ORACLE[name]).df())
     assert ok, why
+
+
+TIME_HEAVY = ["localize", "utc_to_local", "epoch_to_local", "dst_shift", "sleep_dailies", "activity_weeklies",
+              "time_cdf", "incremental_append", "physiology", "legacy_doors"]
+
+
+@pytest.mark.parametrize("name", TIME_HEAVY)
+def test_session_time_zone_does_not_change_results(spark, con, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        pdf = QUERIES[name](spark, SF).toPandas()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ok, why = compare(pdf, con.sql(ORACLE[name]).df())
+    assert ok, why
