@@ -31,17 +31,21 @@ def _minute() -> Column:
 
 
 def presence_edges(df: DataFrame, keys: Sequence[str], ts: str, chunk_seconds: int | None | str = AUTO,
-                   label_col: str = "location_name") -> DataFrame:
+                   label_col: str = "location_name", one_row_per_minute: bool = False) -> DataFrame:
     """Bed_in / Bed_out edges from per-minute presence counts (``mine_bed_occupancy``, WN7).
 
     With c = rows in an occupied minute m and prev = c of minute m-1 (0 when that minute is empty):
     Bed_in at m when c - prev = 1 or m is the key's first minute; Bed_out at m when c - prev = -1; and
     Bed_out at m+1 when the next occupied minute is later than m+1 and c = 1. Nothing after the last
     minute. Equal to the dense 1-minute resample + diff, without building the grid.
+    ``one_row_per_minute=True`` promises at most one row per key and minute and skips the count.
     """
     keys = require_keys(keys)
-    m = (_no_null_keys(df, keys).where(F.col(ts).isNotNull())
-         .groupBy(*keys, bin_start(ts, 60).alias("__m")).agg(F.count(F.lit(1)).alias("__c")))
+    d = _no_null_keys(df, keys).where(F.col(ts).isNotNull())
+    if one_row_per_minute:  # e.g. the de-duplicated minute table: every occupied minute counts 1, no shuffle
+        m = d.select(*keys, bin_start(ts, 60).alias("__m"), F.lit(1).cast("long").alias("__c"))
+    else:
+        m = d.groupBy(*keys, bin_start(ts, 60).alias("__m")).agg(F.count(F.lit(1)).alias("__c"))
     s = with_shifts(m, keys, "__m", None, {"__pm": ("__m", -1), "__pc": ("__c", -1), "__nm": ("__m", 1)},
                     chunk_seconds)
     one = _minute()

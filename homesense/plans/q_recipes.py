@@ -88,7 +88,7 @@ r AS (SELECT patient_id, {_ROOM_CASE} AS location_name, start_date FROM m)
 SELECT * FROM r WHERE location_name IS NULL OR location_name NOT IN ('office', 'conservatory', 'study', 'cellar')
 """, "D7", "FIL10", "FIL2", "ST1")
 def q_motion(spark, sf):
-    bed = process_bed_occupancy(q_segments.base_sleep(spark, sf), ["patient_id"])
+    bed = process_bed_occupancy(q_segments.base_sleep(spark, sf), ["patient_id"], one_row_per_minute=True)
     return base.process_motion(dt.activity_view(spark, sf), entryway(spark, sf), bed)
 
 

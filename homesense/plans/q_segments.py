@@ -171,7 +171,7 @@ def _round_sql(cols_dbl, cols_other, src):
 
 def _chain(spark, sf):
     sleep = base_sleep(spark, sf)
-    edges = process_bed_occupancy(sleep, K)
+    edges = process_bed_occupancy(sleep, K, one_row_per_minute=True)
     tr = mine_transition(edges.select(*K, "start_date", "location_name"), K, "location_name", "start_date", 1)
     bed_in = sg.gap_sessions(tr.where(F.col("transition") == "Bed_in>Bed_out"), K, "start_date", "end_date",
                              GAP_HOURS * 3600)
@@ -245,7 +245,7 @@ def q_nightly(spark, sf):
 
 def sleep_dailies(spark, sf):
     sleep = base_sleep(spark, sf)
-    edges = process_bed_occupancy(sleep, K)
+    edges = process_bed_occupancy(sleep, K, one_row_per_minute=True)
     return sg.sleep_dailies(sleep, edges, K, GAP_HOURS * 3600)
 
 

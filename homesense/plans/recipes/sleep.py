@@ -45,9 +45,10 @@ def process_sleep(sleep_mat: DataFrame, keys: Sequence[str] = ("patient_id",), t
 
 
 def process_bed_occupancy(sleep: DataFrame, keys: Sequence[str] = ("patient_id",),
-                          chunk_seconds: int | None | str = AUTO) -> DataFrame:
-    """Bed_in / Bed_out edges from the minute table."""
-    return presence_edges(sleep, list(keys), "start_date", chunk_seconds)
+                          chunk_seconds: int | None | str = AUTO, one_row_per_minute: bool = False) -> DataFrame:
+    """Bed_in / Bed_out edges from the minute table (D6). Pass ``one_row_per_minute=True`` for the
+    de-duplicated minute table of :func:`process_sleep` (``dedupe_state=True``)."""
+    return presence_edges(sleep, list(keys), "start_date", chunk_seconds, one_row_per_minute=one_row_per_minute)
 
 
 def process_sleep_dailies(sleep: DataFrame, bed_occupancy: DataFrame, keys: Sequence[str] = ("patient_id",),

@@ -109,3 +109,17 @@ def test_rolling_zscore_matches_pandas(spark):
     s = pdf.dropna(subset="x")["x"]
     want = ((s - s.rolling(14, min_periods=1).mean()) / s.rolling(14, min_periods=1).std()).reindex(pdf.index)
     np.testing.assert_allclose(got, want.to_numpy(dtype=float), rtol=1e-9, atol=1e-12, equal_nan=True)
+
+
+def test_presence_edges_one_row_per_minute_flag(spark):
+    from homesense.plans.recipes.sleep import process_sleep
+    rnd = random.Random(5)
+    base = dt.datetime(2024, 1, 1, 21)
+    rows = [("h", str(rnd.randint(1, 3)), base + dt.timedelta(minutes=rnd.randint(0, 400)), "DEEP", 60.0, 14.0, "false")
+            for _ in range(700)]
+    mat = spark.createDataFrame(rows, "home_id string, patient_id string, start_date timestamp_ntz, state string, "
+                                      "heart_rate double, respiratory_rate double, snoring string")
+    sleep = process_sleep(mat)
+    a = sg.presence_edges(sleep, ["patient_id"], "start_date")
+    b = sg.presence_edges(sleep, ["patient_id"], "start_date", one_row_per_minute=True)
+    assert _rows(a) == _rows(b)
