@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from homesense.llm.caps import near_vectors
 from homesense.llm.common import table
 from homesense.llm.packing import pack_documents
 from homesense.llm.sharding import shard_documents
+from homesense.llm.simhash import hex16, simhash_components
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -21,6 +23,17 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+@register("op1_simhash")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(table(spark, sf_dir, "documents"), shingle=4, max_bits=4).select(
+        "doc_id", hex16().alias("fingerprint"), "component_id")
+
+
+@register("op3_embedding_neardup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), min_cosine=0.9)
+
+
 @register("op9_packing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
