@@ -24,14 +24,14 @@ from homesense.llm.common import stage
 from homesense.llm.lists import blocked, components, group_ids, groups
 
 MIN_COSINE = 0.9
-SHARED = 14.0
+SHARED = 20.0
 LIST_LENGTH = 24
 SEED = 20_240
 
 
-def plan(n: int, dim: int, min_cosine: float = MIN_COSINE, shared: float = SHARED) -> tuple[float, int]:
-    """Cap height and code words per half: a pair at the threshold shares ``shared`` filters in expectation
-    and a list of ``n`` random vectors has about ``LIST_LENGTH`` entries."""
+def plan(n: int, dim: int, min_cosine: float = MIN_COSINE, shared: float = SHARED) -> tuple[float, int, int]:
+    """Cap height, code words per half and least filters per vector: a pair at the threshold shares ``shared``
+    filters in expectation and a list of ``n`` random vectors has about ``LIST_LENGTH`` entries."""
     norm = NormalDist()
     p = min(0.02, LIST_LENGTH / max(1, n))
     z = -norm.inv_cdf(p)
@@ -41,7 +41,7 @@ def plan(n: int, dim: int, min_cosine: float = MIN_COSINE, shared: float = SHARE
     both = np.array([1 - norm.cdf((z - min_cosine * g) / rest) for g in grid])
     meet = float((weight * both).sum() / weight.sum())
     words = math.ceil(math.sqrt(shared / (p * meet)))
-    return z / math.sqrt(dim), words
+    return z / math.sqrt(dim), words, min(words * words, math.ceil(shared / meet))
 
 
 def code_books(dim: int, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -54,8 +54,12 @@ def code_books(dim: int, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return turn, books[0], books[1]
 
 
-def passed(x: np.ndarray, books: tuple, alpha: float) -> list[np.ndarray]:
-    """For each unit row of ``x``: the numbers of all filters it passes, rising."""
+def passed(x: np.ndarray, books: tuple, alpha: float, least: int) -> list[np.ndarray]:
+    """For each unit row of ``x``: the numbers of all filters it passes, rising.
+
+    A vector in a thin part of the code passes few filters at height ``alpha``; its cap is lowered until
+    ``least`` filters are passed (the ``least`` highest), so no region of the sphere is left without recall.
+    """
     turn, left, right = books
     y = x @ turn
     half = left.shape[1]
@@ -66,10 +70,18 @@ def passed(x: np.ndarray, books: tuple, alpha: float) -> list[np.ndarray]:
     for a, b in zip(s, t):
         order = np.argsort(-b)
         falling = b[order]
-        i = np.flatnonzero(a >= need - falling[0])
-        k = np.searchsorted(-falling, a[i] - need, side="right")
-        j = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
-        out.append(np.sort(np.repeat(i, k) * words + order[j]))
+        low = need
+        while True:
+            i = np.flatnonzero(a >= low - falling[0])
+            k = np.searchsorted(-falling, a[i] - low, side="right")
+            if (total := int(k.sum())) >= least or low < -4:
+                break
+            low -= 0.06
+        i, j = np.repeat(i, k), order[np.arange(total) - np.repeat(np.cumsum(k) - k, k)]
+        if low < need and total > least:
+            top = np.argpartition(-(a[i] + b[j]), least - 1)[:least]
+            i, j = i[top], j[top]
+        out.append(np.sort(i * words + j))
     return out
 
 
@@ -93,18 +105,18 @@ def _prepared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column("vec_id"), pa.array(out, pa.binary())], names=["vec_id", "v"])
 
 
-def _filters(alphas: dict[int, tuple[float, int]]):
+def _filters(alphas: dict[int, tuple[float, int, int]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         books: dict[int, tuple] = {}
         for b in batches:
             vectors = _vectors(b)
             lists: list = [None] * len(vectors)
             for dim in {len(v) for v in vectors}:
-                alpha, words = alphas[dim]
+                alpha, words, least = alphas[dim]
                 if dim not in books:
                     books[dim] = code_books(dim, words)
                 at = [k for k, v in enumerate(vectors) if len(v) == dim]
-                for k, f in zip(at, passed(np.stack([vectors[k] for k in at]), books[dim], alpha)):
+                for k, f in zip(at, passed(np.stack([vectors[k] for k in at]), books[dim], alpha, least)):
                     lists[k] = f + dim * 2 ** 40
             yield pa.RecordBatch.from_arrays(
                 [b.column("row"), b.column("v"), pa.array(lists, pa.list_(pa.int64()))], names=["row", "v", "filters"])
