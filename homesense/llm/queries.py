@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from homesense.llm import language, toxicity
 from homesense.llm.caps import near_vectors
-from homesense.llm.common import table
+from homesense.llm.common import id_crc, table
+from homesense.llm.decontaminate import contamination
 from homesense.llm.packing import pack_documents
 from homesense.llm.sharding import shard_documents
 from homesense.llm.simhash import hex16, simhash_components
@@ -29,11 +31,55 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", hex16().alias("fingerprint"), "component_id")
 
 
+@register("op2_language_id")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = F.pmod(id_crc(), F.lit(5)) == 0
+    model = language.train(docs.filter(~held))
+    return language.identify(docs, model).select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
 @register("op3_embedding_neardup")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"), min_cosine=0.9)
 
 
+@register("op5_toxicity")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = F.pmod(id_crc(), F.lit(3)) == 1
+    model = toxicity.train(docs.filter(~held), table(spark, sf_dir, "labels"))
+    return toxicity.tag(docs, model).select(
+        "doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@register("op8_decontamination", """
+WITH low AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+items AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+sized AS (SELECT item_id, w, least(len(w), 13) AS k FROM items WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS t
+            FROM sized, unnest(range(1, len(w) - k + 2)) AS u(i)),
+starts AS (SELECT doc_id, w, k, i FROM low, (SELECT DISTINCT k FROM sized), unnest(range(1, len(w) - k + 2)) AS u(i)),
+found AS (SELECT s.doc_id, s.i, s.k, x.item_id FROM starts s JOIN windows x
+          ON s.k = x.k AND array_to_string(s.w[s.i:s.i + s.k - 1], ' ') = x.t),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM found, unnest(range(i, i + k)) AS u(p) GROUP BY doc_id),
+listed AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+           FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM found) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM low LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)
+""")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"),
+        "contaminated")
+
+
 @register("op9_packing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
