@@ -11,6 +11,7 @@ from homesense.llm import language, toxicity
 from homesense.llm.caps import near_vectors
 from homesense.llm.common import id_crc, table
 from homesense.llm.decontaminate import contamination
+from homesense.llm.ngram_lm import lm_scores
 from homesense.llm.packing import pack_documents
 from homesense.llm.sharding import shard_documents
 from homesense.llm.simhash import hex16, simhash_components
@@ -53,6 +54,14 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+@register("op7_lm_score")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = F.pmod(id_crc(), F.lit(7))
+    scored = lm_scores(table(spark, sf_dir, "documents"), train=left != 2, held_out_fold=left == 3)
+    return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                         "base_score", "score")
+
+
 @register("op8_decontamination", """
 WITH low AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
