@@ -24,7 +24,7 @@ from homesense.llm.common import stage
 from homesense.llm.lists import blocked, components, group_ids, groups
 
 MIN_COSINE = 0.9
-SHARED = 20.0
+SHARED = 12.0
 LIST_LENGTH = 24
 SEED = 20_240
 
@@ -85,73 +85,81 @@ def passed(x: np.ndarray, books: tuple, alpha: float, least: int) -> list[np.nda
     return out
 
 
-def _vectors(b: pa.RecordBatch) -> list[np.ndarray]:
-    return [np.frombuffer(x.as_py(), dtype="<f8") for x in b.column("v")]
+def _unit(raw: bytes, kind: str) -> np.ndarray:
+    v = np.frombuffer(raw, dtype=kind).astype(np.float64)
+    v = v / np.abs(v).max()
+    return v / np.linalg.norm(v)
 
 
-def _prepared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Unit vectors as bytes; null for vectors that are null, empty, zero or hold null or non-finite parts."""
-    for b in batches:
-        out = []
-        for x in b.column("embedding"):
-            x = x.as_py()
-            v = None
-            if x and None not in x:
-                v = np.asarray(x, dtype=np.float64)
-                top = np.abs(v).max()
-                v = v / top if np.isfinite(top) and top > 0 else None
-                v = (v / np.linalg.norm(v)).astype("<f8").tobytes() if v is not None else None
-            out.append(v)
-        yield pa.RecordBatch.from_arrays([b.column("vec_id"), pa.array(out, pa.binary())], names=["vec_id", "v"])
+def _prepared(kind: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Vectors as bytes; null for vectors that are null, empty, zero or hold null or non-finite parts."""
+        for b in batches:
+            out = []
+            for x in b.column("embedding"):
+                x = x.as_py()
+                v = np.asarray(x, dtype=kind) if x and None not in x else None
+                out.append(v.tobytes() if v is not None and np.isfinite(v).all() and v.any() else None)
+            yield pa.RecordBatch.from_arrays([b.column("vec_id"), pa.array(out, pa.binary())], names=["vec_id", "v"])
+    return run
+
+
+class _Decoder:
+    """Filters passed by vectors of any dimension of the plan."""
 
+    def __init__(self, plans: dict[int, tuple[float, int, int]]):
+        self.plans, self.books = plans, {}
 
-def _filters(alphas: dict[int, tuple[float, int, int]]):
+    def __call__(self, vectors: list[np.ndarray]) -> list[np.ndarray]:
+        lists: list = [None] * len(vectors)
+        for dim in {len(v) for v in vectors}:
+            alpha, words, least = self.plans[dim]
+            if dim not in self.books:
+                self.books[dim] = code_books(dim, words)
+            at = [k for k, v in enumerate(vectors) if len(v) == dim]
+            for k, f in zip(at, passed(np.stack([vectors[k] for k in at]), self.books[dim], alpha, least)):
+                lists[k] = f + dim * 2 ** 40
+        return lists
+
+
+def _filters(plans: dict[int, tuple[float, int, int]], kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        books: dict[int, tuple] = {}
+        decode = _Decoder(plans)
         for b in batches:
-            vectors = _vectors(b)
-            lists: list = [None] * len(vectors)
-            for dim in {len(v) for v in vectors}:
-                alpha, words, least = alphas[dim]
-                if dim not in books:
-                    books[dim] = code_books(dim, words)
-                at = [k for k, v in enumerate(vectors) if len(v) == dim]
-                for k, f in zip(at, passed(np.stack([vectors[k] for k in at]), books[dim], alpha, least)):
-                    lists[k] = f + dim * 2 ** 40
+            lists = decode([_unit(x.as_py(), kind) for x in b.column("v")])
             yield pa.RecordBatch.from_arrays(
                 [b.column("row"), b.column("v"), pa.array(lists, pa.list_(pa.int64()))], names=["row", "v", "filters"])
     return run
 
 
-def _verified(min_cosine: float):
+def _verified(min_cosine: float, plans: dict[int, tuple[float, int, int]], kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decode = _Decoder(plans)
         for b in groups(batches, "filter"):
             gid = group_ids(b, "filter")
             cuts = np.concatenate([np.flatnonzero(np.diff(gid, prepend=-1)), [len(gid)]])
-            rows = b.column("row").to_numpy(zero_copy_only=False)
-            i, j = (b.column(c).to_numpy(zero_copy_only=False) for c in ("i", "j"))
-            own = b.column("own").to_numpy(zero_copy_only=False)
-            names = b.column("filter").to_numpy(zero_copy_only=False)
+            rows, i, j, own, names = (b.column(c).to_numpy(zero_copy_only=False)
+                                      for c in ("row", "i", "j", "own", "filter"))
             flat = b.column("v")
-            a_out, b_out, n_out = [], [], []
-            for lo, hi in zip(cuts[:-1], cuts[1:]):
-                x = np.stack([np.frombuffer(flat[k].as_py(), dtype="<f8") for k in range(lo, hi)])
+            out: list[tuple] = []
+            for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                if hi - lo < 2:
+                    continue
+                x = np.stack([_unit(flat[k].as_py(), kind) for k in range(lo, hi)])
                 linked = np.triu(x @ x.T >= min_cosine, 1)
                 if i[lo] != j[lo]:
                     linked &= own[lo:hi, None] != own[None, lo:hi]
-                if not linked.any():
-                    continue
                 at = np.flatnonzero(linked.any(axis=0) | linked.any(axis=1))
-                earlier = [f[f < names[lo]] for f in (np.asarray(b.column("filters")[int(lo + k)].as_py()) for k in at)]
+                if not len(at):
+                    continue
+                earlier = [f[f < names[lo]] for f in decode(list(x[at]))]
                 linked = linked[np.ix_(at, at)] & ~_meet(earlier)
                 n = linked.sum(axis=0) + linked.sum(axis=1)
-                who = rows[lo:hi][at]
-                root = _forest(linked)
-                keep = np.flatnonzero(n)
-                a_out.append(who[keep]), b_out.append(who[root[keep]]), n_out.append(n[keep])
-            if a_out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(z).astype(np.int64)) for z in (a_out, b_out, n_out)], names=["a", "b", "n"])
+                who, keep = rows[lo:hi][at], np.flatnonzero(n)
+                out.append((who[keep], who[_forest(linked)[keep]], n[keep]))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(z).astype(np.int64)) for z in zip(*out)],
+                                                 names=["a", "b", "n"])
     return run
 
 
@@ -188,16 +196,19 @@ def near_vectors(vectors: DataFrame, min_cosine: float = MIN_COSINE, shared: flo
     and link as equals. A component is named by its smallest vec_id; null ids name nothing. An empty table
     gives an empty result.
     """
-    prepared = stage(vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
-                     .mapInArrow(_prepared, "vec_id long, v binary")
+    element = vectors.schema["embedding"].dataType.elementType.typeName()
+    kind, part = ("<f4", "float") if element == "float" else ("<f8", "double")
+    prepared = stage(vectors.select("vec_id", F.col("embedding").cast(f"array<{part}>").alias("embedding"))
+                     .mapInArrow(_prepared(kind), "vec_id long, v binary")
                      .withColumn("row", F.monotonically_increasing_id()), "caps-vectors")
     valid = prepared.filter(F.col("v").isNotNull())
-    sizes = valid.groupBy((F.octet_length("v") / 8).cast("int").alias("dim")).agg(F.count("*").alias("n")).collect()
-    alphas = {r.dim: plan(r.n, r.dim, min_cosine, shared) for r in sizes}
-    posted = valid.select("row", "v").mapInArrow(_filters(alphas), "row long, v binary, filters array<long>")
-    entries = posted.select("row", "v", "filters", F.explode("filters").alias("filter"))
-    found = stage(blocked(entries, "filter", "row").mapInArrow(_verified(min_cosine), "a long, b long, n long"),
-                  "caps-links")
+    sizes = valid.groupBy((F.octet_length("v") / int(kind[2])).cast("int").alias("dim")).agg(F.count("*").alias("n"))
+    plans = {r.dim: plan(r.n, r.dim, min_cosine, shared) for r in sizes.collect()}
+    posted = stage(valid.select("row", "v").mapInArrow(_filters(plans, kind), "row long, v binary, filters array<long>"),
+                   "caps-filters")
+    entries = posted.select("row", "v", F.explode("filters").alias("filter"))
+    found = stage(blocked(entries, "filter", "row").mapInArrow(_verified(min_cosine, plans, kind),
+                                                              "a long, b long, n long"), "caps-links")
     links = found.groupBy(F.col("a").alias("row")).agg(F.sum("n").alias("n_links"))
     roots = components(found.select("a", "b")).withColumnRenamed("node", "row")
     named = prepared.select("vec_id", "row").join(roots, "row", "left").withColumn("root", F.coalesce("root", "row"))

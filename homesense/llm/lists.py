@@ -18,13 +18,18 @@ from pyspark.sql import functions as F
 from homesense.llm.common import stage
 
 BLOCK = 1024
+BROADCAST_KEYS = 100_000
 
 
 def blocked(entries: DataFrame, key: str, entry: str, block: int = BLOCK) -> DataFrame:
-    """``entries`` of keys with two or more rows, with ``own``, ``i`` and ``j``: the row's block and the group's
-    pair of blocks (i <= j). Partitioned by (key, i, j) and sorted, ready for ``groups``."""
-    counts = entries.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1")
-    sized = entries.join(counts, key).withColumn("blocks", F.ceil(F.col("n") / block).cast("int")).withColumn(
+    """``entries`` with ``own``, ``i`` and ``j``: the row's block and the group's pair of blocks (i <= j), one row
+    per pair. Partitioned by (key, i, j) and sorted, ready for ``groups``. Only the keys are counted beforehand,
+    so that the entries with all their columns are shuffled once."""
+    long = stage(entries.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") > block), "long-lists")
+    if long.count() <= BROADCAST_KEYS:
+        long = F.broadcast(long)
+    sized = entries.join(long, key, "left").withColumn(
+        "blocks", F.coalesce(F.ceil(F.col("n") / block), F.lit(1)).cast("int")).withColumn(
         "own", F.pmod(F.xxhash64(entry), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     return (sized.select(*entries.columns, "own", other)
