@@ -65,7 +65,8 @@ def batched(docs: DataFrame, text: str, name: str, batch_bytes: int = BATCH_BYTE
             for k, x in enumerate(lens.tolist()):
                 if size and size + x > batch_bytes:
                     held.append(b.slice(at, k - at))
-                    yield row()
+                    if at < k or sum(h.num_rows for h in held):
+                        yield row()
                     n, held, size, at = n + 1, [], 0, k
                 size += x + 16
             held.append(b.slice(at))

@@ -15,6 +15,7 @@ from homesense.llm.ngram_lm import lm_scores
 from homesense.llm.packing import pack_documents
 from homesense.llm.sharding import shard_documents
 from homesense.llm.simhash import hex16, simhash_components
+from homesense.llm.substring import cut_repeats
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -54,6 +55,29 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+@register("op6_substring_dedup", """
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+starts AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS t FROM words, unnest(range(1, len(w) - 11)) AS u(i)),
+least_doc AS (SELECT t, min(doc_id) AS low FROM starts GROUP BY t),
+gone AS (
+  SELECT DISTINCT s.doc_id, p FROM starts s JOIN least_doc USING (t), unnest(range(s.i, s.i + 13)) AS u(p)
+  WHERE low < s.doc_id),
+tokens AS (SELECT doc_id, p, w[p] AS word FROM words, unnest(range(1, len(w) + 1)) AS u(p)),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n
+  FROM tokens ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)
+""")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = cut_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), window=13)
+    return cut.select("doc_id", F.col("__n_words").alias("n_words"), F.col("__n_removed").alias("n_removed"),
+                      F.sha2("__kept", 256).alias("kept_sha256"))
+
+
 @register("op7_lm_score")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = F.pmod(id_crc(), F.lit(7))
