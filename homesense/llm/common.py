@@ -43,6 +43,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small(df: DataFrame, rows: int = 400_000) -> DataFrame:
+    """``df`` (a staged table of short rows) marked for broadcasting if a count proves it has at most ``rows``
+    rows; beyond that it is left to a shuffled join."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def row_key(*cols: str) -> Column:
     """64-bit name of a row from the given columns (``doc_id`` and ``text`` if none are given)."""
     cols = cols or ("doc_id", "text")

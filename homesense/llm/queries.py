@@ -11,6 +11,7 @@ from homesense.llm import language, toxicity
 from homesense.llm.caps import near_vectors
 from homesense.llm.common import id_crc, table
 from homesense.llm.decontaminate import contamination
+from homesense.llm.licenses import scan_licenses
 from homesense.llm.ngram_lm import lm_scores
 from homesense.llm.packing import pack_documents
 from homesense.llm.sharding import shard_documents
@@ -46,6 +47,14 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"), min_cosine=0.9)
 
 
+@register("op4_license_scan")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licenses(table(spark, sf_dir, "documents"))
+    top = F.array_max(F.transform("matches", lambda m: F.struct(m["dice"].alias("dice"), m["license"].alias("license"))))
+    return found.select("doc_id", F.size("matches").alias("n_matches"), F.round(top["dice"], 6).alias("best_dice"),
+                        F.array_join(F.array_sort(F.array_distinct("matches.license")), ",").alias("licenses"))
+
+
 @register("op5_toxicity")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")

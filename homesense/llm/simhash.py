@@ -110,13 +110,13 @@ def _find(root: np.ndarray, i: int) -> int:
 
 
 def simhash_components(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """doc_id, row_id, fp, component_id for every row of ``docs``.
+    """doc_id, row_id, fp, root, component_id for every row of ``docs``.
 
     Words are runs of bytes other than 0x20 and 0x09-0x0D, A-Z lower-cased. A text with fewer words than a
     shingle has one shingle, its whole word sequence; a null, empty or blank text has fingerprint 0 and is
     linked like any other. ``component_id`` is the smallest doc_id reachable over links of at most
     ``max_bits`` differing bits; null ids link but never name a component (null if there is no other).
-    ``row_id`` is the row key of (doc_id, text). An empty table gives an empty result.
+    ``root`` names the component by a fingerprint, ``row_id`` is the row key of (doc_id, text). An empty table gives an empty result.
     """
     if not 0 <= max_bits <= 4:
         raise ValueError("the index guarantees meetings up to 4 differing bits")
@@ -128,8 +128,8 @@ def simhash_components(docs: DataFrame, shingle: int = SHINGLE, max_bits: int =
     named = prints.join(roots, prints.fp == roots.node, "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root"))
     smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return rows.join(named.join(smallest, "root").select("fp", "component_id"), "fp").select(
-        "doc_id", "row_id", "fp", "component_id")
+    return rows.join(named.join(smallest, "root").select("fp", "root", "component_id"), "fp").select(
+        "doc_id", "row_id", "fp", "root", "component_id")
 
 
 def hex16(fp: str = "fp") -> Column:
