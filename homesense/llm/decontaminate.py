@@ -17,13 +17,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from homesense.llm.common import row_key, stage
+from homesense.llm.common import row_key, small, stage
 
 SPAN = 13
 K = 7
 W = SPAN - K + 1
 SHARE = 20          # contaminated: at least one word in SHARE is hit
-BROADCAST_ROWS = 400_000
 
 _UPPER = "".join(map(chr, range(65, 91)))
 _OTHER = "".join(chr(c) for c in range(128) if not (48 <= c <= 57 or 65 <= c <= 90 or 97 <= c <= 122 or c == 32))
@@ -63,21 +62,18 @@ def _winnowed(grams: Column) -> Column:
         F.sequence(F.lit(1), F.greatest(F.size(grams) - (W - 1), F.lit(1))), pick), run)).otherwise(none)
 
 
+def _all(grams: Column, size: int) -> Column:
+    return F.transform(grams, lambda h, i: _entry(h, i + 1, size))
+
+
 def fingerprints(short: list[int]) -> Column:
     """Kept fingerprints of a text, with all grams of the given short sizes besides."""
     def of(hashes: Column) -> Column:
         parts = [let(_grams(hashes, K), _winnowed)]
-        for size in short:
-            parts.append(F.transform(_grams(hashes, size), lambda h, i, size=size: _entry(h, i + 1, size)))
-        return F.concat(*parts)
+        return F.concat(*parts, *[_all(_grams(hashes, size), size) for size in short])
     return let(words(), lambda ws: let(F.transform(ws, lambda x: F.xxhash64(x)), of))
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """Marked for broadcasting if a count proves it short; otherwise Spark joins by shuffling."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def _window_text(ws: Column, start: Column, size: Column) -> Column:
     return F.concat_ws(" ", F.slice(ws, start, size))
 
@@ -106,16 +102,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     rows = docs.select("doc_id", "text", row_key().alias("row_id"))
     kept = rows.select("row_id", F.explode(fingerprints(short)).alias("e")).select("row_id", "e.*")
-    hits = kept.join(_small(prints), "h", "left_semi")
+    hits = kept.join(small(prints), "h", "left_semi")
     reach = F.when(F.col("size") == SPAN, F.sequence(F.col("pos") - (W - 1), "pos")).otherwise(F.array("pos"))
     starts = stage(hits.select("row_id", "size", F.explode(reach).alias("start")).filter("start > 0")
                    .groupBy("row_id").agg(F.collect_set(F.struct("start", "size")).alias("starts")), "bench-hits")
     near = rows.dropDuplicates(["row_id"]) if not _unique(rows, starts) else rows
-    seen = near.join(_small(starts), "row_id").select("row_id", F.explode(let(words(), lambda ws: F.transform(
+    seen = near.join(small(starts), "row_id").select("row_id", F.explode(let(words(), lambda ws: F.transform(
         F.filter("starts", lambda s: s["start"] + s["size"] - 1 <= F.size(ws)),
         lambda s: F.struct(s["start"].alias("start"), s["size"].alias("size"),
                            _window_text(ws, s["start"], s["size"]).alias("window"))))).alias("w")).select("row_id", "w.*")
-    found = stage(seen.join(_small(windows.select("size", "window", "set_id")), ["size", "window"])
+    found = stage(seen.join(small(windows.select("size", "window", "set_id")), ["size", "window"])
                   .select("row_id", "start", "size", "set_id"), "bench-found")
     spans = found.groupBy("row_id").agg(F.array_sort(F.collect_set(
         F.struct("start", (F.col("start") + F.col("size")).alias("stop")))).alias("spans"))
@@ -138,5 +134,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def _unique(rows: DataFrame, starts: DataFrame) -> bool:
     """Whether no hit row occurs twice; only then can the texts be joined without removing repeats."""
-    return rows.select("row_id").join(_small(starts.select("row_id")), "row_id", "left_semi") \
+    return rows.select("row_id").join(small(starts.select("row_id")), "row_id", "left_semi") \
         .groupBy("row_id").count().filter("count > 1").isEmpty()

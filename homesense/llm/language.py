@@ -51,12 +51,13 @@ def _clean(raw: bytes | None) -> bytes:
 
 
 def _grams(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(text number, n-gram number) of all n-grams that start in a text, repeats included, n by n."""
+    """(text number, n-gram number) of all n-grams that start in the first ``PIECE`` bytes of a text, repeats
+    included, n by n; three spaces follow each text."""
     joined = np.frombuffer(b"".join(t + b"   " for t in texts), np.uint8).astype(np.uint32)
     lens = np.fromiter(map(len, texts), np.int64, len(texts))
     row = np.repeat(np.arange(len(texts)), lens + 3)
     pos = np.arange(len(row)) - np.repeat(np.cumsum(lens + 3) - (lens + 3), lens + 3)
-    at = np.flatnonzero(pos < np.repeat(lens, lens + 3))
+    at = np.flatnonzero(pos < np.repeat(np.minimum(lens, PIECE), lens + 3))
     row, value = row[at], np.zeros(len(at), np.uint32)
     for n in range(3):
         value = (value << np.uint32(8)) | joined[at + n]

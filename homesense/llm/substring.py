@@ -56,6 +56,8 @@ def recompress(name: np.ndarray, doc: np.ndarray, low: np.ndarray, high: np.ndar
                ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """One round over symbols in order: their names, documents and the spans [low, high] they depend on."""
     n = len(name)
+    if not n:
+        return name, doc, low, high
     # runs: a symbol is known to end its run only by its neighbours
     new = np.ones(n, bool)
     new[1:] = (name[1:] != name[:-1]) | (doc[1:] != doc[:-1])

@@ -92,10 +92,13 @@ class Field:
         if not hits:
             return []
         runs, (aa, ab, ba, bb) = self.runs(), np.exp(self.step).ravel().tolist()
-        forward, o, t, last = [], 0.5, 0.5, -1
+        # state of the first word before its own score counts; then it is a step like the others
+        forward, o, t, last = [], 1.0, math.exp(self.rest), 0
         for k, e in hits:
-            if k:
-                m = runs[min(k - last - 1, RUN)]
+            if not k:
+                t = 1.0
+            else:
+                m = runs[min(max(0, k - last - 1), RUN)]
                 o, t = o * m[0] + t * m[2], o * m[1] + t * m[3]
                 o, t = o * aa + t * ba, o * ab + t * bb
             t *= e
