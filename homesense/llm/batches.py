@@ -12,6 +12,7 @@ the exchange fit a task at every size.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -86,26 +87,23 @@ def unpack(payload: bytes) -> pa.Table:
 class Tokens:
     """The words of a batch: ``ids`` number them within the batch, ``names`` are the words' 64-bit hashes.
 
-    ``ends`` adds an end token (number 0) to each document; number 1 is kept free for its start.
+    ``ends`` adds an end token (number 0) to each document; number 1 is kept free for its start. Without
+    ``ends`` the words themselves are kept, too.
     """
 
     def __init__(self, raws: list[bytes | None], lower: bool, ends: bool):
-        number: dict[bytes, int] = {}
-        get, lens, flat = number.setdefault, [], []
-        self.words: list[list[bytes]] = []
-        for raw in raws:
-            ws = (raw.lower() if lower else raw).split() if raw else []
-            ids = [get(w, len(number) + 2) for w in ws]
-            if ends:
-                ids.append(0)
-            lens.append(len(ids))
-            flat.append(np.array(ids, np.int64))
-            if not ends:
-                self.words.append(ws)
+        split = [(raw.lower() if lower else raw).split() if raw else [] for raw in raws]
+        if not ends:
+            self.words = split
+        number = {w: k for k, w in enumerate(dict.fromkeys(chain.from_iterable(split)), 2)}
+        flat = []
+        for ws in split:
+            ids = np.fromiter(map(number.__getitem__, ws), np.int64, len(ws))
+            flat.append(np.append(ids, 0) if ends else ids)
         self.ids = np.concatenate(flat) if flat else np.zeros(0, np.int64)
-        self.lens = np.array(lens, np.int64)
+        self.lens = np.fromiter(map(len, flat), np.int64, len(flat))
         self.starts = np.cumsum(self.lens) - self.lens
-        self.doc = np.repeat(np.arange(len(lens)), self.lens)
+        self.doc = np.repeat(np.arange(len(flat)), self.lens)
         self.names = np.fromiter((xxhash.xxh64_intdigest(w) for w in number), np.uint64, len(number))
         self.names = np.concatenate([np.array([1, 2], np.uint64), self.names])
 
