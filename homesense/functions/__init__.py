@@ -4,7 +4,7 @@ from homesense.functions.scalars import (array_text, bool_words, center_angle, c
                                          map_replace, map_strict, not_blank_keep_null, np_round, not_in_keep_null,
                                          round_half, round_quarter, row_total, safe_ratio)
 from homesense.functions.time import (angle_to_hms_text, between_time, bin_start, day_start,
-                                      duration_hours, duration_seconds, dst_shift_hours, dst_windows,
+                                      duration_hours, duration_seconds, dst_shift_hours,
                                       epoch_micros, epoch_to_local, from_epoch_micros, hms_text_to_seconds,
                                       iso_from_text, iso_text, last_sunday, localize, localize_true,
                                       micros_of_day, minute_bin, noon_day_bin, quarter_hour_bin,

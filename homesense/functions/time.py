@@ -200,41 +200,19 @@ def last_sunday(year, month) -> Column:
     return F.next_day(F.date_sub(F.last_day(first), 7), "Sun")
 
 
-def dst_windows(years: list[int], shift_time_hours: int = 12,
-                summer_shift: int = 0, winter_shift: int = -1) -> list[tuple[str, str, int]]:
-    """DST windows between consecutive change dates (last Sunday of March / October) of ``years``.
-
-    Each window is [change - shift_time, next change - shift_time) with the summer shift when it starts
-    in March and the winter shift when it starts in October. Computed on the driver from the year list
-    (two rows per year), never from data.
-    """
-    import calendar
-    import datetime as dt
-
-    def last_sun(y, m):
-        d = dt.date(y, m, calendar.monthrange(y, m)[1])
-        return d - dt.timedelta(days=(d.weekday() - 6) % 7)
-
-    dates = []
-    for y in sorted(years):
-        dates += [last_sun(y, 3), last_sun(y, 10)]
-    out = []
-    for st, et in zip(dates[:-1], dates[1:]):
-        shift = winter_shift if 4 <= st.month <= 11 else summer_shift
-        s = dt.datetime.combine(st, dt.time()) - dt.timedelta(hours=shift_time_hours)
-        e = dt.datetime.combine(et, dt.time()) - dt.timedelta(hours=shift_time_hours)
-        out.append((s.isoformat(sep=" "), e.isoformat(sep=" "), shift))
-    return out
-
-
 def dst_shift_hours(ts, years: list[int], shift_time_hours: int = 12,
                     summer_shift: int = 0, winter_shift: int = -1) -> Column:
-    """Hour shift of the DST window containing ``ts``; null outside every window (SC11)."""
-    expr = None
-    for s, e, shift in dst_windows(years, shift_time_hours, summer_shift, winter_shift):
-        cond = (c(ts) >= F.lit(s).cast("timestamp_ntz")) & (c(ts) < F.lit(e).cast("timestamp_ntz"))
-        expr = F.when(cond, F.lit(shift)) if expr is None else expr.when(cond, F.lit(shift))
-    return expr if expr is not None else F.lit(None).cast("int")
+    """Hour shift of the clock-change window that holds ``ts`` (SC11).
+
+    A change takes effect ``shift_time_hours`` before midnight of the last Sunday of March or October. From
+    the March change of a listed year to its October change the summer shift holds, else the winter shift;
+    null before the first listed March change and from the last listed October change on.
+    """
+    day = (c(ts) + F.make_dt_interval(F.lit(0), F.lit(shift_time_hours))).cast("date")
+    year = F.year(day)
+    summer = year.isin(sorted(years)) & (day >= last_sunday(year, F.lit(3))) & (day < last_sunday(year, F.lit(10)))
+    inside = (day >= last_sunday(F.lit(min(years)), F.lit(3))) & (day < last_sunday(F.lit(max(years)), F.lit(10)))
+    return F.when(inside, F.when(summer, F.lit(summer_shift)).otherwise(F.lit(winter_shift)))
 
 
 def iso_text(ts) -> Column:

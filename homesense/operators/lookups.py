@@ -108,11 +108,10 @@ def pin_rows(df: DataFrame, col: str, value, order: Sequence[str], top: bool = T
 
 
 def union_all(frames: Sequence[DataFrame], columns: Sequence[str] | None = None) -> DataFrame:
-    """UNION ALL after projecting every frame to the common columns (ST1)."""
-    cols = list(columns) if columns else [c for c in frames[0].columns if all(c in f.columns for f in frames)]
-    out = frames[0].select(*cols)
+    """UNION ALL by name (ST1): the given columns, or all columns of all frames, null where a frame lacks one."""
+    out = frames[0].select(*columns) if columns else frames[0]
     for f in frames[1:]:
-        out = out.unionByName(f.select(*cols))
+        out = out.unionByName(f.select(*columns) if columns else f, allowMissingColumns=True)
     return out
 
 
@@ -120,7 +119,3 @@ def union_distinct(frames: Sequence[DataFrame], columns: Sequence[str] | None =
     """UNION + full-row distinct (ST2)."""
     return union_all(frames, columns).dropDuplicates()
 
-
-def map_column(col: Column, mapping: Mapping) -> Column:
-    from homesense.functions.scalars import map_replace
-    return map_replace(col, mapping)

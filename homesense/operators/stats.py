@@ -187,24 +187,36 @@ def smooth_histogram(hist: DataFrame, keys: Sequence[str], window_length: int =
             .drop("__n", "__hs", "__hi", "__ts", "__ti"))
 
 
+def _votes(i: int, n: int, r: int) -> np.ndarray:
+    """How often bin ``i`` stands among the neighbours of every bin: bin j looks at j-r .. j+r-1, and places
+    beyond an end stand for the end bin."""
+    j = np.arange(n)
+    votes = ((j > i - r) & (j <= i + r)).astype(np.int64)
+    if i == 0:
+        votes = np.maximum(0, r + 1 - j)
+    if i == n - 1:
+        votes = votes + np.maximum(0, r - 1 - (n - 1 - j)) if n > 1 else np.full(n, 2 * r)
+    return votes
+
+
 def _label_bins(x: np.ndarray, r: int) -> np.ndarray:
-    """Greedy labelling: visit bins from the highest smoothed count down (ties: lower bin first); a bin
-    joins the most frequent positive label among bins i-r .. i+r-1 (indices clipped to the ends, so edge
-    bins repeat), the smaller label on a tie; with no labelled neighbour it opens a new label."""
+    """Segment labels of a smoothed histogram.
+
+    Bins are taken by falling count (rounded to six decimals; ties: lower bin first). A table holds, for each
+    label and bin, how many of the bin's neighbours carry the label; the taken bin gets the label with most
+    votes (ties: the older label), or a new label if it has no vote, and casts its own votes.
+    """
     n = x.shape[0]
-    lab = np.zeros(n, dtype=np.int64)
-    offsets = np.arange(-r, r)
-    nxt = 1
-    for i in np.argsort(-x, kind="stable"):
-        near = lab[np.clip(i + offsets, 0, n - 1)]
-        near = near[near > 0]
-        if near.size == 0:
-            lab[i] = nxt
-            nxt += 1
-        else:
-            vals, cnt = np.unique(near, return_counts=True)
-            lab[i] = vals[np.argmax(cnt)]
-    return lab
+    labels = np.zeros(n, dtype=np.int64)
+    table = np.zeros((0, n), dtype=np.int64)
+    for i in np.lexsort((np.arange(n), -np.round(x, 6))):
+        best = int(table[:, i].argmax()) if len(table) else 0
+        if not len(table) or table[best, i] == 0:
+            best = len(table)
+            table = np.vstack([table, np.zeros((1, n), dtype=np.int64)])
+        labels[i] = best + 1
+        table[best] += _votes(int(i), n, r)
+    return labels
 
 
 def segment_freq(df: DataFrame, keys: Sequence[str], v: str, window_length: int = 59, r: int = 10,

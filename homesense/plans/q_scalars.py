@@ -115,16 +115,14 @@ def q_epoch_to_local(spark, sf):
 _DST_YEARS = [2023, 2024, 2025]
 
 
-def _dst_case() -> str:
-    parts = []
-    for s, e, shift in tf.dst_windows(_DST_YEARS):
-        parts.append(f"WHEN ts >= TIMESTAMP '{s}' AND ts < TIMESTAMP '{e}' THEN {shift}")
-    return "CASE " + " ".join(parts) + " END"
-
-
-@register("dst_shift", f"""
+@register("dst_shift", """
 SELECT event_id, ts + to_hours(CAST(h AS BIGINT)) AS start_date
-FROM (SELECT event_id, ts, {_dst_case()} AS h FROM events) WHERE h IS NOT NULL
+FROM (SELECT event_id, ts, CASE
+  WHEN ts >= TIMESTAMP '2023-03-25 12:00:00' AND ts < TIMESTAMP '2023-10-28 12:00:00' THEN 0
+  WHEN ts >= TIMESTAMP '2023-10-28 12:00:00' AND ts < TIMESTAMP '2024-03-30 12:00:00' THEN -1
+  WHEN ts >= TIMESTAMP '2024-03-30 12:00:00' AND ts < TIMESTAMP '2024-10-26 12:00:00' THEN 0
+  WHEN ts >= TIMESTAMP '2024-10-26 12:00:00' AND ts < TIMESTAMP '2025-03-29 12:00:00' THEN -1
+  WHEN ts >= TIMESTAMP '2025-03-29 12:00:00' AND ts < TIMESTAMP '2025-10-25 12:00:00' THEN 0 END AS h FROM events) WHERE h IS NOT NULL
 """, "SC11")
 def q_dst_shift(spark, sf):
     d = _events(spark, sf).select("event_id", "ts", tf.dst_shift_hours("ts", _DST_YEARS).alias("h"))

@@ -42,16 +42,14 @@ def _ts(col: str):
 
 
 def process_observation(spark: SparkSession, archives: Sequence[str]) -> DataFrame:
-    """The Observations.csv member of every archive, unioned (columns as text)."""
-    frames = [read_zip_csv(spark, a, "Observations.csv") for a in archives]
-    cols = sorted(set.intersection(*[set(f.columns) for f in frames]), key=frames[0].columns.index)
-    return union_all([f.select(*[F.col(c).cast("string").alias(c) for c in cols]) for f in frames], cols)
+    """The Observations.csv member of every archive, unioned by column name (columns as text); an archive
+    without a column gives null there."""
+    return read_zip_csv(spark, list(archives), "Observations.csv", infer=False)
 
 
 def process_device_type(spark: SparkSession, archive: str) -> DataFrame:
     """Code -> display lookup of observation types."""
-    d = read_zip_csv(spark, archive, "Observation-type.csv")
-    return d.select(F.col("code").cast("string").alias("code"), F.col("display").cast("string").alias("display"))
+    return read_zip_csv(spark, archive, "Observation-type.csv", infer=False).select("code", "display")
 
 
 def legacy_motion(observation: DataFrame, tz: str = LONDON) -> DataFrame:
@@ -103,7 +101,7 @@ def legacy_flags(projects: Mapping[str, tuple[DataFrame, DataFrame, DataFrame]])
             dim.withColumnRenamed("code", "__code"), "__code", "left")
         j = j.withColumn("type", F.coalesce(F.col("display"), F.col("type").cast("string"))).drop("__code", "display")
         out.append(j.withColumn("project_id", F.lit(project)))
-    return union_all(out, [c for c in out[0].columns])
+    return union_all(out)
 
 
 def legacy_wellbeing(projects: Mapping[str, DataFrame], questions: Sequence[str]) -> DataFrame:

@@ -6,9 +6,11 @@ predicates so Catalyst pushes them into the Parquet scan.
 
 from __future__ import annotations
 
+import csv
 import io
 import zipfile
 from collections.abc import Iterable, Mapping, Sequence
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -74,24 +76,32 @@ def cast_declared(df: DataFrame, schema: T.StructType, safe: bool = True) -> Dat
 def align_union(old: DataFrame, new: DataFrame) -> DataFrame:
     """Cast the old frame's columns to the new frame's types, then union by name (SCH2).
 
-    Decided from the two schemas on the driver (no pass over the data). A naive old timestamp next to an
-    instant new one is read as UTC wall time. Values that do not convert become null.
+    A naive old timestamp next to an instant new one is read as UTC wall time. A column with an old value
+    that does not convert keeps its old values: it becomes text on both sides, so nothing is lost. Whether
+    that happens is found by one aggregate over the columns in question; the rest follows from the schemas.
     """
-    cols = []
-    for f in old.schema.fields:
-        x = F.col(f"`{f.name}`")
-        if f.name not in new.columns:
-            cols.append(x)
-            continue
-        t = new.schema[f.name].dataType
-        if t == f.dataType:
-            cols.append(x)
-        elif isinstance(t, T.TimestampType) and isinstance(f.dataType, T.TimestampNTZType):
-            # wall time read as UTC, independent of the session zone
-            cols.append(F.timestamp_micros(epoch_micros(x)).alias(f.name))
+    types = {f.name: f.dataType for f in old.schema.fields}
+    casts, doubtful = {}, []
+    for name, t in types.items():
+        target = new.schema[name].dataType if name in new.columns else t
+        x = F.col(f"`{name}`")
+        if target == t:
+            casts[name] = x
+        elif isinstance(target, T.TimestampType) and isinstance(t, T.TimestampNTZType):
+            casts[name] = F.timestamp_micros(epoch_micros(x)).alias(name)  # independent of the session zone
         else:
-            cols.append(x.try_cast(t).alias(f.name))
-    return old.select(*cols).unionByName(new, allowMissingColumns=True)
+            casts[name] = x.try_cast(target).alias(name)
+            if not isinstance(target, T.StringType):
+                doubtful.append(name)
+    if doubtful:
+        lost = old.agg(*[F.max(F.col(f"`{n}`").isNotNull() & casts[n].isNull()).alias(f"c{k}")
+                         for k, n in enumerate(doubtful)]).first()
+        as_text = [n for k, n in enumerate(doubtful) if lost[k]]
+        for name in as_text:
+            casts[name] = F.col(f"`{name}`").cast("string").alias(name)
+        new = new.select(*[F.col(f"`{c}`").cast("string").alias(c) if c in as_text else F.col(f"`{c}`")
+                           for c in new.columns])
+    return old.select(*casts.values()).unionByName(new, allowMissingColumns=True)
 
 
 def snapshot_scan(spark: SparkSession, tables: Mapping[str, str], columns: Mapping[str, Sequence[str]],
@@ -123,59 +133,101 @@ def drop_header_rows(df: DataFrame) -> DataFrame:
     return df.where(~cond) if cond is not None else df
 
 
+def csv_files(spark: SparkSession, paths: Sequence[str] | str) -> list[str]:
+    """The files behind files, folders and patterns: a listing, the contents are not read."""
+    found = spark.read.format("binaryFile").load(paths).select("path").collect()
+    return sorted(r.path for r in found)
+
+
 def read_export_csv(spark: SparkSession, paths: Sequence[str] | str, schema: T.StructType,
-                    source_from_path: bool = True) -> DataFrame:
-    """Exported CSV ingest (SRC7): header line, UTF-8 BOM stripped from the first header name, every
-    column read as text, repeated header rows dropped, 'true'/'false' -> 1.0/0.0, cast to the declared
-    schema, ``source`` = file name stem when the schema has no source values."""
+                    source_from_path: bool = True, multi_line: bool = False) -> DataFrame:
+    """Exported CSV ingest (SRC7): columns bound by the names in each file's own header (files with the same
+    header are read together), a UTF-8 BOM before the first name dropped, every column read as text, repeated
+    header rows dropped, 'true'/'false' -> 1.0/0.0, cast to the declared schema, ``source`` = file name stem.
+    Declared columns that a file lacks are null, undeclared ones are left out. ``multi_line`` reads quoted line
+    breaks, at the price of one task per file."""
     names = [f.name for f in schema.fields if f.name != "source"]
-    text = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
-    d = (spark.read.option("header", True).option("encoding", "UTF-8").option("enforceSchema", True)
-         .schema(text).csv(paths))
-    d = drop_header_rows(d)
+    reader = spark.read.option("header", True).option("encoding", "UTF-8").option("multiLine", multi_line)
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for path in csv_files(spark, paths):
+        by_header.setdefault(tuple(reader.csv(path).columns), []).append(path)
+    frames = []
+    for header, files in by_header.items():
+        clean = [h.lstrip("\ufeff").strip('"') for h in header]
+        d = reader.schema(T.StructType([T.StructField(f"c{k}", T.StringType()) for k in range(len(clean))])).csv(files)
+        at = {h: k for k, h in reversed(list(enumerate(clean)))}
+        d = d.select(*[(F.col(f"c{at[n]}") if n in at else F.lit(None).cast("string")).alias(n) for n in names],
+                     F.input_file_name().alias("source"))
+        frames.append(drop_header_rows(d.withColumnRenamed("source", "__file")).withColumnRenamed("__file", "source"))
+    if not frames:
+        return spark.createDataFrame([], schema)
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
     if source_from_path:
-        d = d.withColumn("source", F.regexp_extract(F.input_file_name(), r"([^/]+?)(\.csv)?$", 1))
-    return cast_declared(d, schema)
+        out = out.withColumn("source", F.regexp_extract("source", r"([^/]+?)(\.csv)?$", 1))
+    else:
+        out = out.drop("source")
+    return cast_declared(out, schema)
 
 
-def zip_csv_lines(spark: SparkSession, zip_paths: Sequence[str] | str, member: str) -> DataFrame:
-    """Text lines of one CSV member of every zip archive (SRC5), decoded with Python's
-    ``unicode_escape`` as the reference does. Each archive is one task (``binaryFile`` rows), then the
-    lines can be repartitioned and parsed with ``spark.read.csv`` on the resulting Dataset of strings."""
-    raw = spark.read.format("binaryFile").load(zip_paths)
+ZIP_ROWS = 5000
 
-    def unzip(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
+
+def _zip_rows(member: str, head_only: bool):
+    """Rows of one CSV member of each archive as (archive, row_no, names, cells); parsed as a stream, so quoted
+    line breaks stay in their cell and the decoded member is never held whole."""
+    def read(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"]):
                 with zipfile.ZipFile(io.BytesIO(content)) as z:
                     if member not in z.namelist():
                         continue
-                    text = z.read(member).decode("unicode_escape")
-                lines = text.splitlines()
-                yield pd.DataFrame({"archive": [path] * len(lines), "line_no": range(len(lines)), "line": lines})
-
-    return raw.select("path", "content").mapInPandas(unzip, "archive string, line_no long, line string")
+                    with z.open(member) as f:
+                        rows = csv.reader(io.TextIOWrapper(f, encoding="unicode_escape", newline=""))
+                        names = [n.lstrip("\ufeff") for n in next(rows, [])]
+                        if head_only:
+                            yield pd.DataFrame({"archive": [path], "row_no": [0], "names": [names], "cells": [names]})
+                            continue
+                        body = ((k, r) for k, r in enumerate(rows, 1) if r and r != names)
+                        while held := list(islice(body, ZIP_ROWS)):
+                            yield pd.DataFrame({"archive": path, "row_no": [k for k, _ in held],
+                                                "names": [names[:len(r)] for _, r in held],
+                                                "cells": [[x if x != "" else None for x in r[:len(names)]] for _, r in held]})
+    return read
 
 
 def read_zip_csv(spark: SparkSession, zip_paths: Sequence[str] | str, member: str,
-                 schema: T.StructType | None = None) -> DataFrame:
-    """``load_zip_csv``: one CSV member from each archive as a DataFrame (header from the first line of
-    each archive; later header lines dropped). Types are inferred when no schema is given."""
-    lines = zip_csv_lines(spark, zip_paths, member)
-    body = lines.where(F.col("line_no") > 0).select("line").repartition(max(1, spark.sparkContext.defaultParallelism))
-    header = lines.where(F.col("line_no") == 0).select("line").limit(1).collect()
-    if not header:
+                 schema: T.StructType | None = None, infer: bool = True) -> DataFrame:
+    """``load_zip_csv`` (SRC5): one CSV member from each archive, decoded with ``unicode_escape`` as the reference
+    does. Columns are bound by the names in each archive's own header; archives without a column give null
+    there, and no column is left out. Each archive is one task. Columns get the declared types of ``schema``,
+    else the narrowest of long, double, boolean, timestamp that every value fits (``infer``), else text."""
+    raw = spark.read.format("binaryFile").load(zip_paths).select("path", "content")
+    out = "archive string, row_no long, names array<string>, cells array<string>"
+    heads = raw.mapInPandas(_zip_rows(member, True), out).groupBy("names").agg(F.min("archive").alias("first")) \
+        .orderBy("first").collect()  # distinct headers only
+    names = list(dict.fromkeys(n for r in heads for n in r["names"]))
+    if not names:
         return spark.createDataFrame([], schema or T.StructType([]))
-    cols = pd.read_csv(io.StringIO(header[0]["line"]), nrows=0).columns.tolist()
-    reader = spark.read.option("header", False)
+    cells = raw.mapInPandas(_zip_rows(member, False), out).select(F.map_from_arrays("names", "cells").alias("m"))
+    df = cells.select(*[F.element_at("m", F.lit(n)).alias(n) for n in names])
     if schema is not None:
-        reader = reader.schema(schema)
-    else:
-        reader = reader.option("inferSchema", True)
-    df = reader.csv(body.rdd.map(lambda r: r[0]))
-    if schema is None:
-        df = df.toDF(*cols)
-    return drop_header_rows(df)
+        return cast_declared(df, schema)
+    return _inferred(df) if infer else df
+
+
+def _inferred(df: DataFrame) -> DataFrame:
+    """Text columns cast to the first of long, double, boolean, timestamp that fits every value."""
+    kinds = ["bigint", "double", "boolean", "timestamp"]
+    fits = df.agg(*[F.coalesce(F.min(F.col(f"`{c}`").isNull() | F.col(f"`{c}`").try_cast(k).isNotNull()), F.lit(False))
+                    .alias(f"f{i}_{k}") for i, c in enumerate(df.columns) for k in kinds],
+                  *[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(df.columns)]).first()
+    cols = []
+    for i, name in enumerate(df.columns):
+        kind = next((k for k in kinds if fits[f"n{i}"] and fits[f"f{i}_{k}"]), "string")
+        cols.append(F.col(f"`{name}`").cast(kind).alias(name))
+    return df.select(*cols)
 
 
 def extract_window(df: DataFrame, ts: str, since: str | None = None, until: str | None = None,
