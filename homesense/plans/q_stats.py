@@ -104,12 +104,43 @@ def q_smooth_hist(spark, sf):
     return round_doubles(st.smooth_histogram(h, ["event_type"]).withColumn("i", F.col("i").cast("long")))
 
 
-@register("segment_freq", None, "WN14", "UD6")
+_LABEL_SQL = f"""
+WITH RECURSIVE {_HIST_SQL.strip()},
+f AS (SELECT event_type, i, bin, freq, freq_smooth, sum(freq_smooth) OVER (
+        PARTITION BY event_type ORDER BY i ROWS UNBOUNDED PRECEDING) AS freq_cumsum,
+      row_number() OVER (PARTITION BY event_type ORDER BY round(freq_smooth, 6) DESC, i) AS rk FROM s),
+o AS (SELECT event_type, list(i ORDER BY rk) AS bins FROM f GROUP BY event_type),
+walk AS (
+  SELECT event_type, bins, 0 AS k, list_transform(range(0, 1440), lambda x: 0) AS lab, 0 AS top FROM o
+  UNION ALL
+  SELECT event_type, bins, k + 1, list_concat(lab[1:pos], [lbl], lab[pos + 2:1440]), greatest(top, lbl) FROM (
+    SELECT *, CASE WHEN len(near) = 0 THEN top + 1 ELSE uniq[list_position(votes, list_max(votes))] END AS lbl FROM (
+      SELECT *, list_transform(uniq, lambda u: len(list_filter(near, lambda x: x = u))) AS votes FROM (
+        SELECT *, list_sort(list_distinct(near)) AS uniq FROM (
+          SELECT *, list_filter(list_transform(range(-10, 10), lambda d: lab[greatest(0, least(1439, pos + d)) + 1]),
+                                lambda x: x > 0) AS near FROM (
+            SELECT *, bins[k + 1] AS pos FROM walk WHERE k < 1440)))))),
+labelled AS (SELECT f.event_type, f.i, f.bin, f.freq, f.freq_smooth, f.freq_cumsum, w.lab[f.i + 1] AS labels
+             FROM f JOIN walk w ON w.event_type = f.event_type AND w.k = 1440)"""
+
+
+@register("segment_freq", f"""{_LABEL_SQL}
+SELECT event_type, i, bin, freq, round(freq_smooth, 6) AS freq_smooth, round(freq_cumsum, 6) AS freq_cumsum, labels
+FROM labelled
+""", "WN14", "UD6")
 def q_segment_freq(spark, sf):
-    return round_doubles(st.segment_freq(_quarter_angles(spark, sf), ["event_type"], "v"))
-
-
-@register("segment_summary", None, "AG20")
+    return round_doubles(st.segment_freq(_quarter_angles(spark, sf), ["event_type"], "v").withColumn("i", F.col("i").cast("long")))
+
+
+@register("segment_summary", f"""{_LABEL_SQL},
+t AS (SELECT event_type, labels, min(bin) AS lo, max(bin) AS hi, CAST(sum(freq) AS BIGINT) AS freq_sum
+      FROM labelled GROUP BY event_type, labels),
+c AS (SELECT *, (lo + 180) % 360 AS a, (hi + 180) % 360 AS z FROM t)
+SELECT event_type, labels, printf('%02d:%02d:00', CAST(a * 4 AS INTEGER) // 60, CAST(a * 4 AS INTEGER) % 60) AS "start",
+       printf('%02d:%02d:00', CAST(z * 4 AS INTEGER) // 60, CAST(z * 4 AS INTEGER) % 60) AS "end",
+       freq_sum, round(freq_sum / sum(freq_sum) OVER (PARTITION BY event_type), 6) AS proportion
+FROM c
+""", "AG20")
 def q_segment_summary(spark, sf):
     seg = st.segment_freq(_quarter_angles(spark, sf), ["event_type"], "v")
     return round_doubles(st.segment_summary(seg, ["event_type"]))

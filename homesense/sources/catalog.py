@@ -2,8 +2,8 @@
 (SRC4, SRC8, SRC11-SRC20, UD1, AG21).
 
 The catalogue and the manifest are small tables (one row per dataset / per written version). Recipes are
-Python functions of parent DataFrames; ``Catalog.load`` builds one lazy plan through the dependency DAG and
-reads materialised versions when they are fresh.
+Python functions of parent DataFrames; ``Catalog.load`` reads stored versions and builds, updates or rebuilds
+them through the dependency DAG on request.
 """
 
 from __future__ import annotations
@@ -46,15 +46,19 @@ def catalog_upsert(catalog: DataFrame, rows: DataFrame, keys: Sequence[str] = ("
     return u.groupBy(*keys).agg(best.alias("__r")).select(*keys, *[F.col(f"__r.{c}").alias(c) for c in others])
 
 
-def catalog_wide(catalog: DataFrame, domain: str = "domain", dataset: str = "dataset") -> DataFrame:
+def catalog_wide(catalog: DataFrame, domain: str = "domain", dataset: str = "dataset",
+                 domains: Sequence[str] | None = None) -> DataFrame:
     """One column per domain (upper-case names), its sorted distinct dataset titles (initcap) from the
     top, blank cells padding the shorter columns; domains ordered by size, largest first (SRC15).
 
-    Returns (row, <DOMAIN columns>): the row index is explicit since the table is a listing.
+    Returns (row, <DOMAIN columns>): the row index is explicit since the table is a listing. The domains are the
+    registry's own short list; pass them to spare the look for them.
     """
+    if domains is None:
+        domains = [r["domain"] for r in domain_order(catalog, domain, dataset).collect()]
     d = catalog.select(F.upper(F.col(domain)).alias("__d"), F.initcap(F.col(dataset)).alias("__t")).distinct()
     d = d.withColumn("__row", F.row_number().over(Window.partitionBy("__d").orderBy("__t")) - 1)
-    return d.groupBy("__row").pivot("__d").agg(F.first("__t")).na.fill("").withColumnRenamed("__row", "row")
+    return d.groupBy("__row").pivot("__d", [x.upper() for x in domains]).agg(F.first("__t")).na.fill("").withColumnRenamed("__row", "row")
 
 
 def domain_order(catalog: DataFrame, domain: str = "domain", dataset: str = "dataset") -> DataFrame:
@@ -81,38 +85,49 @@ def latest_ts(df: DataFrame, ts: str = "start_date", keys: Sequence[str] = ()) -
     return df.groupBy(*keys).agg(F.max(ts).alias("latest"))
 
 
-def incremental_append(stored: DataFrame, fresh: DataFrame, ts: str = "start_date") -> DataFrame:
-    """Raw append (SRC8): fresh rows newer than the stored maximum, old columns aligned to the new
-    types, union. The stored maximum is a scalar subquery, so fresh data is filtered without a join."""
-    from homesense.sources.readers import align_union
-    newest = stored.select(F.max(ts)).scalar()
-    return align_union(stored, fresh.where(newest.isNull() | (F.col(ts) > newest)))
+def incremental_append(stored: DataFrame, fresh: DataFrame, ts: str = "start_date", since=None, until=None) -> DataFrame:
+    """Raw append (SRC8): the whole fetched window ``since <= ts < until`` is appended, old columns aligned to
+    the new types. ``since`` is the bound of the last fetch, not the latest stored time: a late row, or one as
+    old as the newest stored one, is kept like any other."""
+    from homesense.sources.readers import align_union, extract_window
+    return align_union(stored, extract_window(fresh, ts, since, until))
 
 
 def incremental_derive(stored: DataFrame, parents: dict[str, DataFrame], recipe: Callable[..., DataFrame],
                        keys: Sequence[str], ts: str = "start_date", parent_ts: str | None = None,
-                       lookback: str | None = None) -> DataFrame:
-    """Derived update (SRC13, fixing [Q-20]): each parent is cut at the last stored start **per key**
-    (inclusive, minus an optional look-back), the recipe reruns on that slice, the stored rows before the
-    cut are kept and the union is de-duplicated. With a look-back at least as long as the recipe's
-    context the result equals a full recompute.
-
-    The cut table has one row per key; it is joined to the parents (AQE broadcasts it when small).
+                       lookback: str | None = None, fresh: DataFrame | None = None) -> DataFrame:
+    """Derived update (SRC13, fixing [Q-20]): per key, stored rows before a cut are kept and the rest is derived
+    anew from the parents' rows from the cut on.
+
+    The cut is the last stored start. With ``fresh``, the parent rows that arrived since, it is the last
+    stored start at or before the key's earliest fresh row, so late rows are derived in their place; keys
+    without fresh rows are kept whole and not read again. With a look-back at least as long as the recipe's
+    context before a row, the result equals a full recompute. The cut table has one row per key.
     """
-    cut = stored.groupBy(*keys).agg(F.max(ts).alias("__cut"))
-    if lookback:
-        cut = cut.withColumn("__cut", F.col("__cut") - F.expr(f"INTERVAL {lookback}"))
     pts = parent_ts or ts
+    keys = list(keys)
+    newest = F.max(ts)
+    if fresh is not None:
+        first = fresh.groupBy(*keys).agg(F.min(pts).alias("__first"))
+        known = stored.join(first, on=keys, how="inner").groupBy(*keys, "__first").agg(
+            F.max(F.when(F.col(ts) <= F.col("__first"), F.col(ts))).alias("__last"))
+        cut = first.join(known.drop("__first"), on=keys, how="left").select(
+            *keys, F.coalesce("__last", "__first").alias("__cut"))
+    else:
+        cut = stored.groupBy(*keys).agg(newest.alias("__cut"))
+    start = F.col("__cut") - F.expr(f"INTERVAL {lookback}") if lookback else F.col("__cut")
     sliced = {}
     for name, p in parents.items():
         if pts in p.columns and all(k in p.columns for k in keys):
-            j = p.join(cut, on=list(keys), how="left")
-            sliced[name] = j.where(F.col("__cut").isNull() | (F.col(pts) >= F.col("__cut"))).drop("__cut")
+            j = p.join(cut, on=keys, how="left" if fresh is None else "inner")
+            sliced[name] = j.where(F.col("__cut").isNull() | (F.col(pts) >= start)).drop("__cut")
         else:
             sliced[name] = p
-    redo = recipe(**sliced)
-    keep = stored.join(cut, on=list(keys), how="left").where(F.col(ts) < F.col("__cut")).drop("__cut")
-    return keep.unionByName(redo.select(*stored.columns)).dropDuplicates()
+    redo = recipe(**sliced).select(*stored.columns).join(cut, on=keys, how="left") \
+        .where(F.col("__cut").isNull() | (F.col(ts) >= F.col("__cut"))).select(*stored.columns)
+    keep = stored.join(cut, on=keys, how="left")
+    untouched = F.lit(fresh is not None) & F.col("__cut").isNull()
+    return keep.where(untouched | (F.col(ts) < F.col("__cut"))).select(*stored.columns).unionByName(redo)
 
 
 # ---------------------------------------------------------------- registry and load (UD1, SRC11, SRC12, SRC16, SRC17)
@@ -130,25 +145,30 @@ class Recipe:
 class Catalog:
     """Datasets under ``root/{domain}/{dataset}``, a manifest of written versions and a recipe registry.
 
-    ``load`` returns a lazy DataFrame: a fresh materialised version is read back; otherwise the recipe
-    is applied to its parents' DataFrames (recursively). Materialisation happens only in ``materialise``.
+    ``load`` reads the latest stored version; a dataset without one is built and stored first. Names are
+    case-insensitive. Versions are new folders, the manifest only grows: a delete appends a row without path.
     """
 
     spark: SparkSession
     root: str
     recipes: dict[tuple[str, str], Recipe] = field(default_factory=dict)
-    sources: dict[tuple[str, str], Callable[[SparkSession], DataFrame]] = field(default_factory=dict)
+    sources: dict[tuple[str, str], Callable[..., DataFrame]] = field(default_factory=dict)
+    source_ts: dict[tuple[str, str], str | None] = field(default_factory=dict)
 
     def recipe(self, domain: str, name: str, parents: Sequence[tuple[str, str]] = ()):
         """Decorator registering ``fn(**parents) -> DataFrame`` as ``domain.name`` (UD1)."""
         def deco(fn):
-            self.recipes[(domain, name)] = Recipe(domain, name, tuple(parents), fn)
+            key = (domain.lower(), name.lower())
+            self.recipes[key] = Recipe(*key, tuple((p.lower(), d.lower()) for p, d in parents), fn)
             return fn
         return deco
 
-    def source(self, domain: str, name: str):
+    def source(self, domain: str, name: str, ts: str | None = None):
+        """Decorator registering ``fn(spark)`` as a source; with ``ts``, its time column, updates append only the
+        rows of the window since the last fetch."""
         def deco(fn):
-            self.sources[(domain, name)] = fn
+            self.sources[(domain.lower(), name.lower())] = fn
+            self.source_ts[(domain.lower(), name.lower())] = ts
             return fn
         return deco
 
@@ -156,58 +176,96 @@ class Catalog:
     def _manifest_path(self) -> str:
         return f"{self.root.rstrip('/')}/_manifest"
 
+    def _fs(self, path: str):
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
+
     def manifest(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(MANIFEST_SCHEMA).parquet(self._manifest_path())
-        except Exception:  # noqa: BLE001 - no manifest written yet
+        fs, p = self._fs(self._manifest_path())
+        if not fs.exists(p):
             return self.spark.createDataFrame([], MANIFEST_SCHEMA)
+        return self.spark.read.schema(MANIFEST_SCHEMA).parquet(self._manifest_path())
 
     def catalog(self) -> DataFrame:
         rows = [(d, n) for (d, n) in list(self.recipes) + list(self.sources)]
         return self.spark.createDataFrame(rows, CATALOG_SCHEMA)
 
     def path(self, domain: str, name: str) -> str:
-        return f"{self.root.rstrip('/')}/{domain}/{name}"
+        return f"{self.root.rstrip('/')}/{domain.lower()}/{name.lower()}"
 
     def _latest(self, domain: str, name: str):
         m = self.manifest().where((F.col("domain") == domain) & (F.col("dataset") == name))
         rows = manifest_latest(m).collect()  # at most one row per dataset
-        return rows[0] if rows else None
+        return rows[0] if rows and rows[0]["path"] is not None else None
 
-    def load(self, name: str, domain: str, reload: bool = False, _memo: dict | None = None) -> DataFrame:
-        """Lazy DataFrame of ``domain.name`` (SRC11); shared parents are built once per call."""
-        memo = {} if _memo is None else _memo
+    def _record(self, domain: str, name: str, since, until, path: str | None) -> None:
+        row = self.spark.createDataFrame([(domain, name, since, until, _now(), path)], MANIFEST_SCHEMA)
+        row.write.mode("append").parquet(self._manifest_path())
+
+    def _store(self, key: tuple[str, str], df: DataFrame, since, until, compression: str = "gzip") -> str:
+        from homesense.sources.readers import write_table
+        path = f"{self.path(*key)}/v={_now().strftime('%Y%m%dT%H%M%S%f')}"
+        write_table(df, path, compression)
+        self._record(*key, since, until, path)
+        return path
+
+    def load(self, name: str, domain: str, update: bool = False, reload: bool = False, reapply: bool = False,
+             until: dt.datetime | None = None, delay_hours: float = 1, _done: set | None = None) -> DataFrame:
+        """The dataset ``domain.name`` (SRC11), read from its stored version.
+
+        Without a stored version, with ``reload`` or with ``reapply`` it is built and stored: a source is read,
+        a recipe applied to its loaded parents (which ``reload`` builds anew, too). With ``update`` a version
+        whose fetch bound plus the delay lies before ``until`` (default now) is brought up to date: sources
+        append the window since the last fetch, recipes are applied to their updated parents. Each dataset is
+        treated once per call.
+        """
         key = (domain.lower(), name.lower())
-        if key in memo:
-            return memo[key]
         if key not in self.recipes and key not in self.sources:
             raise KeyError(f"unknown dataset {domain}.{name}")
-        latest = None if reload else self._latest(*key)
-        if latest is not None:
-            df = self.spark.read.parquet(latest["path"])
-        elif key in self.sources:
-            df = self.sources[key](self.spark)
+        done = set() if _done is None else _done
+        until = until or _now()
+        latest = self._latest(*key)
+        fresh = latest is not None and latest["until"] is not None \
+            and latest["until"] + dt.timedelta(hours=delay_hours) >= until
+        keep = latest is not None and not (reload or reapply) and (not update or fresh)
+        if key in done or keep:
+            return self.spark.read.parquet(latest["path"])
+        done.add(key)
+        if key in self.sources:
+            path = self._build_source(key, latest if update and not (reload or reapply) else None, until)
         else:
             r = self.recipes[key]
-            parents = {p: self.load(p, d, reload, memo) for (p, d) in r.parents}
-            df = r.fn(**parents)
-        memo[key] = df
-        return df
+            parents = {p: self.load(p, d, update, reload, False, until, delay_hours, done) for (p, d) in r.parents}
+            path = self._store(key, r.fn(**parents), latest["since"] if latest else None, until)
+        return self.spark.read.parquet(path)
+
+    def _build_source(self, key: tuple[str, str], latest, until) -> str:
+        data, ts = self.sources[key](self.spark), self.source_ts.get(key)
+        if latest is None or ts is None or latest["until"] is None:
+            return self._store(key, data, None, until)
+        stored = self.spark.read.parquet(latest["path"])
+        grown = incremental_append(stored, data, ts, latest["until"], until)
+        return self._store(key, grown, latest["since"], until)
 
     def materialise(self, name: str, domain: str, since=None, until=None, compression: str = "gzip") -> str:
-        """Write the dataset to a new version directory and append a manifest row (SRC12, SRC4)."""
-        from homesense.sources.readers import write_table
-        df = self.load(name, domain, reload=True)
-        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        path = f"{self.path(domain, name)}/v={now.strftime('%Y%m%dT%H%M%S%f')}"
-        write_table(df, path, compression)
-        row = self.spark.createDataFrame([(domain, name, since, until, now, path)], MANIFEST_SCHEMA)
-        row.write.mode("append").parquet(self._manifest_path())
-        return path
+        """Builds the dataset from its stored parents (built first where they are missing) and writes a new
+        version (SRC12, SRC4)."""
+        key = (domain.lower(), name.lower())
+        if key in self.sources:
+            df = self.sources[key](self.spark)
+        elif key in self.recipes:
+            r = self.recipes[key]
+            df = r.fn(**{p: self.load(p, d) for (p, d) in r.parents})
+        else:
+            raise KeyError(f"unknown dataset {domain}.{name}")
+        return self._store(key, df, since, until or _now(), compression)
 
     def refresh_domain(self, domain: str) -> list[str]:
-        """Re-materialise every dataset of a domain in dependency order (SRC16, SRC17)."""
-        order, seen = [], set()
+        """New versions of every dataset of a domain in dependency order, sources included (SRC16, SRC17); each
+        is built once, from its parents' latest versions."""
+        domain = domain.lower()
+        order, seen = [k for k in self.sources if k[0] == domain], set()
 
         def visit(k):
             if k in seen or k not in self.recipes:
@@ -223,19 +281,19 @@ class Catalog:
         return [self.materialise(n, d) for (d, n) in order if d == domain]
 
     def delete(self, name: str | None, domain: str, confirm: bool = False) -> None:
-        """Delete a dataset's stored versions (or a whole domain) through the Hadoop FS API (SRC18)."""
+        """Delete a dataset's stored versions (or a whole domain's) and its registration (SRC18)."""
         if not confirm:
             raise ValueError("pass confirm=True to delete")
-        jvm = self.spark.sparkContext._jvm
-        hconf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        target = self.path(domain, name) if name else f"{self.root.rstrip('/')}/{domain}"
-        p = jvm.org.apache.hadoop.fs.Path(target)
-        p.getFileSystem(hconf).delete(p, True)
-        if name:
-            self.recipes.pop((domain, name), None)
-            self.sources.pop((domain, name), None)
-        else:
-            for k in [k for k in self.recipes if k[0] == domain]:
-                self.recipes.pop(k)
-            for k in [k for k in self.sources if k[0] == domain]:
-                self.sources.pop(k)
+        domain = domain.lower()
+        gone = [k for k in [*self.recipes, *self.sources] if k[0] == domain and (not name or k[1] == name.lower())]
+        fs, p = self._fs(self.path(domain, name) if name else f"{self.root.rstrip('/')}/{domain}")
+        fs.delete(p, True)
+        for k in gone:
+            self.recipes.pop(k, None)
+            self.sources.pop(k, None)
+            if self._latest(*k) is not None:
+                self._record(*k, None, None, None)
+
+
+def _now() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
