@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from homesense.llm.common import stage
 
-BATCH_BYTES = 8_000_000
+BATCH_BYTES = 5_000_000
 
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _GOLD = np.uint64(0x9E3779B97F4A7C15)

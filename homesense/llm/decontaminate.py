@@ -6,8 +6,9 @@ joining the kept fingerprints of documents and benchmark items misses no shared
 the windows of SPAN words around it, which are compared word by word with the items' windows. Items shorter
 than SPAN words are one window each; for each such length that occurs, documents keep all grams of it.
 
-Array functions are evaluated once per row: ``let`` binds a value to a lambda variable, as the optimiser would
-otherwise copy the expression into the loop that uses it.
+A text becomes one array of gram hashes; one row per window then picks the smallest in generated code. ``let``
+binds a value to a lambda variable, as the optimiser would otherwise copy the expression into the loop that
+uses it.
 """
 
 from __future__ import annotations
@@ -28,50 +29,59 @@ _UPPER = "".join(map(chr, range(65, 91)))
 _OTHER = "".join(chr(c) for c in range(128) if not (48 <= c <= 57 or 65 <= c <= 90 or 97 <= c <= 122 or c == 32))
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def words(text: str = "text") -> Column:
     """Lower-cased (A-Z) runs of digits, ASCII letters and non-ASCII characters; none for null."""
     plain = F.translate(F.coalesce(F.col(text), F.lit("")), _UPPER + _OTHER, _UPPER.lower() + " " * len(_OTHER))
     return F.array_remove(F.split(plain, " "), "")
 
 
-def _grams(hashes: Column, size: int) -> Column:
-    none = F.array().cast("array<bigint>")
-    return F.when(F.size(hashes) >= size, F.transform(
-        F.sequence(F.lit(1), F.size(hashes) - (size - 1)),
-        lambda i: F.xxhash64(F.lit(size), F.slice(hashes, i, size)))).otherwise(none)
+def _word_count() -> Column:
+    """Number of words: the same runs of characters, counted without building them."""
+    runs = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+    return F.coalesce(F.regexp_count("text", F.lit(runs)), F.lit(0)).cast("long")
 
 
-def _entry(h: Column, pos: Column, size: int) -> Column:
-    return F.struct(h.alias("h"), pos.cast("int").alias("pos"), F.lit(size).alias("size"))
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _winnowed(grams: Column) -> Column:
-    """(h, pos) of the smallest hash of every W neighbours, each position once; positions start at 1."""
-    def pick(i: Column) -> Column:
-        return let(F.slice(grams, i, W), lambda near: let(
-            F.array_min(near), lambda low: _entry(low, i + F.array_position(near, low) - 1, SPAN)))
+def _grams(ws: Column, size: int) -> Column:
+    """Hashes of all grams of ``size`` words, in order."""
+    none = F.array().cast("array<bigint>")
+    return let(F.transform(ws, lambda x: F.xxhash64(x)), lambda hs: F.when(F.size(hs) >= size, F.transform(
+        F.sequence(F.lit(1), F.size(hs) - (size - 1)), lambda i: F.xxhash64(F.slice(hs, i, size)))).otherwise(none))
 
-    def run(picked: Column) -> Column:
-        return F.filter(picked, lambda x, i: (i == 0) | (x["pos"] != F.element_at(picked, F.greatest(i, F.lit(1)))["pos"]))
-    none = F.array().cast("array<struct<h:bigint,pos:int,size:int>>")
-    return F.when(F.size(grams) > 0, let(F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(grams) - (W - 1), F.lit(1))), pick), run)).otherwise(none)
 
+def _all_grams(rows: DataFrame, size: int) -> DataFrame:
+    """(row_id, h, pos, size) of all grams of ``size`` words; ``rows`` has row_id and ws; pos starts at 0."""
+    return rows.select("row_id", F.posexplode(_grams(F.col("ws"), size)).alias("pos", "h")).select(
+        "row_id", "h", "pos", F.lit(size).alias("size"))
 
-def _all(grams: Column, size: int) -> Column:
-    return F.transform(grams, lambda h, i: _entry(h, i + 1, size))
 
+def winnowed(rows: DataFrame) -> DataFrame:
+    """(row_id, h, pos, size) of the kept grams; ``rows`` has row_id and ws.
 
-def fingerprints(short: list[int]) -> Column:
-    """Kept fingerprints of a text, with all grams of the given short sizes besides."""
-    def of(hashes: Column) -> Column:
-        parts = [let(_grams(hashes, K), _winnowed)]
-        return F.concat(*parts, *[_all(_grams(hashes, size), size) for size in short])
-    return let(words(), lambda ws: let(F.transform(ws, lambda x: F.xxhash64(x)), of))
+    A window's pick is new if the window is the first one, if its last gram is smaller than the others, or if
+    the gram that left was the pick before.
+    """
+    grams = rows.select("row_id", _grams(F.col("ws"), K).alias("gs")).filter(F.size("gs") >= W)
+    at = grams.select("row_id", "gs", F.explode(F.sequence(F.lit(0), F.size("gs") - W)).alias("i"))
+    g = [F.get("gs", F.col("i") + j) for j in range(W)]
+    left, inner = F.get("gs", F.col("i") - 1), F.least(*g[:-1])
+    low = F.least(*g)
+    place = F.lit(W - 1)
+    for j in range(W - 2, -1, -1):
+        place = F.when(g[j] == low, F.lit(j)).otherwise(place)
+    return at.filter((F.col("i") == 0) | (g[-1] < inner) | (left <= inner)).select(
+        "row_id", low.alias("h"), (F.col("i") + place).alias("pos"), F.lit(SPAN).alias("size"))
+
+
+def fingerprints(rows: DataFrame, short: list[int]) -> DataFrame:
+    """Kept grams of the rows' texts, with all grams of the given short sizes besides."""
+    out = winnowed(rows)
+    for size in short:
+        out = out.union(_all_grams(rows, size))
+    return out
 
 
 def _window_text(ws: Column, start: Column, size: Column) -> Column:
@@ -90,10 +100,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                   .filter(F.size("ws") > 0), "bench-items")
     n = F.size("ws")
     short = sorted(r.n for r in items.filter(n < SPAN).select(n.alias("n")).distinct().collect())
-    long_prints = items.filter(n >= SPAN).select(F.explode(fingerprints([])).alias("e")).select("e.h")
-    short_prints = items.filter(n < SPAN).select(F.expr("transform(ws, x -> xxhash64(x))").alias("hs"), n.alias("n")) \
-        .select(F.xxhash64("n", "hs").alias("h"))
-    prints = stage(long_prints.union(short_prints).distinct(), "bench-prints")
+    named = items.select(F.xxhash64("item_id", "text").alias("row_id"), "ws")
+    own = winnowed(named)
+    for size in short:
+        own = own.union(_all_grams(named.filter(F.size("ws") == size), size))
+    prints = stage(own.select("h", "size").distinct(), "bench-prints")
     size = F.least(n, F.lit(SPAN))
     windows = stage(items.select("item_id", size.alias("size"), F.explode(F.transform(
         F.sequence(F.lit(1), n - size + 1), lambda i: _window_text(F.col("ws"), i, size))).alias("window"))
@@ -101,9 +112,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .withColumn("set_id", F.xxhash64("items")), "bench-windows")
 
     rows = docs.select("doc_id", "text", row_key().alias("row_id"))
-    kept = rows.select("row_id", F.explode(fingerprints(short)).alias("e")).select("row_id", "e.*")
-    hits = kept.join(small(prints), "h", "left_semi")
-    reach = F.when(F.col("size") == SPAN, F.sequence(F.col("pos") - (W - 1), "pos")).otherwise(F.array("pos"))
+    kept = fingerprints(rows.select("row_id", words().alias("ws")), short)
+    hits = kept.join(small(prints), ["h", "size"], "left_semi")
+    first = F.col("pos") + 1    # array positions start at 1
+    reach = F.when(F.col("size") == SPAN, F.sequence(first - (W - 1), first)).otherwise(F.array(first))
     starts = stage(hits.select("row_id", "size", F.explode(reach).alias("start")).filter("start > 0")
                    .groupBy("row_id").agg(F.collect_set(F.struct("start", "size")).alias("starts")), "bench-hits")
     near = rows.dropDuplicates(["row_id"]) if not _unique(rows, starts) else rows
@@ -123,7 +135,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
               .select("row_id", F.explode("items").alias("item")).groupBy("row_id")
               .agg(F.array_sort(F.collect_set("item")).alias("item_ids")))
     result = spans.select("row_id", n_hit.alias("n_hit")).join(listed, "row_id", "left")
-    counted = docs.select("doc_id", row_key().alias("row_id"), F.size(words()).cast("long").alias("n_words"))
+    counted = docs.select("doc_id", row_key().alias("row_id"), _word_count().alias("n_words"))
     no_items = F.array().cast("array<string>")
     return counted.join(result, "row_id", "left").select(
         "doc_id", "row_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),

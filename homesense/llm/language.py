@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from homesense.llm.common import row_key, text_bytes
+from homesense.llm.common import row_key, small, stage, text_bytes
 
 SAMPLE = 1200
 SAMPLE_CHARS = 20_000
@@ -139,7 +139,7 @@ def train(docs: DataFrame, sample: int = SAMPLE, sample_chars: int = SAMPLE_CHAR
     """Fits on rows with a text that has a letter and a non-null ``lang``. A row's chance to be drawn is inverse
     to its language's frequency; a hash of the text decides, so the sample does not depend on partitioning."""
     rows = docs.filter(F.col("lang").isNotNull() & _has_letter() & (F.length("text") <= sample_chars)).select("text", "lang")
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    sizes = small(stage(rows.groupBy("lang").agg(F.count("*").alias("n")), "language-sizes"))
     draw = (F.pmod(F.xxhash64("text", F.lit(7)), F.lit(1 << 30)) + 1) * F.col("n")
     drawn = (rows.join(sizes, "lang").withColumn("draw", draw).orderBy("draw", "lang", "text").limit(sample)
              .select("lang", text_bytes().alias("raw")).collect())

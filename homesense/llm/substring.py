@@ -263,9 +263,10 @@ def _cut(n_buckets: int, width: int, schema: pa.Schema):
             for words, lo, n, g in zip(t.words, t.starts.tolist(), t.lens.tolist(), n_gone.tolist()):
                 left_over = words if not g else [w for w, z in zip(words, gone[lo:lo + n].tolist()) if not z]
                 kept.append(b" ".join(left_over).decode("utf-8", "replace"))
-            carried = x.table.drop_columns(["__id", "__raw"])
-            out.append(pa.table([*carried.columns, pa.array(t.lens), pa.array(n_gone), pa.array(kept, pa.string())],
-                                names=[*carried.column_names, "__n_words", "__n_removed", "__kept"]))
+            found = {"__n_words": pa.array(t.lens), "__n_removed": pa.array(n_gone), "__kept": pa.array(kept, pa.string())}
+            text = x.table.column("__raw").cast(pa.string())
+            out.append(pa.table([found[f.name] if f.name in found else text if f.name == "text" else x.table.column(f.name)
+                                 for f in schema], names=schema.names))
         return pa.concat_tables(out).cast(schema) if out else schema.empty_table()
     return run
 
@@ -284,7 +285,8 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     fields = [T.StructField(f.name, f.dataType, True) for f in docs.schema.fields]
     schema = T.StructType([*fields, T.StructField("__n_words", T.LongType()), T.StructField("__n_removed", T.LongType()),
                            T.StructField("__kept", T.StringType())])
-    rows = docs.select("*", F.col("doc_id").cast("long").alias("__id"), text_bytes().alias("__raw"))
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]     # the text travels once, as bytes
+    rows = docs.select(*others, F.col("doc_id").cast("long").alias("__id"), text_bytes().alias("__raw"))
     staged = batched(rows, "__raw", "substring-batches")
     n_buckets = bucket_count(staged)
     payloads = staged.select("bid", "payload")

@@ -1,9 +1,9 @@
 """Toxic spans by a linear-chain conditional random field.
 
 Two states, O and T, run along the words of a text. A word's state score is the sum of the weights of its
-features (the word and its prefixes of 3 to 6 characters); a 2x2 table scores neighbouring states. Training
+features (the word and its prefixes of 4 to 6 characters); a 2x2 table scores neighbouring states. Training
 tokens get their labels from document labels: a feature whose distinct contexts (previous word, word, next
-word) lie almost only in toxic documents marks its words in toxic documents as T. Contexts rather than
+word) lie almost only in toxic documents marks its words in toxic documents as T; a prefix must do so without its most frequent word, too. Contexts rather than
 documents are counted, so copies of one toxic document don't turn its harmless words into signs. The field is
 trained by gradient ascent on the conditional likelihood of windows around marked words and of clean windows.
 
@@ -26,12 +26,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from homesense.llm.common import row_key, text_bytes
+from homesense.llm.common import row_key, stage, text_bytes
 
 SAMPLE = 6000
 SAMPLE_CHARS = 20_000
 MIN_CONTEXTS = 12
-MIN_PURITY = 0.95
+MIN_PURITY = 0.95     # at equal numbers of clean and toxic contexts
+MIN_SHARE = 0.8       # as counted
 WINDOW = 10
 MAX_WINDOWS = 6000
 STEPS = 250
@@ -47,9 +48,9 @@ def words_of(raw: bytes | None) -> list[bytes]:
 
 
 def features(word: bytes) -> list[bytes]:
-    """The word and its prefixes of 3 to 6 characters."""
+    """The word and its prefixes of 4 to 6 characters."""
     text = word.decode("utf-8", "replace")
-    return [b"w" + word, *[b"p" + text[:k].encode() for k in range(3, 7) if len(text) >= k]]
+    return [b"w" + word, *[b"p" + text[:k].encode() for k in range(4, 7) if len(text) >= k]]
 
 
 @dataclass
@@ -133,18 +134,23 @@ def _marks(texts: list[list[bytes]], toxic: list[int]) -> set[bytes]:
     for words, y in zip(texts, toxic):
         padded = [b"", *words, b""]
         seen[y].update(zip(padded, words, padded[2:]))
+    words = [Counter(w for _, w, _ in s) for s in seen]
     counts: list[Counter] = [Counter(), Counter()]
-    known: dict[bytes, list[bytes]] = {}
-    for y in (0, 1):
-        for w, n in Counter(w for _, w, _ in seen[y]).items():
-            if w not in known:
-                known[w] = features(w)
-            for f in known[w]:
+    top: dict[bytes, bytes] = {}
+    for y in (1, 0):
+        for w, n in words[y].items():
+            for f in features(w):
                 counts[y][f] += n
+                if y and n > words[1][top.get(f)]:
+                    top[f] = w
     clean_rate = max(1, len(seen[0])) / max(1, len(seen[1]))
-    return {f for f, n in counts[1].items()
-            if n >= MIN_CONTEXTS and n >= MIN_PURITY * (n + counts[0][f] / clean_rate)
-            and n * math.log((n + 0.5) / (counts[0][f] / clean_rate + 0.5)) > 20}
+
+    def telling(n: int, clean: int) -> bool:
+        even = clean / clean_rate
+        return (n >= MIN_CONTEXTS and n >= MIN_PURITY * (n + even) and n >= MIN_SHARE * (n + clean)
+                and n * math.log((n + 0.5) / (even + 0.5)) > 20)
+    return {f for f, n in counts[1].items() if telling(n, counts[0][f])
+            and (f[:1] == b"w" or telling(n - words[1][top[f]], counts[0][f] - words[0][top[f]]))}
 
 
 def fit(raws: list[bytes], toxic: list[int]) -> Field:
@@ -272,11 +278,16 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_chars
     """Fits on documents that have a label ``toxic`` 0 or 1. Texts beyond ``sample_chars`` characters are not
     drawn; a hash of the text decides, so the sample does not depend on partitioning."""
     y = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter("toxic in (0, 1)").distinct()
-    rows = docs.filter(F.length("text") <= sample_chars).select("doc_id", "text").join(y, "doc_id").select("text", "toxic")
+    u = F.pmod(F.xxhash64("text", F.lit(11)), F.lit(1 << 30)) + 1
+    short = docs.filter(F.length("text") <= sample_chars)
+    rows = stage(short.select("doc_id", row_key().alias("row_id"), u.alias("u")).join(y, "doc_id")
+                 .select("row_id", "toxic", "u"), "toxicity-rows")
     sizes = rows.groupBy("toxic").agg(F.count("*").alias("n"))
-    draw = (F.pmod(F.xxhash64("text", F.lit(11)), F.lit(1 << 30)) + 1) * F.col("n")
-    drawn = (rows.join(sizes, "toxic").withColumn("draw", draw).orderBy("draw", "toxic", "text").limit(sample)
-             .select("toxic", text_bytes().alias("raw")).collect())
+    drawn = (rows.join(F.broadcast(sizes), "toxic").orderBy(F.col("u") * F.col("n"), "toxic", "row_id").limit(sample)
+             .select("row_id", "toxic"))
+    drawn = stage(drawn.distinct(), "toxicity-drawn")   # at most ``sample`` rows: only their texts are gathered
+    drawn = (short.withColumn("row_id", row_key()).join(F.broadcast(drawn), "row_id")
+             .select("row_id", "toxic", text_bytes().alias("raw")).dropDuplicates(["row_id", "toxic"]).collect())
     return fit([r.raw for r in drawn], [r.toxic for r in drawn])
 
 
