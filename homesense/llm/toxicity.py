@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -26,9 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from homesense.llm.batches import mix2
 from homesense.llm.common import row_key, stage, text_bytes
 
-SAMPLE = 6000
+SAMPLE = 4000
 SAMPLE_CHARS = 20_000
 MIN_CONTEXTS = 12
 MIN_PURITY = 0.95     # at equal numbers of clean and toxic contexts
@@ -128,29 +129,38 @@ def _summary(marginals: list[tuple[int, float]]) -> tuple[float, float]:
     return (math.log1p(sum(p for _, p in marginals)), max((p for _, p in marginals), default=0.0))
 
 
-def _marks(texts: list[list[bytes]], toxic: list[int]) -> set[bytes]:
-    """Features whose distinct contexts lie almost only in toxic texts."""
-    seen: list[set] = [set(), set()]
-    for words, y in zip(texts, toxic):
-        padded = [b"", *words, b""]
-        seen[y].update(zip(padded, words, padded[2:]))
-    words = [Counter(w for _, w, _ in s) for s in seen]
-    counts: list[Counter] = [Counter(), Counter()]
-    top: dict[bytes, bytes] = {}
-    for y in (1, 0):
-        for w, n in words[y].items():
-            for f in features(w):
-                counts[y][f] += n
-                if y and n > words[1][top.get(f)]:
-                    top[f] = w
-    clean_rate = max(1, len(seen[0])) / max(1, len(seen[1]))
-
-    def telling(n: int, clean: int) -> bool:
-        even = clean / clean_rate
-        return (n >= MIN_CONTEXTS and n >= MIN_PURITY * (n + even) and n >= MIN_SHARE * (n + clean)
+def _context_counts(texts: list[np.ndarray], n_words: int) -> np.ndarray:
+    """For each word number: its distinct contexts (word before, word, word after) in the texts."""
+    if not texts:
+        return np.zeros(n_words, np.int64)
+    padded = [np.concatenate([[0], t + 1, [0]]).astype(np.uint64) for t in texts]
+    key = np.concatenate([mix2(mix2(p[:-2], p[1:-1]), p[2:]) for p in padded])
+    _, first = np.unique(key, return_index=True)
+    return np.bincount(np.concatenate(texts)[first], minlength=n_words)
+
+
+def _marks(names: list[bytes], toxic: np.ndarray, clean: np.ndarray) -> set[bytes]:
+    """Features whose distinct contexts lie almost only in toxic texts, from the context counts of all words."""
+    counts, top = Counter(), {}
+    for k in np.flatnonzero(toxic).tolist():
+        for f in features(names[k]):
+            counts[f] += int(toxic[k])
+            if f not in top or toxic[k] > toxic[top[f]]:
+                top[f] = k
+    counts = {f: n for f, n in counts.items() if n >= MIN_CONTEXTS}
+    others = Counter()
+    for k in np.flatnonzero(clean).tolist():
+        for f in features(names[k]):
+            if f in counts:
+                others[f] += int(clean[k])
+    rate = max(1, int(clean.sum())) / max(1, int(toxic.sum()))
+
+    def telling(n: int, m: int) -> bool:
+        even = m / rate
+        return (n >= MIN_CONTEXTS and n >= MIN_PURITY * (n + even) and n >= MIN_SHARE * (n + m)
                 and n * math.log((n + 0.5) / (even + 0.5)) > 20)
-    return {f for f, n in counts[1].items() if telling(n, counts[0][f])
-            and (f[:1] == b"w" or telling(n - words[1][top[f]], counts[0][f] - words[0][top[f]]))}
+    return {f for f, n in counts.items() if telling(n, others[f])
+            and (f[:1] == b"w" or telling(n - int(toxic[top[f]]), others[f] - int(clean[top[f]])))}
 
 
 def fit(raws: list[bytes], toxic: list[int]) -> Field:
@@ -161,23 +171,30 @@ def fit(raws: list[bytes], toxic: list[int]) -> Field:
             model.doc = (2.0, 0.0, 0.0)
         return model
     order = sorted(range(len(raws)), key=lambda k: raws[k])
-    texts, labels = [words_of(raws[k]) for k in order], [toxic[k] for k in order]
-    marks = _marks(texts, labels)
-    own: dict[bytes, list[bytes]] = defaultdict(list)
+    number: dict[bytes, int] = {}
+    texts = [np.array([number.setdefault(w, len(number)) for w in words_of(raws[k])], np.int64) for k in order]
+    labels, names = [toxic[k] for k in order], list(number)
+    by_label = [_context_counts([t for t, y in zip(texts, labels) if y == side], len(names)) for side in (0, 1)]
+    marks = _marks(names, by_label[1], by_label[0])
+    marked = np.zeros(len(names), bool)
+    for k in np.flatnonzero(by_label[1]).tolist():
+        marked[k] = any(f in marks for f in features(names[k]))
     windows, used = [], Counter()
-    for words, y in zip(texts, labels):
-        tags = [int(bool(y) and any(f in marks for f in own.setdefault(w, features(w)))) for w in words]
-        at = [k for k, tag in enumerate(tags) if tag]
-        middles = at if at else ([len(words) // 2] if words else [])
-        for k in middles[:20]:
-            kind = int(bool(at))
+    for t, y in zip(texts, labels):
+        tags = marked[t] & bool(y)
+        at = np.flatnonzero(tags).tolist()
+        kind = bool(at)
+        for k in (at or [len(t) // 2])[:20] if len(t) else []:
             if used[kind] < MAX_WINDOWS // 2:
                 used[kind] += 1
                 lo = max(0, k - WINDOW)
-                windows.append((words[lo:k + WINDOW + 1], tags[lo:k + WINDOW + 1]))
-    names = sorted({f for ws, tags in windows for w, tag in zip(ws, tags) if tag for f in own[w]})
-    model.weights, model.rest, model.step = _trained(windows, names, own)
-    points = np.array([_summary(model.marginals(words)) for words in texts])
+                windows.append(([names[i] for i in t[lo:k + WINDOW + 1].tolist()], tags[lo:k + WINDOW + 1].astype(int)))
+    if not windows:
+        return model
+    own = {w: features(w) for ws, _ in windows for w in ws}
+    telling = sorted({f for ws, tags in windows for w, tag in zip(ws, tags) if tag for f in own[w]})
+    model.weights, model.rest, model.step = _trained(windows, telling, own)
+    points = np.array([_summary(model.marginals([names[i] for i in t.tolist()])) for t in texts])
     model.doc = _logistic(points, np.array(labels, float))
     return model
 
