@@ -14,13 +14,15 @@ from homesense.operators.sequences import mine_transition
 from homesense.plans.driver_tables import SLEEP_SQL, sleep_mat
 from homesense.plans.recipes.sleep import process_bed_occupancy, process_sleep
 from homesense.plans.registry import register, round_doubles, table
+from homesense.session import staged
 
 GAP_HOURS = 6
 K = ["patient_id"]
 
 
 def base_sleep(spark, sf):
-    return process_sleep(sleep_mat(spark, sf), K, tiebreak="event_id")
+    """The minute table as a stored dataset: edges, marks and naps read it, the readings are read once."""
+    return staged(process_sleep(sleep_mat(spark, sf), K, tiebreak="event_id"), "base-sleep")
 
 
 def _dense_edges_sql(src: str, key: str, ts: str) -> str:

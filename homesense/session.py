@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "homesense") -> SparkSession:
@@ -33,20 +34,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder: the cluster's ``spark.checkpoint.dir`` when set.
-
-    Only when the session names none (local tests) a fresh scratch folder is created and registered.
-    """
+    """The cluster's shared ``spark.checkpoint.dir``. Only a local session that names none gets a scratch folder;
+    a cluster without one is an error, as its machines share no local folder."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if d:
-        return d
-    d = tempfile.mkdtemp(prefix="homesense-ckpt-", dir=os.environ.get("HOMESENSE_SCRATCH", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return d
-
-
-def cut_lineage(df):
-    """Reliable checkpoint (written to the shared checkpoint folder) to cut a long lineage."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+        return d.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="homesense-stage-"))
+    return spark.sparkContext.getCheckpointDir()
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: computed once for all its readers, lineage cut."""
+    path = f"{checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,8 +6,8 @@ over a landing directory with checkpoints in the shared checkpoint folder:
 * T1 ``ingest_landing``: declared schema, ``source`` tag from the file name, exactly-once file sink.
 * T2 ``binned_aggregates``: noon-day / 15-min / minute aggregates with a watermark; append mode emits a
   bin once the watermark has passed its end (late rows inside the delay still count).
-* T3 ``stream_transitions``: transitions that span micro-batch borders, with the last event of every key
-  kept in state (``applyInPandasWithState``; groups hold one key's new events of one micro-batch).
+* T3 ``stream_transitions``: transitions that span micro-batch borders; events are held back until late ones
+  are in, and the last event of every key is carried over (``foreachBatch`` with the batch operator).
 * T4 ``presence_sessions``: gap sessions with a per-row session gap (``session_window``).
 * T5 ``dedupe_redelivered``: ``dropDuplicatesWithinWatermark`` for re-delivered rows.
 
@@ -18,16 +18,15 @@ back into NTZ on output.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from homesense.functions.time import epoch_micros, from_epoch_micros
+from homesense.operators.sequences import transitions
 
 
 def event_time(ts) -> Column:
@@ -83,42 +82,61 @@ def binned_aggregates(stream: DataFrame, keys: Sequence[str], ts: str, every: st
 # ---------------------------------------------------------------- T3
 
 
-def stream_transitions(stream: DataFrame, keys: Sequence[str], ts: str, value: str, tiebreak: str,
-                       key_types: Mapping[str, str] | None = None) -> DataFrame:
-    """Transitions (as WN1) over a stream; the last event of every key is carried in state so a pair
-    spanning two micro-batches is emitted once the later event arrives. Events of one key must arrive in
-    time order across micro-batches (landing files written in time order)."""
+def stream_transitions(stream: DataFrame, keys: Sequence[str], ts: str, value: str, tiebreak: str, out: str,
+                       state: str, checkpoint: str, delay: str = "1 hour", available_now: bool = True) -> StreamingQuery:
+    """Transitions (as WN1) over a stream, in event order even if events arrive late.
+
+    Each micro-batch joins the events held back so far, moves the bound (newest event time less ``delay``)
+    and pairs all events up to the bound with the batch operator; the last one of every key is carried over.
+    Pairs go to ``out/batch=<id>``, what is carried to ``state/batch=<id>``; both are rewritten when a batch is
+    repeated, so every pair is written once. Events older than the bound when they arrive can't be placed
+    any more; they are kept in ``state/late`` and not lost silently. ``pending_transitions`` pairs what is
+    still held back.
+    """
     keys = list(keys)
-    key_types = dict(key_types or {k: stream.schema[k].dataType.simpleString() for k in keys})
-    out_schema = ", ".join([f"{k} {key_types[k]}" for k in keys] +
-                           ["start_date timestamp_ntz", "end_date timestamp_ntz", "source string", "sink string",
-                            "transition string", "dur double"])
-    state_schema = "ts timestamp_ntz, tb long, v string"
-    d = stream.select(*keys, F.col(ts).alias("__ts"), F.col(tiebreak).cast("long").alias("__tb"),
-                      F.coalesce(F.col(value).cast("string"), F.lit("nan")).alias("__v"))
-
-    def step(key: tuple, batches: Iterable[pd.DataFrame], state: GroupState) -> Iterable[pd.DataFrame]:
-        pdf = pd.concat(list(batches), ignore_index=True)
-        if state.exists:
-            last_ts, last_tb, last_v = state.get
-            prev = pd.DataFrame({"__ts": [pd.Timestamp(last_ts)], "__tb": [last_tb], "__v": [last_v]})
-            pdf = pd.concat([prev, pdf[["__ts", "__tb", "__v"]]], ignore_index=True)
-        pdf = pdf.sort_values(["__ts", "__tb"], kind="stable").reset_index(drop=True)
-        nxt = pdf.shift(-1)
-        pairs = pdf.iloc[:-1]
-        out = pd.DataFrame({
-            "start_date": pairs["__ts"].values, "end_date": nxt["__ts"].iloc[:-1].values,
-            "source": pairs["__v"].values, "sink": nxt["__v"].iloc[:-1].values})
-        out["transition"] = out["source"] + ">" + out["sink"]
-        out["dur"] = (pd.to_datetime(out["end_date"]) - pd.to_datetime(out["start_date"])).dt.total_seconds()
-        for i, k in enumerate(keys):
-            out.insert(i, k, key[i])
-        last = pdf.iloc[-1]
-        state.update((last["__ts"].to_pydatetime(), int(last["__tb"]), str(last["__v"])))
-        yield out
-
-    return d.groupBy(*keys).applyInPandasWithState(step, out_schema, state_schema, "append",
-                                                   GroupStateTimeout.NoTimeout)
+    spark = stream.sparkSession
+    cols = stream.select(*keys, F.col(ts).alias("__ts"), F.col(tiebreak).cast("long").alias("__tb"),
+                         F.col(value).cast("string").alias("__v"))
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        held = _held(spark, state, batch_id, cols.schema)
+        bound = held.agg(F.max("__bound")).first()[0]
+        new = batch.where(F.col("__ts").isNotNull()).withColumn("__last", F.lit(False))
+        if bound is not None:
+            new.where(F.col("__ts") <= F.lit(bound)).drop("__last") \
+                .write.mode("overwrite").parquet(f"{state}/late/batch={batch_id}")
+            new = new.where(F.col("__ts") > F.lit(bound))
+        newest = new.agg(F.max(F.col("__ts") - F.expr(f"INTERVAL {delay}"))).first()[0]
+        bound = max((b for b in (bound, newest) if b is not None), default=None)
+        rows = held.drop("__bound").unionByName(new)
+        ready = F.col("__last") | (F.col("__ts") <= F.lit(bound).cast("timestamp_ntz"))
+        _paired(rows.where(ready), keys).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        others = ["__ts", "__tb", "__v"]
+        last = rows.where(ready).groupBy(*keys).agg(F.max_by(F.struct(*others), F.struct("__ts", "__tb")).alias("__r")) \
+            .select(*keys, *[F.col(f"__r.{c}").alias(c) for c in others], F.lit(True).alias("__last"))
+        last.unionByName(rows.where(~F.coalesce(ready, F.lit(False)))) \
+            .withColumn("__bound", F.lit(bound).cast("timestamp_ntz")) \
+            .write.mode("overwrite").parquet(f"{state}/batch={batch_id}")
+
+    w = cols.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+    return (w.trigger(availableNow=True) if available_now else w).start()
+
+
+def _held(spark: SparkSession, state: str, batch_id: int, schema: T.StructType) -> DataFrame:
+    """What the batch before carried over."""
+    full = T.StructType([*schema.fields, T.StructField("__last", T.BooleanType()), T.StructField("__bound", T.TimestampNTZType())])
+    if batch_id == 0:
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).parquet(f"{state}/batch={batch_id - 1}")
+
+
+def _paired(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return transitions(rows.select(*keys, "__ts", "__tb", "__v"), list(keys), "__ts", "__v", tiebreak="__tb")
+
+
+def pending_transitions(spark: SparkSession, state: str, batch_id: int, keys: Sequence[str]) -> DataFrame:
+    """The transitions among the events that the given micro-batch still held back."""
+    return _paired(spark.read.parquet(f"{state}/batch={batch_id}"), keys)
 
 
 # ---------------------------------------------------------------- T4 / T5

@@ -53,12 +53,43 @@ def test_ingest_exactly_once(spark, landing, scratch):
     assert out.select("source").distinct().count() == 6
 
 
-def test_stream_transitions_equal_batch(spark, landing):
-    s = _stream(spark, landing)
-    got = _run(jobs.stream_transitions(s, ["user_id"], "ts", "event_type", "event_id"), "t3")
-    want = seq.transitions(spark.read.parquet(EVENTS), ["user_id"], "ts", "event_type", tiebreak="event_id")
+def _transitions_job(spark, stream, scratch, delay):
+    out, state, ck = (os.path.join(scratch, x) for x in ("t3-out", "t3-state", "t3-ck"))
+    q = jobs.stream_transitions(stream, ["user_id"], "ts", "event_type", "event_id", out, state, ck, delay)
+    q.awaitTermination(300)
+    assert q.exception() is None
+    last = max(int(d.split("=")[1]) for d in os.listdir(state) if d.startswith("batch="))
     cols = ["user_id", "start_date", "end_date", "source", "sink", "transition", "dur"]
-    assert sorted(tuple(r) for r in got.select(*cols).collect()) == sorted(tuple(r) for r in want.select(*cols).collect())
+    got = spark.read.parquet(out).select(*cols).union(jobs.pending_transitions(spark, state, last, ["user_id"]).select(*cols))
+    late = os.path.join(state, "late")
+    n_late = spark.read.parquet(late).count() if os.path.isdir(late) else 0
+    return sorted(tuple(r) for r in got.collect()), n_late
+
+
+def test_stream_transitions_equal_batch(spark, landing, scratch):
+    got, late = _transitions_job(spark, _stream(spark, landing), scratch, "1 hour")
+    want = seq.transitions(spark.read.parquet(EVENTS), ["user_id"], "ts", "event_type", tiebreak="event_id")
+    assert late == 0
+    assert got == sorted(tuple(r) for r in want.select("user_id", "start_date", "end_date", "source", "sink", "transition",
+                                                       "dur").collect())
+
+
+def test_stream_transitions_place_late_events(spark, scratch):
+    import datetime as dt
+    p = os.path.join(scratch, "late-landing")
+    rows = [[(1, 10, "a"), (3, 12, "c")], [(2, 11, "b"), (4, 13, "d")], [(6, 20, "f")], [(5, 12, "e"), (7, 21, "g")]]
+    schema = "event_id long, user_id long, ts timestamp_ntz, event_type string"
+    for k, batch in enumerate(rows):
+        spark.createDataFrame([(i, 1, dt.datetime(2024, 1, 1, h), v) for i, h, v in batch], schema) \
+            .coalesce(1).write.mode("append").parquet(p)
+    import time
+    files = sorted(os.path.join(p, f) for f in os.listdir(p) if f.endswith(".parquet"))
+    order = {spark.read.parquet(f).agg({"event_id": "min"}).first()[0]: f for f in files}
+    for k, i in enumerate((1, 2, 6, 5)):
+        os.utime(order[i], (time.time() - 1000 + 10 * k,) * 2)
+    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(p)
+    got, late = _transitions_job(spark, s, scratch, "3 hours")
+    assert [r[5] for r in got] == ["a>b", "b>c", "c>d", "d>f", "f>g"] and late == 1   # 12:00 came after the bound 17:00
 
 
 def test_binned_counts_closed_windows(spark, landing):
