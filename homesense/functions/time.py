@@ -177,11 +177,6 @@ def localize(ts, tz="Europe/London") -> Column:
     return F.timestamp_add("MICROSECOND", local_of_u - u, c(ts))
 
 
-def localize_true(ts, tz="Europe/London") -> Column:
-    """Plain UTC -> local conversion (the instant-correct variant)."""
-    return from_epoch_micros(F.unix_micros(F.from_utc_timestamp(_as_instant(ts), _tz(tz))))
-
-
 def utc_to_local(ts, tz="Europe/London", shift_hours: int = -2) -> Column:
     """UTC -> local with an hour shift; repeated hour -> summer offset, skipped hour -> offset before (SC9)."""
     off = epoch_micros(ts) - _utc_micros_of_local(ts, tz)

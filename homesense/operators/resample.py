@@ -4,7 +4,7 @@ pandas ``groupby(keys).resample(rule)`` is dense: every bin between a group's fi
 empty bins give 0 for count/sum and null for mean/min/max. Here aggregation runs first on
 ``(keys, bin)`` (map-side partial aggregation, skew spread over bins), and the empty bins are generated
 from the aggregated rows alone: per key, ``lead(bin)`` tells how many bins are missing before the next
-occupied one and ``explode(sequence(...))`` emits them. No grid table and no join; the only windowed
+occupied one and ``step_bins`` emits them in short runs. No grid table and no join; the only windowed
 frame is the aggregated one (at most one row per key and bin).
 """
 
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from homesense.functions.scalars import row_total
 from homesense.functions.time import bin_start, c, week_label
-from homesense.operators.ordered import require_keys
+from homesense.operators.ordered import AUTO, require_keys, with_shifts
 
 BETWEEN_NIGHT = ("18:00", "12:00")
 
@@ -32,26 +32,43 @@ def drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 _B = "__bin"
 
 
-def _interval(seconds: int) -> Column:
-    return F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(seconds))
+RUN = 1024
+
+
+def step_bins(d: DataFrame, start: str, stop: Column, size: int, unit: str, out: str) -> DataFrame:
+    """One row per bin ``start, start + size, .. stop`` (``size`` in ``unit`` SECOND or DAY) of every row, as
+    ``out``. Bins are made in runs of at most ``RUN``, so a long gap is many short arrays and never one long one."""
+    n = F.floor(F.timestamp_diff(unit, F.col(start), stop) / size).cast("long")
+    runs = d.withColumn("__n", n).withColumn("__run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("__n") / RUN))))
+    first = F.col("__run") * RUN
+    k = F.explode(F.sequence(first, F.least(F.col("__n"), first + (RUN - 1))))
+    kind = d.schema[start].dataType
+    return (runs.withColumn("__k", k)
+            .withColumn(out, F.timestamp_add(unit, F.col("__k") * size, F.col(start)).cast(kind)).drop("__n", "__run", "__k"))
 
 
 def densify(agg: DataFrame, keys: Sequence[str], bin_col: str, step_seconds: int | None = None,
-            fill: Mapping[str, object] | None = None, step_days: int | None = None) -> DataFrame:
+            fill: Mapping[str, object] | None = None, step_days: int | None = None,
+            chunk_seconds: int | None | str = None) -> DataFrame:
     """Insert the missing bins of every key between its first and last bin (AG4).
 
     ``agg`` holds at most one row per (keys, bin). Columns named in ``fill`` get that value in inserted
     bins (e.g. 0 for counts); every other column is null there. ``step_days`` steps by calendar days
-    (used for weekly labels).
+    (used for weekly labels). ``chunk_seconds`` finds the next bin in time chunks, for keys with more bins
+    than a task should sort.
     """
     keys = require_keys(keys)
     fill = dict(fill or {})
-    step = F.make_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(step_days)) if step_days else _interval(step_seconds)
-    w = Window.partitionBy(*keys).orderBy(bin_col)
-    nxt = F.col("__next")
-    stop = F.when(nxt.isNull(), F.col(bin_col)).otherwise(nxt - step)
-    d = (agg.withColumn("__next", F.lead(F.col(bin_col)).over(w))
-         .withColumn(_B, F.explode(F.sequence(F.col(bin_col), stop, step))))
+    unit, size = ("DAY", step_days) if step_days else ("SECOND", step_seconds)
+    if chunk_seconds is None:
+        w = Window.partitionBy(*keys).orderBy(bin_col)
+        d = agg.withColumn("__next", F.lead(F.col(bin_col)).over(w))
+    else:
+        d = with_shifts(agg, keys, bin_col, None, {"__next": (bin_col, 1)}, chunk_seconds)
+    kind = agg.schema[bin_col].dataType
+    before = F.timestamp_add(unit, F.lit(-size), F.col("__next")).cast(kind)
+    stop = F.when(F.col("__next").isNull(), F.col(bin_col)).otherwise(before)
+    d = step_bins(d, bin_col, stop, size, unit, _B)
     keep = [*keys, bin_col]
     cols = []
     for f in agg.columns:
@@ -120,14 +137,6 @@ def period_stats(df: DataFrame, keys: Sequence[str], ts: str, measures: Sequence
     return a.withColumnRenamed("__w", "start_date")
 
 
-def forward_fill(df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[str]) -> DataFrame:
-    """Last non-null value so far within each key (WN12; never crosses keys)."""
-    keys = require_keys(keys)
-    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.select(*[F.last(F.col(x), ignorenulls=True).over(w).alias(x) if x in cols else F.col(x)
-                       for x in df.columns])
-
-
 def resample_mean_ffill(df: DataFrame, keys: Sequence[str], ts: str, value: str, every_seconds: int = 900
                         ) -> DataFrame:
     """Mean per key and clock bin, dense, forward-filled within the key (``process_light``, AG8).
@@ -140,13 +149,12 @@ def resample_mean_ffill(df: DataFrame, keys: Sequence[str], ts: str, value: str,
          .groupBy(*keys, "start_date").agg(F.avg(value).alias(value)))
     w = Window.partitionBy(*keys).orderBy("start_date").rowsBetween(Window.unboundedPreceding, 0)
     a = a.withColumn(value, F.last(F.col(value), ignorenulls=True).over(w))
-    step = _interval(every_seconds)
     w2 = Window.partitionBy(*keys).orderBy("start_date")
     a = a.withColumn("__next", F.lead("start_date").over(w2))
-    nxt = F.col("__next")
-    stop = F.when(nxt.isNull(), F.col("start_date")).otherwise(nxt - step)
-    return a.select(*keys, F.explode(F.sequence("start_date", stop, step)).alias("__b"), value) \
-            .withColumnRenamed("__b", "start_date")
+    stop = F.when(F.col("__next").isNull(), F.col("start_date")).otherwise(
+        F.timestamp_add("SECOND", F.lit(-every_seconds), F.col("__next")))
+    return step_bins(a, "start_date", stop, every_seconds, "SECOND", "__b").select(
+        *keys, F.col("__b").alias("start_date"), value)
 
 
 def reindex_grid(df: DataFrame, keys: Sequence[str], ts: str, value: str, every_seconds: int) -> DataFrame:
@@ -162,15 +170,15 @@ def reindex_grid(df: DataFrame, keys: Sequence[str], ts: str, value: str, every_
     span = df.groupBy(*keys).agg(F.min(ts).alias("__lo"), F.max(ts).alias("__hi"))
     d = df.select(*keys, ts, value).join(span, on=keys, how="inner")
     off = F.timestamp_diff("MICROSECOND", F.col("__lo"), F.col(ts))
-    on_grid = d.where(off % F.lit(step) == 0).select(*keys, F.col(ts).alias("__g"),
-                                                      F.array(F.col(value)).alias("__vals"))
+    on_grid = d.where(off % F.lit(step) == 0).select(*keys, ts, value)
     last = F.timestamp_add("MICROSECOND",
                            F.floor(F.timestamp_diff("MICROSECOND", "__lo", "__hi") / F.lit(step)).cast("long")
                            * F.lit(step), F.col("__lo"))
-    ends = span.select(*keys, last.alias("__g"), F.array().cast(on_grid.schema["__vals"].dataType).alias("__vals"))
-    pts = on_grid.unionByName(ends).groupBy(*keys, "__g").agg(F.flatten(F.collect_list("__vals")).alias("__vals"))
-    dense = densify(pts, keys, "__g", every_seconds)
-    return dense.select(*keys, F.col("__g").alias(ts), F.explode_outer("__vals").alias(value))
+    taken = on_grid.select(*keys, ts, F.lit(True).alias("__row")).unionByName(
+        span.select(*keys, last.alias(ts), F.lit(False).alias("__row")))
+    points = taken.groupBy(*keys, ts).agg(F.max("__row").alias("__row"))
+    empty = densify(points, keys, ts, every_seconds, {"__row": False}, chunk_seconds=AUTO).where(~F.col("__row"))
+    return on_grid.unionByName(empty.select(*keys, ts, F.lit(None).cast(df.schema[value].dataType).alias(value)))
 
 
 def occupancy_daily(df: DataFrame, keys: Sequence[str], ts: str, start: str = "18:00", end: str = "12:00"

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from homesense.functions.time import bin_start, day_start, time_angle
 from homesense.operators import resample as rs
 from homesense.operators import stats as st
+from homesense.plans.recipes.profile import habitat_profile
 from homesense.plans.registry import register, round_doubles, table
 
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
@@ -149,6 +150,31 @@ def q_resample_ffill(spark, sf):
     return round_doubles(r.withColumn("date", day_start("start_date")).withColumn("time", time_angle("start_date")))
 
 
+@register("habitat_profile", """
+WITH e AS (SELECT event_type AS patient_id, ts, value,
+             CASE user_id % 4 WHEN 0 THEN 'Kitchen' WHEN 1 THEN 'Lounge' WHEN 2 THEN 'Bathroom' END AS location_name
+           FROM events WHERE event_type IS NOT NULL),
+a AS (SELECT patient_id, location_name, time_bucket(INTERVAL 15 minutes, ts) AS start_date, avg(value) AS value
+      FROM e WHERE location_name IS NOT NULL GROUP BY ALL),
+g AS (SELECT patient_id, location_name, unnest(generate_series(lo, hi, INTERVAL 15 minutes)) AS start_date
+      FROM (SELECT patient_id, location_name, min(start_date) lo, max(start_date) hi FROM a GROUP BY ALL)),
+d AS (SELECT g.*, a.value FROM g LEFT JOIN a USING (patient_id, location_name, start_date))
+SELECT patient_id, location_name, start_date, CAST(CAST(start_date AS DATE) AS TIMESTAMP) AS date,
+       round((hour(start_date) * 3600 + minute(start_date) * 60 + second(start_date)) / 240.0, 6) AS time,
+       round(last_value(value IGNORE NULLS) OVER (PARTITION BY patient_id, location_name ORDER BY start_date
+                                                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS value
+FROM d
+""", "AG8", "D15")
+def q_habitat_profile(spark, sf):
+    """Event values as room readings: rooms by user, one of four with a name that the room map lacks."""
+    ev = table(spark, sf, "events")
+    u = F.col("user_id") % 4
+    room = F.when(u == 0, "kitchen").when(u == 1, "study").when(u == 2, "WC1").when(u == 3, "garage")
+    env = ev.select(F.col("event_type").alias("patient_id"), F.col("ts").alias("start_date"), "value",
+                    room.alias("location_name"))
+    return round_doubles(habitat_profile(env))
+
+
 @register("reindex_grid", """
 WITH e AS (SELECT user_id, time_bucket(INTERVAL 1 hour, ts) AS t, value FROM events WHERE user_id IS NOT NULL),
 g AS (SELECT user_id, unnest(generate_series(lo, hi, INTERVAL 3 hours)) AS t
