@@ -79,19 +79,35 @@ _ROOM_CASE = ("CASE location_name " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v
               + " ELSE location_name END")
 
 
-@register("motion", f"""
+_MOTION_SQL = f"""
 WITH {q_segments.SLEEP_CHAIN_SQL},
 m AS (SELECT patient_id, location_name, start_date FROM ({dt.ACTIVITY_SQL})
       UNION ALL SELECT patient_id, location_name, start_date FROM ({ENTRYWAY_SQL})
       UNION ALL SELECT patient_id, location_name, start_date FROM edges),
 r AS (SELECT patient_id, {_ROOM_CASE} AS location_name, start_date FROM m)
 SELECT * FROM r WHERE location_name IS NULL OR location_name NOT IN ('office', 'conservatory', 'study', 'cellar')
-""", "D7", "FIL10", "FIL2", "ST1")
+"""
+
+
+@register("motion", _MOTION_SQL, "D7", "FIL10", "FIL2", "ST1")
 def q_motion(spark, sf):
     bed = process_bed_occupancy(q_segments.base_sleep(spark, sf), ["patient_id"], one_row_per_minute=True)
     return base.process_motion(dt.activity_view(spark, sf), entryway(spark, sf), bed)
 
 
+@register("room_transitions", f"""
+SELECT patient_id, start_date, end_date, source, sink, source || '>' || sink AS transition, round(dur, 6) AS dur
+FROM (SELECT patient_id, start_date, lead(start_date) OVER w AS end_date, coalesce(location_name, 'nan') AS source,
+             lead(coalesce(location_name, 'nan')) OVER w AS sink,
+             (epoch_us(lead(start_date) OVER w) - epoch_us(start_date)) / 1e6 AS dur
+      FROM ({_MOTION_SQL}) WHERE patient_id IS NOT NULL
+      WINDOW w AS (PARTITION BY patient_id ORDER BY start_date, location_name NULLS FIRST))
+WHERE end_date IS NOT NULL
+""", "D8")
+def q_room_transitions(spark, sf):
+    return round_doubles(base.process_transitions(q_motion(spark, sf)))
+
+
 _LOCAL = (f"(SELECT *, t + ({q_scalars._local_of_utc('u')} - u) AS start_date "
           f"FROM (SELECT *, {q_scalars._U} AS u FROM ({{src}})))")
 _VITALS_SQL = (f"SELECT 'h' AS home_id, user_id AS patient_id, ts AS t, value, 'u' AS unit, "

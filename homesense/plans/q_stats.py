@@ -161,9 +161,6 @@ def q_row_share(spark, sf):
 
 # ---------------------------------------------------------------- sleep model
 
-_DAILIES_COLS = ["period_obs", "time_in_bed", "minutes_snoring", "AWAKE", "DEEP", "REM", "LIGHT", "heart_rate",
-                 "respiratory_rate", "hr_min", "rr_min", "start_time", "hr_max", "rr_max", "end_time",
-                 "nb_awakenings", "bed_time_period", "time_out_of_bed", "time_to_bed", "wake_up_time", "nap_ibp"]
 
 
 def _ratio_sql(num: str, den: str) -> str:

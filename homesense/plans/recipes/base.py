@@ -85,8 +85,8 @@ def process_motion(activity: DataFrame, entryway: DataFrame, bed_occupancy: Data
 
 
 def process_transitions(motion: DataFrame) -> DataFrame:
-    """Room-to-room transitions per patient."""
-    return transitions(motion, ["patient_id"], "start_date", "location_name")
+    """Room-to-room transitions per patient; rows of one time are ordered by room."""
+    return transitions(motion, ["patient_id"], "start_date", "location_name", tiebreak="location_name")
 
 
 def process_physiology(vital_signs: DataFrame, blood_pressure: DataFrame, device_types: DataFrame,

@@ -60,16 +60,6 @@ CARE = {
 }
 SOURCES = {"raw": RAW, "lookup": LOOKUP, "care": CARE}
 
-# The upstream tables unioned into raw.vital_signs.
-VITAL_SIGN_TABLES = ("raw_body_weight", "raw_total_body_water", "raw_body_muscle_mass", "raw_heart_rate",
-                     "raw_body_mass_index", "raw_total_body_fat", "raw_total_bone_mass", "raw_oxygen_saturation",
-                     "raw_skin_temperature", "raw_body_temperature")
-
 
 def schema_of(domain: str, dataset: str) -> T.StructType:
     return SOURCES[domain][dataset]
-
-
-def all_strings(schema: T.StructType) -> T.StructType:
-    """Same columns, every one read as text (CSV ingest reads text first, then casts)."""
-    return T.StructType([T.StructField(f.name, S, True) for f in schema.fields])

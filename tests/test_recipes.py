@@ -167,3 +167,28 @@ def test_parse_activity(spark):
                                  ("999", "Does turn on domestic appliance")], "code string, display string")
     act = legacy.parse_activity(o, dt_, ["Front Door", "Kitchen", "Oven"]).collect()
     assert sorted((r["Front Door"], r.Kitchen, r.Oven) for r in act) == [(0, 0, 1), (0, 1, 0), (1, 0, 0)]
+
+
+def test_base_and_profile_domains_load(spark, scratch):
+    from homesense.plans import driver_tables as views
+    from homesense.plans import q_recipes, q_stats
+    from homesense.plans.compare import rows_of
+    from homesense.plans.recipes.domains import register_base, register_profile
+    from homesense.plans.registry import round_doubles
+    from homesense.sources.catalog import Catalog
+    sf = "/root/testdata/sf0.001"
+    c = Catalog(spark, os.path.join(scratch, "domains"))
+    sources = {"door": views.door_view, "activity": views.activity_view, "appliances": views.appliances_view,
+               "light": views.environment_view, "ambient_temperature": views.environment_view,
+               "sleep_mat": views.sleep_mat, "vital_signs": q_recipes._vitals, "blood_pressure": q_recipes._blood_pressure}
+    for name, view in sources.items():
+        c.source("raw", name)(lambda s, view=view: view(s, sf))
+    c.source("lookup", "device_types")(lambda s: views.device_types_view(s, sf))
+    register_base(c, sleep_tiebreak="event_id", door_tiebreak="event_id")
+    register_profile(c, gap_hours=6)
+    got = round_doubles(c.load("sleep_model", "profile")).toPandas()
+    assert rows_of(got) == rows_of(q_stats.q_sleep_model(spark, sf).toPandas())
+    assert rows_of(c.load("Transitions", "base").toPandas().round(6)) == rows_of(q_recipes.q_room_transitions(spark, sf).toPandas())
+    for name in ("activity_weeklies", "physiology_dailies", "light"):
+        assert c.load(name, "profile").count() > 0
+    assert {r.dataset for r in c.manifest().collect()} >= {"sleep_mat", "sleep", "bed_occupancy", "sleep_dailies", "motion"}
