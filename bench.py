@@ -17,7 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 HEADLINE = [
     "transitions", "mine_transition_2", "pathways", "presence_edges", "gap_sessions", "sleep_dailies",
     "sleep_model", "activity_dailies", "activity_weeklies", "iqr_labels", "resample_15min_ffill",
-    "physiology_dailies", "time_cdf", "smooth_hist", "localize", "lookup_replace", "unpivot_union",
+    "physiology_dailies", "physiology_weeklies", "nightly_metrics", "time_cdf", "smooth_hist", "localize", "lookup_replace", "unpivot_union",
     "incremental_derive", "first_per_group", "catalog_domains",
 ]
 

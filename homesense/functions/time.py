@@ -177,6 +177,25 @@ def localize(ts, tz="Europe/London") -> Column:
     return F.timestamp_add("MICROSECOND", local_of_u - u, c(ts))
 
 
+def localize_zones(df, columns: list[str], zones: list[str] | None = None, default: str = "Europe/London",
+                   zone_col: str = "timezone"):
+    """UTC readings to local wall clocks for several columns (SC8). Without ``zones`` every row gets the default
+    zone. With ``zones`` each row is read in its own ``zone_col``, and rows of other zones are dropped; a name
+    that is no zone is an error."""
+    import zoneinfo
+    unknown = sorted(z for z in [*(zones or [default])] if z not in zoneinfo.available_timezones())
+    if unknown:
+        raise ValueError(f"unknown time zones: {', '.join(unknown)}")
+    if zones is None:
+        df = df.withColumn(zone_col, F.lit(default))
+        tz = default
+    else:
+        df, tz = df.where(F.col(zone_col).isin(zones)), F.col(zone_col)
+    for name in columns:
+        df = df.withColumn(name, localize(name, tz))
+    return df
+
+
 def utc_to_local(ts, tz="Europe/London", shift_hours: int = -2) -> Column:
     """UTC -> local with an hour shift; repeated hour -> summer offset, skipped hour -> offset before (SC9)."""
     off = epoch_micros(ts) - _utc_micros_of_local(ts, tz)

@@ -28,19 +28,24 @@ OUT_OF_BED, EXTREMELY_LOW, EXTREMELY_HIGH = "OOB", "Extremely low", "Extremely h
 
 
 def iqr_labels(df: DataFrame, x: str, labels: Sequence[str] = OCCUPANCY_LABELS, out: str = "global_outcome",
-               full_out: str | None = "outcome_full", approx_accuracy: int | None = None) -> DataFrame:
+               full_out: str | None = "outcome_full", approx_accuracy: int | None = None,
+               rank_out: str | None = None) -> DataFrame:
     """Label each value against the cohort quartiles and 1.5 IQR fences.
 
     0 -> OOB; > q3 + 1.5 IQR -> Extremely high; < q1 - 1.5 IQR -> Extremely low; (lo, q1] / (q1, q3] /
     (q3, hi] -> labels; exactly lo -> null. ``out`` keeps only OOB and the three labels (the others
-    become null), ``full_out`` keeps all six. Quartiles are exact and linear (``percentile``: its buffer
-    grows with the number of distinct values, for hours-in-bed at most 1441); pass
+    become null), ``full_out`` keeps all six, ``rank_out`` is the full label's place in the order from out of
+    bed to extremely high. Quartiles are exact and linear, taken from a (value, count) table: values are
+    counted on all tasks first, and only distinct ones meet (for hours-in-bed at most 1441); pass
     ``approx_accuracy`` for ``percentile_approx`` on unbounded value sets.
     """
     probs = F.array(F.lit(0.25), F.lit(0.75))
-    agg = (F.percentile(F.col(x), probs) if approx_accuracy is None
-           else F.percentile_approx(F.col(x).cast("double"), probs, approx_accuracy).cast("array<double>"))
-    d = df.withColumn("__q", df.select(agg).scalar())
+    if approx_accuracy is None:
+        counts = df.where(F.col(x).isNotNull()).groupBy(F.col(x).alias("__x")).agg(F.count("*").alias("__n"))
+        quartiles = counts.select(F.percentile("__x", probs, F.col("__n")))
+    else:
+        quartiles = df.select(F.percentile_approx(F.col(x).cast("double"), probs, approx_accuracy).cast("array<double>"))
+    d = df.withColumn("__q", quartiles.scalar())
     q1, q3 = F.col("__q")[0], F.col("__q")[1]
     iqr = q3 - q1
     lo, hi = q1 - iqr * 1.5, q3 + iqr * 1.5
@@ -51,6 +56,10 @@ def iqr_labels(df: DataFrame, x: str, labels: Sequence[str] = OCCUPANCY_LABELS,
     d = d.withColumn("__full", full)
     keep = [OUT_OF_BED, *labels]
     d = d.withColumn(out, F.when(F.col("__full").isin(keep), F.col("__full")))
+    if rank_out:
+        order = [OUT_OF_BED, EXTREMELY_LOW, *labels, EXTREMELY_HIGH]
+        place = F.array_position(F.array(*[F.lit(x) for x in order]), F.col("__full")) - 1
+        d = d.withColumn(rank_out, place.cast("int"))
     if full_out:
         d = d.withColumnRenamed("__full", full_out)
     return d.drop("__q", "__full")
@@ -59,17 +68,37 @@ def iqr_labels(df: DataFrame, x: str, labels: Sequence[str] = OCCUPANCY_LABELS,
 # ---------------------------------------------------------------- AG16/AG17 circular moments
 
 
-def circular_mean(angle) -> Column:
-    """Aggregate: circular mean of angles in degrees, in [0, 360)."""
+KINDS = ("angles", "time", "datetime", "timedelta")
+
+
+def _as_kind(angle: Column, kind: str) -> Column:
+    """An angle of the day as degrees, 'HH:MM:SS' text, a time on 2021-01-01 or a day-time interval."""
+    if kind not in KINDS:
+        raise ValueError(f"kind is one of {KINDS}")
+    if kind == "angles":
+        return angle
+    if kind == "time":
+        return angle_to_hms_text(angle)
+    if kind == "datetime":  # whole seconds, on the fixed day of the reference
+        return F.timestamp_add("SECOND", F.floor(angle * 240.0).cast("long"), F.lit("2021-01-01").cast("timestamp_ntz"))
+    return F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (angle * 240.0).cast("decimal(18,6)"))
+
+
+def circular_mean(angle, kind: str = "angles") -> Column:
+    """Aggregate: circular mean of angles in degrees, in [0, 360), as one of ``KINDS`` (AG16)."""
     r = F.radians(c(angle))
-    return F.pmod(F.degrees(F.atan2(F.sum(F.sin(r)), F.sum(F.cos(r)))), F.lit(360.0))
+    return _as_kind(F.pmod(F.degrees(F.atan2(F.sum(F.sin(r)), F.sum(F.cos(r)))), F.lit(360.0)), kind)
 
 
-def circular_std(angle) -> Column:
-    """Aggregate: circular standard deviation in degrees, sqrt(-2 ln R) with R capped at 1."""
+def circular_std(angle, kind: str = "angles") -> Column:
+    """Aggregate: circular standard deviation in degrees, sqrt(-2 ln R) with R capped at 1, as one of ``KINDS``
+    (AG17). Without any direction (R = 0) it is infinite as an angle and null as a time."""
     r = F.radians(c(angle))
     rr = F.least(F.lit(1.0), F.hypot(F.avg(F.sin(r)), F.avg(F.cos(r))))
-    return F.when(rr > 0, F.degrees(F.sqrt(F.lit(-2.0) * F.ln(rr)))).when(rr == 0, F.lit(float("inf")))
+    spread = F.when(rr > 0, F.degrees(F.sqrt(F.lit(-2.0) * F.ln(rr))))
+    if kind == "angles":
+        return spread.when(rr == 0, F.lit(float("inf")))
+    return _as_kind(spread, kind)
 
 
 # ---------------------------------------------------------------- WN8 rolling z-score

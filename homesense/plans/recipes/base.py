@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from homesense.functions.scalars import map_replace, not_blank_keep_null, not_in_keep_null
-from homesense.functions.time import localize
+from homesense.functions.time import localize_zones
 from homesense.operators.lookups import lookup_replace, union_all, unpivot_pairs
 from homesense.operators.sequences import transitions
 
@@ -27,10 +27,8 @@ LONDON = "Europe/London"
 
 
 def _localized(df: DataFrame, tz: str | None = LONDON, col: str = "start_date") -> DataFrame:
-    """``localize_time`` without a zone list: every row in London time, plus a ``timezone`` column."""
-    if tz is None:
-        return df
-    return df.withColumn(col, localize(col, tz)).withColumn("timezone", F.lit(tz))
+    """``localize_zones`` without a zone list: every row in London time, plus a ``timezone`` column."""
+    return df if tz is None else localize_zones(df, [col], None, tz)
 
 
 def _map_devices(df: DataFrame, device_types: DataFrame) -> DataFrame:

@@ -167,3 +167,35 @@ def test_segment_summary_shift(spark):
     out = {r.labels: r for r in st.segment_summary(seg, ["k"]).collect()}
     assert out[1].start == "00:00:00" and out[1].end == "00:01:00" and out[1].freq_sum == 4
     assert out[2].start == "12:00:00" and abs(out[2].proportion - 0.5) < 1e-12
+
+
+def test_circular_kinds(spark):
+    import datetime as dt
+    from homesense.operators import stats as st
+    d = spark.createDataFrame([(350.0,), (10.0,), (30.0,)], "a double")
+    r = d.agg(*[f("a", k).alias(f"{n}_{k}") for n, f in (("m", st.circular_mean), ("s", st.circular_std)) for k in st.KINDS]).first()
+    assert abs(r.m_angles - 10.0) < 1e-9 and r.m_time in ("00:39:59", "00:40:00")     # cut to whole seconds
+    assert r.m_time == str(r.m_datetime.time()) and abs(r.m_timedelta.total_seconds() - 2400) < 1e-3
+    assert r.s_time == str(r.s_datetime.time()) and abs(r.s_timedelta.total_seconds() - r.s_angles * 240) < 1e-3
+
+
+def test_localize_zone_list(spark):
+    import datetime as dt
+    import pytest
+    from homesense.functions.time import localize_zones
+    t = dt.datetime(2021, 7, 1, 12)
+    d = spark.createDataFrame([(1, t, "Europe/London"), (2, t, "America/New_York"), (3, t, "Asia/Tokyo")],
+                              "k int, t timestamp_ntz, timezone string")
+    got = {r.k: r.t.hour for r in localize_zones(d, ["t"], ["Europe/London", "America/New_York"]).collect()}
+    assert got == {1: 13, 2: 8}
+    assert {r.timezone for r in localize_zones(d, ["t"]).collect()} == {"Europe/London"}
+    with pytest.raises(ValueError):
+        localize_zones(d, ["t"], ["Mars/Base"])
+
+
+def test_iqr_label_ranks(spark):
+    from homesense.operators import stats as st
+    d = spark.createDataFrame([(float(x),) for x in [0, 5, 6, 7, 8, 9, 30]], "x double")
+    got = {r.x: (r.outcome_full, r.rank) for r in st.iqr_labels(d, "x", rank_out="rank").collect()}
+    assert got[0.0] == ("OOB", 0) and got[30.0] == ("Extremely high", 5)
+    assert [got[x][1] for x in (5.0, 7.0, 9.0)] == sorted(got[x][1] for x in (5.0, 7.0, 9.0))
