@@ -12,7 +12,6 @@ the exchange fit a task at every size.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -87,17 +86,16 @@ def unpack(payload: bytes) -> pa.Table:
 class Tokens:
     """The words of a batch: ``ids`` number them within the batch, ``names`` are the words' 64-bit hashes.
 
-    ``ends`` adds an end token (number 0) to each document; number 1 is kept free for its start. Without
-    ``ends`` the words themselves are kept, too.
+    ``ends`` adds an end token (number 0) to each document; number 1 is kept free for its start.
     """
 
     def __init__(self, raws: list[bytes | None], lower: bool, ends: bool):
-        split = [(raw.lower() if lower else raw).split() if raw else [] for raw in raws]
-        if not ends:
-            self.words = split
-        number = {w: k for k, w in enumerate(dict.fromkeys(chain.from_iterable(split)), 2)}
+        number: dict[bytes, int] = {}
         flat = []
-        for ws in split:
+        for raw in raws:
+            ws = (raw.lower() if lower else raw).split() if raw else []
+            for w in dict.fromkeys(ws):
+                number.setdefault(w, len(number) + 2)
             ids = np.fromiter(map(number.__getitem__, ws), np.int64, len(ws))
             flat.append(np.append(ids, 0) if ends else ids)
         self.ids = np.concatenate(flat) if flat else np.zeros(0, np.int64)

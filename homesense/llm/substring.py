@@ -30,9 +30,10 @@ from homesense.llm.batches import Tokens, batched, bucket_count, by_bucket, mix,
 from homesense.llm.common import stage, text_bytes
 
 WINDOW = 13
+BATCH_BYTES = 2_000_000
 ROUNDS = 2
 LAST = np.iinfo(np.int64).max        # stands for a null id: never smaller than any other
-FAR = 1 << 40                        # a dependency beyond the document
+FAR = 1 << 30                        # a dependency beyond the document
 _BASE = 0x9E3779B97F4A7C15           # odd, so it has an inverse modulo 2**64
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -100,9 +101,9 @@ def anchors(names: np.ndarray, doc: np.ndarray, spans: Spans, starts: np.ndarray
             rounds: int = ROUNDS) -> np.ndarray:
     """The anchor of the window at each word (``starts`` tells where one fits); ``_NONE`` elsewhere."""
     n = len(names)
-    at = np.arange(n)
+    at = np.arange(n, dtype=np.int32)       # positions fit: a batch is far below FAR words
     levels = [(at, at)]
-    name, d, lo, hi = names, doc, at, at
+    name, d, lo, hi = names, doc.astype(np.int32), at, at
     for r in range(rounds):
         name, d, lo, hi = recompress(name, d, lo, hi, r)
         fits = (lo >= 0) & (hi < FAR) & (hi - lo < width)
@@ -138,6 +139,8 @@ class _Batch:
         self.tokens = t = Tokens(self.table.column("__raw").to_pylist(), lower=False, ends=False)
         ids = self.table.column("__id").to_pylist()
         self.id = np.array([LAST if x is None else x for x in ids], np.int64)
+        if len(t.ids) >= FAR:
+            raise ValueError("a single text has too many words")
         names = t.names[t.ids]
         at = np.arange(len(names))
         self.starts = at + width <= (t.starts + t.lens)[t.doc]
@@ -260,7 +263,8 @@ def _cut(n_buckets: int, width: int, schema: pa.Schema):
             gone = x.removed(_answered(x.keys, second, n_buckets))
             n_gone = np.bincount(t.doc[gone], minlength=len(t.lens)).astype(np.int64)
             kept = []
-            for words, lo, n, g in zip(t.words, t.starts.tolist(), t.lens.tolist(), n_gone.tolist()):
+            for raw, lo, n, g in zip(x.table.column("__raw"), t.starts.tolist(), t.lens.tolist(), n_gone.tolist()):
+                words = raw.as_py().split() if n else []
                 left_over = words if not g else [w for w, z in zip(words, gone[lo:lo + n].tolist()) if not z]
                 kept.append(b" ".join(left_over).decode("utf-8", "replace"))
             found = {"__n_words": pa.array(t.lens), "__n_removed": pa.array(n_gone), "__kept": pa.array(kept, pa.string())}
@@ -287,7 +291,7 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                            T.StructField("__kept", T.StringType())])
     others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]     # the text travels once, as bytes
     rows = docs.select(*others, F.col("doc_id").cast("long").alias("__id"), text_bytes().alias("__raw"))
-    staged = batched(rows, "__raw", "substring-batches")
+    staged = batched(rows, "__raw", "substring-batches", BATCH_BYTES)
     n_buckets = bucket_count(staged)
     payloads = staged.select("bid", "payload")
     shared = stage(payloads.mapInArrow(_send_anchors(n_buckets, window), _SENT).groupBy("bucket")

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from homesense.llm import batches
+from homesense.llm import batches, substring
 from homesense.llm.decontaminate import contamination
 from homesense.llm.ngram_lm import context_bucket, lm_scores, mixture
 from homesense.llm.substring import Spans, cut_repeats, recompress
@@ -43,8 +43,7 @@ def brute_cut(rows, n=13):
 @pytest.mark.parametrize("batch", [300, 8_000_000])
 def test_cut_repeats_against_brute_force(spark, monkeypatch, batch):
     rng = random.Random(7)
-    monkeypatch.setattr(batches, "BATCH_BYTES", batch)
-    monkeypatch.setattr(batches.batched, "__defaults__", (batch,))
+    monkeypatch.setattr(substring, "BATCH_BYTES", batch)
     monkeypatch.setattr(batches.bucket_count, "__defaults__", (batch,))
     parts = [sentence(rng, rng.randint(5, 40)) for _ in range(12)] + ["ab " * 30, "ab cd " * 20]
     rows = texts() + [(200 + k, " ".join(rng.choice(parts) for _ in range(rng.randint(1, 5)))) for k in range(60)]
