@@ -57,6 +57,11 @@ def compare(spark_pdf: pd.DataFrame, oracle_pdf: pd.DataFrame) -> tuple[bool, st
     c2, r2 = rows_of(oracle_pdf)
     if c1 != c2:
         return False, f"columns differ: {c1} vs {c2}"
+    for name in c1:     # pandas turns integers with nulls into floats, so only columns without nulls tell
+        a, b = spark_pdf[name], oracle_pdf[name]
+        kinds = {x.dtype.kind.replace("u", "i") for x in (a, b)}
+        if len(kinds) > 1 and kinds <= set("ifbM") and not a.isna().any() and not b.isna().any():
+            return False, f"types of {name} differ: {a.dtype} vs {b.dtype}"
     if r1 != r2:
         return False, f"only spark {list((r1 - r2).items())[:2]} only oracle {list((r2 - r1).items())[:2]}"
     return True, ""

@@ -174,11 +174,12 @@ def _round_sql(cols_dbl, cols_other, src):
 def _chain(spark, sf):
     sleep = base_sleep(spark, sf)
     edges = process_bed_occupancy(sleep, K, one_row_per_minute=True)
-    tr = mine_transition(edges.select(*K, "start_date", "location_name"), K, "location_name", "start_date", 1)
+    tr = mine_transition(edges.select(*K, "start_date", "location_name"), K, "location_name", "start_date", 1,
+                         dedupe=False)   # edges hold one row per minute
     bed_in = sg.gap_sessions(tr.where(F.col("transition") == "Bed_in>Bed_out"), K, "start_date", "end_date",
                              GAP_HOURS * 3600)
     habits = sg.bed_habits(bed_in, K)
-    marked = sg.mark_periods(sleep, habits, K, "start_date")
+    marked = sg.mark_periods(sleep, habits, K, "start_date", carry=sg.HABIT_COLS)
     return sleep, edges, habits, marked
 
 
@@ -217,8 +218,7 @@ _PERIOD_DBL = [*_VIT_DBL, "time_in_bed", "bed_time_period", "time_out_of_bed", "
 
 
 def periods(spark, sf):
-    _, _, habits, marked = _chain(spark, sf)
-    return sg.sleep_periods(marked, habits, K)
+    return sg.sleep_periods(_chain(spark, sf)[3], None, K)     # habits ride on the opening rows
 
 
 @register("sleep_periods", f"""
