@@ -21,9 +21,11 @@ _KEY = "__row_id"
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a recognisable language (null text or no letter). Learns as the query does."""
+    """Drops documents without a recognisable language (null text or no letter). Learns as the query does; if
+    there is nothing to learn from, only texts without letters go, too."""
     model = language.train(docs.filter(F.pmod(id_crc(), F.lit(5)) != 0))
-    rejected = language.identify(docs, model).filter(F.col("lang_pred") == language.UNKNOWN)
+    found = language.identify(docs, model).filter(F.col("lang_pred") == language.UNKNOWN)
+    rejected = found if model.labels else docs.filter(~language.has_letter()).select(row_key().alias("row_id"))
     return _without(docs, rejected, "language")
 
 

@@ -131,14 +131,15 @@ def _predicted(model: Model):
     return run
 
 
-def _has_letter() -> Column:
+def has_letter() -> Column:
+    """Whether the text has a letter; false for null."""
     return F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
 
 
 def train(docs: DataFrame, sample: int = SAMPLE, sample_chars: int = SAMPLE_CHARS) -> Model:
     """Fits on rows with a text that has a letter and a non-null ``lang``. A row's chance to be drawn is inverse
     to its language's frequency; a hash of the text decides, so the sample does not depend on partitioning."""
-    rows = docs.filter(F.col("lang").isNotNull() & _has_letter() & (F.length("text") <= sample_chars)).select("text", "lang")
+    rows = docs.filter(F.col("lang").isNotNull() & has_letter() & (F.length("text") <= sample_chars)).select("text", "lang")
     sizes = small(stage(rows.groupBy("lang").agg(F.count("*").alias("n")), "language-sizes"))
     draw = (F.pmod(F.xxhash64("text", F.lit(7)), F.lit(1 << 30)) + 1) * F.col("n")
     drawn = (rows.join(sizes, "lang").withColumn("draw", draw).orderBy("draw", "lang", "text").limit(sample)
@@ -155,6 +156,6 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     an empty table gives an empty one.
     """
     return docs.select("doc_id", row_key().alias("row_id"), text_bytes().alias("raw"),
-                       _has_letter().alias("letters")).mapInArrow(
+                       has_letter().alias("letters")).mapInArrow(
         _predicted(model), "doc_id long, row_id long, lang_pred string, score double")
 

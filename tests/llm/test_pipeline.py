@@ -5,7 +5,7 @@ import pytest
 
 import corpus_pipeline
 from homesense.llm.simhash import fingerprint
-from tests.llm.cases import frame, sentence, texts
+from tests.llm.cases import empty, frame, sentence, texts
 from tests.llm.test_exchanges import brute_contamination, brute_cut
 from tests.llm.test_simhash import brute
 
@@ -84,3 +84,14 @@ def test_run_over_tables(spark):
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     fill = {r.sequence_id: r.n for r in out.groupBy("sequence_id").agg({"length": "sum"}).toDF("sequence_id", "n").collect()}
     assert fill and max(fill.values()) <= 1024
+
+
+def test_nothing_to_learn_and_empty_tables(spark, rows, scratch):
+    docs, items = rows
+    steps = dict(corpus_pipeline.STAGES)
+    out = steps["language_id"](spark, frame(spark, docs), scratch)      # no row has a language
+    assert out.count() == sum(1 for _, t in docs if t and any(c.isalpha() for c in t))
+    spark.createDataFrame([], "item_id long, text string").write.parquet(os.path.join(scratch, "benchmark.parquet"))
+    for name, step in steps.items():
+        out = step(spark, empty(spark), scratch)
+        assert out.count() == 0 and (name == "packing" or out.dtypes == empty(spark).dtypes)
