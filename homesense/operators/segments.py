@@ -102,7 +102,9 @@ def mark_periods(sleep: DataFrame, habits: DataFrame, keys: Sequence[str], ts: s
                  out: str = "period_segments", chunk_seconds: int | None | str = AUTO,
                  carry: Sequence[str] = ()) -> DataFrame:
     """Carry a period id forward over the minute rows: a row whose (key, time) is a habit start opens a
-    new period; id = running count of opened periods per key, 0 before the first one (JN8 + WN6).
+    new period; id = running count of opened periods per key, 0 before the first one (JN8 + WN6). ``sleep``
+    holds at most one row per key and minute, as ``process_sleep`` gives it: each row of an opening minute opens
+    a period.
 
     ``carry`` habit columns are attached (as ``__h_<name>``) to the opening row only, so the period
     aggregate can pick them up without joining the habits a second time.
@@ -111,7 +113,6 @@ def mark_periods(sleep: DataFrame, habits: DataFrame, keys: Sequence[str], ts: s
     starts = habits.select(*keys, F.col("start_date").alias(ts), F.lit(1).alias("__mark"),
                            *[F.col(x).alias(f"__h_{x}") for x in carry])  # one habit per start: unique
     d = sleep.join(starts, on=[*keys, ts], how="left").withColumn("__mark", F.coalesce("__mark", F.lit(0)))
-    # ties on one minute (merged duplicates) are all marked; order inside a minute does not change sums
     return with_running_sum(d, keys, ts, None, "__mark", out, chunk_seconds).drop("__mark")
 
 

@@ -16,6 +16,8 @@ CODE_OF_EVENT = {"view": lg.MOTION_CODE, "click": lg.DOOR_CODE, "purchase": lg.T
 # Fixed observation-type dictionary used with that view.
 OBSERVATION_TYPES = [("29463-7", "Body weight"), ("8310-5", "Body temperature"), (lg.MOTION_CODE, "Movement"),
                      (lg.DOOR_CODE, "Door")]
+#: With one more code, for appliance use.
+APPLIANCE_TYPES = [*OBSERVATION_TYPES, ("8867-4", "Does turn on domestic appliance")]
 
 
 def observation_view(spark, sf):
@@ -95,12 +97,12 @@ def q_legacy_physiology(spark, sf):
     return round_doubles(lg.legacy_physiology(observation_view(spark, sf), _types(spark)))
 
 
-_ACT_LOCATIONS = ["Front Door", "Back Door", "Main Door", "Fridge Door", "living room"]
+_ACT_LOCATIONS = ["Front Door", "Back Door", "Main Door", "Fridge Door", "living room", "Oven"]
 
 
 @register("parse_activity", f"""
 WITH o AS ({OBS_SQL}),
-c AS (SELECT o.*, d.display FROM o LEFT JOIN (VALUES {", ".join(f"('{a}', '{b}')" for a, b in OBSERVATION_TYPES)})
+c AS (SELECT o.*, d.display FROM o LEFT JOIN (VALUES {", ".join(f"('{a}', '{b}')" for a, b in APPLIANCE_TYPES)})
         d(code, display) ON o.type = d.code
       WHERE coalesce(valueState, CAST(value AS VARCHAR)) IS NOT NULL AND year(ts) > 2014
         AND (type IS NULL OR type <> '{lg.STATUS_CODE}')),
@@ -116,13 +118,33 @@ ep AS (SELECT 'legacy' AS project, subject, pts AS datetimeObserved, location FR
          AND location NOT IN ({", ".join(f"'{x}'" for x in lg.EXAMPLE_DOOR_DROP)})),
 mv AS (SELECT 'legacy' AS project, subject, ts AS datetimeObserved, location FROM c
        WHERE display = 'Movement' AND location NOT IN ({", ".join(f"'{x}'" for x in lg.EXAMPLE_MOVEMENT_DROP)})),
-act AS (SELECT * FROM ep UNION ALL SELECT * FROM mv)
+ap AS (SELECT 'legacy' AS project, subject, ts AS datetimeObserved, 'Oven' AS location FROM c
+       WHERE type = '8867-4' AND (valueState = 'Open' OR value <= 50)),
+act AS (SELECT * FROM ep UNION ALL SELECT * FROM mv UNION ALL SELECT * FROM ap)
 SELECT project, subject, datetimeObserved,
        {", ".join(f'CASE WHEN location = {chr(39)}{x}{chr(39)} THEN 1 ELSE 0 END AS "{x}"' for x in _ACT_LOCATIONS)}
 FROM act
 """, "D24", "FIL9", "WN13", "AG22")
 def q_parse_activity(spark, sf):
-    return lg.parse_activity(observation_view(spark, sf), _types(spark), _ACT_LOCATIONS)
+    """Errors stand for appliance use here: microwaves, toasters and one device that the example drops."""
+    o = observation_view(spark, sf)
+    device = F.when(F.col("valueState") == "Open", "Microwave").when(F.col("valueQuantity").cast("double") > 50, "A") \
+        .otherwise("Toaster")
+    o = o.withColumn("location", F.when(F.col("type") == "8867-4", device).otherwise(F.col("location")))
+    return lg.parse_activity(o, spark.createDataFrame(APPLIANCE_TYPES, "code string, display string"), _ACT_LOCATIONS)
+
+
+@register("clean_observations", f"""
+WITH o AS ({OBS_SQL})
+SELECT type, subject, location, ts AS datetimeObserved, valueState, round(value, 6) AS value, valueUnit, display,
+       1 AS activity, subject AS project_id, display AS device_name, 'legacy' AS project
+FROM o LEFT JOIN (VALUES {", ".join(f"('{a}', '{b}')" for a, b in OBSERVATION_TYPES)}) d(code, display) ON o.type = d.code
+WHERE coalesce(valueState, CAST(value AS VARCHAR)) IS NOT NULL AND year(ts) > 2014
+  AND (type IS NULL OR type <> '{lg.STATUS_CODE}')
+""", "FIL9", "FIL14")
+def q_clean_observations(spark, sf):
+    d = lg.clean_observations(observation_view(spark, sf), _types(spark))
+    return round_doubles(d.withColumn("value", F.col("valueQuantity").cast("double")).drop("valueQuantity"))
 
 
 # Fixed flag-type dictionary for the flags view (codes not listed stay as their code).

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from homesense.functions.scalars import array_text
 from homesense.operators import lookups as lk
 from homesense.operators.sequences import transitions
 from homesense.plans.registry import register, round_doubles, table
@@ -197,31 +198,5 @@ FROM embeddings
 """, "SCH4")
 def q_array_to_string(spark, sf):
     emb = table(spark, sf, "embeddings")
-    return emb.select("vec_id", "label", F.concat_ws(" ", F.transform("embedding", lambda x: F.format_string("%.6f", x)))
-                      .alias("embedding_text"))
-
-
-@register("clean_observations", """
-WITH o AS (SELECT event_id, user_id, ts, event_type,
-                  CASE WHEN event_type = 'click' THEN value END AS v1, CASE WHEN event_type = 'view' THEN value END AS v2,
-                  CASE WHEN event_type = 'purchase' THEN value END AS v3, CASE WHEN value > 90 THEN value END AS v4,
-                  CASE WHEN value < 5 THEN value END AS v5 FROM events),
-dim AS (SELECT c_custkey, max(c_name) AS c_name FROM customer GROUP BY c_custkey)
-SELECT o.event_id, o.user_id, o.ts, o.event_type, round(v1, 6) AS v1, round(v2, 6) AS v2, round(v3, 6) AS v3,
-       round(v4, 6) AS v4, round(v5, 6) AS v5, 'homesense' AS project, dim.c_name AS subject_name
-FROM o LEFT JOIN dim ON o.user_id = dim.c_custkey
-WHERE coalesce(v1, v2, v3, v4, v5) IS NOT NULL AND year(ts) > 2014 AND event_type <> 'error'
-""", "FIL9", "FIL14")
-def q_clean_observations(spark, sf):
-    ev = table(spark, sf, "events")
-    v = F.col("value")
-    o = ev.select("event_id", "user_id", "ts", "event_type",
-                  F.when(F.col("event_type") == "click", v).alias("v1"), F.when(F.col("event_type") == "view", v).alias("v2"),
-                  F.when(F.col("event_type") == "purchase", v).alias("v3"), F.when(v > 90, v).alias("v4"),
-                  F.when(v < 5, v).alias("v5"))
-    o = o.where(F.coalesce("v1", "v2", "v3", "v4", "v5").isNotNull() & (F.year("ts") > 2014)
-                & ~F.coalesce(F.col("event_type") == "error", F.lit(False)))
-    dim = lk.unique_dim(table(spark, sf, "customer"), "c_custkey", "c_name")
-    o = o.withColumn("project", F.lit("homesense")).join(
-        dim.select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("subject_name")), "user_id", "left")
-    return round_doubles(o)
+    cells = F.transform("embedding", lambda x: F.format_string("%.6f", x))      # fixed digits, as engines print floats apart
+    return emb.select("vec_id", "label", array_text(cells).alias("embedding_text"))

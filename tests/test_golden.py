@@ -199,3 +199,10 @@ def test_iqr_label_ranks(spark):
     got = {r.x: (r.outcome_full, r.rank) for r in st.iqr_labels(d, "x", rank_out="rank").collect()}
     assert got[0.0] == ("OOB", 0) and got[30.0] == ("Extremely high", 5)
     assert [got[x][1] for x in (5.0, 7.0, 9.0)] == sorted(got[x][1] for x in (5.0, 7.0, 9.0))
+
+
+def test_pin_rows_order(spark):
+    from homesense.operators.lookups import pin_rows
+    d = spark.createDataFrame([("b", 2), ("a", 1), ("x", 9), ("c", 3)], "k string, n int")
+    assert [r.k for r in pin_rows(d, "k", "x", ["n"]).collect()] == ["x", "a", "b", "c"]
+    assert [r.k for r in pin_rows(d, "k", "a", ["n"], top=False).collect()] == ["b", "c", "x", "a"]
