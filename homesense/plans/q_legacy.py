@@ -65,7 +65,7 @@ FROM (SELECT subject AS patient_id, location AS location_name, ts AS start_date,
              lead(CASE valueState WHEN 'Close' THEN 'closed' WHEN 'Open' THEN 'opened' ELSE valueState END) OVER w
                AS sink
       FROM ({OBS_SQL}) WHERE type = '{lg.DOOR_CODE}' AND location IS NOT NULL
-      WINDOW w AS (PARTITION BY subject, location ORDER BY ts))
+      WINDOW w AS (PARTITION BY subject, location ORDER BY ts, valueState))
 WHERE end_date IS NOT NULL
 """, "D19", "FIL10", "WN1", "SC15")
 def q_legacy_doors(spark, sf):

@@ -61,12 +61,13 @@ def legacy_motion(observation: DataFrame, tz: str = LONDON) -> DataFrame:
 
 
 def legacy_doors(observation: DataFrame, tz: str = LONDON) -> DataFrame:
-    """Door open/close transitions per patient and door; door names lower-cased."""
+    """Door open/close transitions per patient and door; door names lower-cased, rows of one time ordered
+    by state."""
     d = observation.where((F.col("type") == DOOR_CODE) & F.col("location").isNotNull())
     d = d.select(F.col("subject").alias("patient_id"), F.col("location").alias("location_name"),
                  localize(_ts("datetimeObserved"), tz).alias("start_date"),
                  map_replace("valueState", DOOR_WORDS).alias("value"))
-    t = transitions(d, ["patient_id", "location_name"], "start_date", "value")
+    t = transitions(d, ["patient_id", "location_name"], "start_date", "value", tiebreak="value")
     return t.withColumn("location_name", F.lower("location_name"))
 
 
