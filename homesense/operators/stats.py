@@ -180,13 +180,14 @@ def histogram_grid(df: DataFrame, keys: Sequence[str], v: str, lb: float = 0.0,
     d = df.where(F.col(v).isNotNull())
     for k in keys:
         d = d.where(F.col(k).isNotNull())
-    hits = (d.select(*keys, pos.alias("__p"))
-            .where((F.col("__p") == F.floor("__p")) & (F.col("__p") >= 0) & (F.col("__p") < n))
-            .groupBy(*keys, F.col("__p").cast("int").alias("i")).agg(F.count(F.lit(1)).alias("freq")))
-    grid = d.select(*keys).distinct().select(*keys, F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("i"))
-    return (grid.join(hits, on=[*keys, "i"], how="left")
-            .select(*keys, "i", (F.lit(lb) + F.col("i") * F.lit(step)).alias("bin"),
-                    F.coalesce(F.col("freq"), F.lit(0)).alias("freq")))
+    at = F.when((pos == F.floor(pos)) & (pos >= 0) & (pos < n), pos.cast("int"))
+    counts = d.groupBy(*keys, at.alias("__i")).agg(F.count(F.lit(1)).alias("__n"))
+    # at most n occupied bins per key: one small map, read once, instead of a grid joined to the counts
+    taken = F.collect_list(F.when(F.col("__i").isNotNull(), F.struct("__i", "__n")))
+    keyed = counts.groupBy(*keys).agg(F.map_from_entries(taken).alias("__bins"))
+    grid = keyed.select(*keys, "__bins", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("i"))
+    return grid.select(*keys, "i", (F.lit(lb) + F.col("i") * F.lit(step)).alias("bin"),
+                       F.coalesce(F.try_element_at("__bins", F.col("i")), F.lit(0)).alias("freq"))
 
 
 def smooth_histogram(hist: DataFrame, keys: Sequence[str], window_length: int = 59) -> DataFrame:
@@ -201,11 +202,12 @@ def smooth_histogram(hist: DataFrame, keys: Sequence[str], window_length: int =
     wk = Window.partitionBy(*keys)
     w = Window.partitionBy(*keys).orderBy("i")
     d = hist.withColumn("__n", F.max("i").over(wk) + 1)
-    head = (d.where(F.col("i") < window_length).groupBy(*keys)
-            .agg(F.regr_slope("freq", "i").alias("__hs"), F.regr_intercept("freq", "i").alias("__hi")))
-    tail = (d.where(F.col("i") >= F.col("__n") - window_length).groupBy(*keys)
-            .agg(F.regr_slope("freq", "i").alias("__ts"), F.regr_intercept("freq", "i").alias("__ti")))
-    d = d.join(head, on=keys, how="left").join(tail, on=keys, how="left")
+
+    def line(part: Column, names: tuple[str, str]) -> DataFrame:
+        y, x = F.when(part, F.col("freq")), F.when(part, F.col("i"))
+        return d.withColumn(names[0], F.regr_slope(y, x).over(wk)).withColumn(names[1], F.regr_intercept(y, x).over(wk))
+    d = line(F.col("i") < window_length, ("__hs", "__hi"))
+    d = line(F.col("i") >= F.col("__n") - window_length, ("__ts", "__ti"))
     mov = F.avg("freq").over(w.rowsBetween(-h, h))
     i = F.col("i").cast("double")
     smooth = (F.when(F.col("i") < h, F.col("__hi") + F.col("__hs") * i)
