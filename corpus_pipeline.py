@@ -34,7 +34,8 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     key). A row that is repeated as a whole is one document."""
     rows = stage(simhash_components(docs, shingle=4, max_bits=4).select("doc_id", "row_id", "root"), "pipeline-roots")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_id")
-    first = rows.groupBy("root").agg(F.min(order).alias("first")).select("root", F.col("first.row_id").alias("kept"))
+    first = stage(rows.groupBy("root").agg(F.min(order).alias("first"))
+                  .select("root", F.col("first.row_id").alias("kept")), "pipeline-first")
     out = _without(docs, rows.join(first, "root").filter("row_id != kept"), "neardup")
     repeats = rows.groupBy("row_id").count().filter("count > 1")
     return out if repeats.isEmpty() else out.dropDuplicates(["doc_id", "text"])

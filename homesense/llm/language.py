@@ -139,11 +139,16 @@ def has_letter() -> Column:
 def train(docs: DataFrame, sample: int = SAMPLE, sample_chars: int = SAMPLE_CHARS) -> Model:
     """Fits on rows with a text that has a letter and a non-null ``lang``. A row's chance to be drawn is inverse
     to its language's frequency; a hash of the text decides, so the sample does not depend on partitioning."""
-    rows = docs.filter(F.col("lang").isNotNull() & has_letter() & (F.length("text") <= sample_chars)).select("text", "lang")
+    short = docs.filter(F.col("lang").isNotNull() & has_letter() & (F.length("text") <= sample_chars))
+    u = F.pmod(F.xxhash64("text", F.lit(7)), F.lit(1 << 30)) + 1
+    rows = stage(short.select(row_key().alias("row_id"), "lang", u.alias("u")), "language-rows")
     sizes = small(stage(rows.groupBy("lang").agg(F.count("*").alias("n")), "language-sizes"))
-    draw = (F.pmod(F.xxhash64("text", F.lit(7)), F.lit(1 << 30)) + 1) * F.col("n")
-    drawn = (rows.join(sizes, "lang").withColumn("draw", draw).orderBy("draw", "lang", "text").limit(sample)
-             .select("lang", text_bytes().alias("raw")).collect())
+    drawn = stage(rows.join(sizes, "lang").withColumn("draw", F.col("u") * F.col("n"))
+                  .orderBy("draw", "lang", "row_id").limit(sample).select("row_id", "lang", "draw").distinct(),
+                  "language-drawn")     # at most ``sample`` rows: only their texts leave the executors
+    drawn = (short.select(row_key().alias("row_id"), "lang", text_bytes().alias("raw"))
+             .join(F.broadcast(drawn), ["row_id", "lang"]).dropDuplicates(["row_id", "lang"]).collect())
+    drawn.sort(key=lambda r: (r.draw, r.lang, r.row_id))
     return fit([r.raw for r in drawn], [r.lang for r in drawn])
 
 
