@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from homesense.functions.scalars import row_total
-from homesense.functions.time import bin_start, c, week_label
+from homesense.functions.time import bin_start, week_label
 from homesense.operators.ordered import AUTO, require_keys, with_shifts
 
 BETWEEN_NIGHT = ("18:00", "12:00")

@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from homesense.functions.time import bin_start, duration_seconds, epoch_micros
+from homesense.functions.time import duration_seconds, epoch_micros
 from homesense.operators.ordered import AUTO, require_keys, with_shifts
 
 

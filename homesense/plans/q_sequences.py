@@ -6,8 +6,6 @@ numeric value = events.value, tie-break = events.event_id.
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from homesense.operators import sequences as seq
 from homesense.plans.registry import register, round_doubles, table
 
