@@ -6,6 +6,8 @@ tokens get their labels from document labels: a feature whose distinct contexts
 word) lie almost only in toxic documents marks its words in toxic documents as T; a prefix must do so without its most frequent word, too. Contexts rather than
 documents are counted, so copies of one toxic document don't turn its harmless words into signs. The field is
 trained by gradient ascent on the conditional likelihood of windows around marked words and of clean windows.
+Distinct texts give windows in the order of a hash: every marked feature from ``EACH`` texts first, then one
+more word of each text in turn up to the bound, so no feature and no text is left out by the way it sorts.
 
 Scoring runs forward-backward over the whole text. Words without known features share one score, so a run of
 them is a power of one matrix, taken from a table. Marginals of T give offending offsets, and their sum and
@@ -15,6 +17,7 @@ labelled texts of at most ``SAMPLE_CHARS`` characters, half of each label in exp
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import Counter
@@ -35,7 +38,8 @@ MIN_CONTEXTS = 12
 MIN_PURITY = 0.95     # at equal numbers of clean and toxic contexts
 MIN_SHARE = 0.8       # as counted
 WINDOW = 10
-MAX_WINDOWS = 6000
+MAX_WINDOWS = 6000    # half of them around marked words
+EACH = 4
 STEPS = 250
 CACHE = 400_000
 RUN = 256
@@ -163,36 +167,61 @@ def _marks(names: list[bytes], toxic: np.ndarray, clean: np.ndarray) -> set[byte
             and (f[:1] == b"w" or telling(n - int(toxic[top[f]]), others[f] - int(clean[top[f]])))}
 
 
-def fit(raws: list[bytes], toxic: list[int]) -> Field:
-    """Marks words, trains the field on windows of words and calibrates the document score."""
+def _places(texts: list[np.ndarray], tags: list[np.ndarray], own: dict[int, list[bytes]], most: int) -> list[tuple[int, int]]:
+    """(text, word) of the windows around tagged words. Every feature in ``own`` (word number -> marked features)
+    gets ``EACH`` texts that hold it (or all), even beyond ``most``; then each text gives one more word in turn."""
+    out, left, given = [], [], Counter()
+    rng = np.random.default_rng(0)
+    for i, (t, tag) in enumerate(zip(texts, tags)):
+        here, rest = set(), []
+        for k in rng.permutation(np.flatnonzero(tag)).tolist():
+            new = [f for f in own[int(t[k])] if f not in here and given[f] < EACH]
+            if new:
+                here.update(new)
+                given.update(new)
+                out.append((i, k))
+            else:
+                rest.append(k)
+        left.append(rest)
+    turn = 0
+    while len(out) < most and any(left):
+        more = [(i, rest[turn]) for i, rest in enumerate(left) if turn < len(rest)]
+        if not more:
+            break
+        out += more[:most - len(out)]
+        turn += 1
+    return out
+
+
+def fit(raws: list[bytes], toxic: list[int], max_windows: int = MAX_WINDOWS) -> Field:
+    """Marks words, trains the field on windows of words and calibrates the document score. At most half of
+    ``max_windows`` are clean, and as many lie around marked words unless the marked features need more."""
     model = Field()
     if not 0 < sum(toxic) < len(toxic):
         if toxic and sum(toxic):
             model.doc = (2.0, 0.0, 0.0)
         return model
-    order = sorted(range(len(raws)), key=lambda k: raws[k])
+    drawn = sorted(set(zip(raws, toxic)), key=lambda x: (hashlib.blake2b(x[0], digest_size=8).digest(), x))
     number: dict[bytes, int] = {}
-    texts = [np.array([number.setdefault(w, len(number)) for w in words_of(raws[k])], np.int64) for k in order]
-    labels, names = [toxic[k] for k in order], list(number)
+    texts = [np.array([number.setdefault(w, len(number)) for w in words_of(raw)], np.int64) for raw, _ in drawn]
+    labels, names = [y for _, y in drawn], list(number)
     by_label = [_context_counts([t for t, y in zip(texts, labels) if y == side], len(names)) for side in (0, 1)]
     marks = _marks(names, by_label[1], by_label[0])
+    own_marks = {k: found for k in np.flatnonzero(by_label[1]).tolist()
+                 if (found := [f for f in features(names[k]) if f in marks])}
     marked = np.zeros(len(names), bool)
-    for k in np.flatnonzero(by_label[1]).tolist():
-        marked[k] = any(f in marks for f in features(names[k]))
-    windows, used = [], Counter()
-    for t, y in zip(texts, labels):
-        tags = marked[t] & bool(y)
-        at = np.flatnonzero(tags).tolist()
-        kind = bool(at)
-        for k in (at or [len(t) // 2])[:20] if len(t) else []:
-            if used[kind] < MAX_WINDOWS // 2:
-                used[kind] += 1
-                lo = max(0, k - WINDOW)
-                windows.append(([names[i] for i in t[lo:k + WINDOW + 1].tolist()], tags[lo:k + WINDOW + 1].astype(int)))
+    marked[list(own_marks)] = True
+    tags = [marked[t] & bool(y) for t, y in zip(texts, labels)]
+    places = _places(texts, tags, own_marks, max_windows // 2)
+    places += [(i, len(t) // 2) for i, (t, tag) in enumerate(zip(texts, tags)) if len(t) and not tag.any()][:max_windows // 2]
+    windows = []
+    for i, k in places:
+        lo = max(0, k - WINDOW)
+        windows.append(([names[j] for j in texts[i][lo:k + WINDOW + 1].tolist()], tags[i][lo:k + WINDOW + 1].astype(int)))
     if not windows:
         return model
     own = {w: features(w) for ws, _ in windows for w in ws}
-    telling = sorted({f for ws, tags in windows for w, tag in zip(ws, tags) if tag for f in own[w]})
+    telling = sorted(marks | {f for ws, tags in windows for w, tag in zip(ws, tags) if tag for f in own[w]})
     model.weights, model.rest, model.step = _trained(windows, telling, own)
     points = np.array([_summary(model.marginals([names[i] for i in t.tolist()])) for t in texts])
     model.doc = _logistic(points, np.array(labels, float))
@@ -291,9 +320,11 @@ def _spans(raw: bytes, hits: dict[int, float]) -> list[dict]:
     return out
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_chars: int = SAMPLE_CHARS) -> Field:
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_chars: int = SAMPLE_CHARS,
+          max_windows: int = MAX_WINDOWS) -> Field:
     """Fits on documents that have a label ``toxic`` 0 or 1. Texts beyond ``sample_chars`` characters are not
-    drawn; a hash of the text decides, so the sample does not depend on partitioning."""
+    drawn; a hash of the text decides, so the sample does not depend on partitioning. ``max_windows`` bounds the
+    training windows (see ``fit``)."""
     y = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter("toxic in (0, 1)").distinct()
     u = F.pmod(F.xxhash64("text", F.lit(11)), F.lit(1 << 30)) + 1
     short = docs.filter(F.length("text") <= sample_chars)
@@ -305,7 +336,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_chars
     drawn = stage(drawn.distinct(), "toxicity-drawn")   # at most ``sample`` rows: only their texts are gathered
     drawn = (short.withColumn("row_id", row_key()).join(F.broadcast(drawn), "row_id")
              .select("row_id", "toxic", text_bytes().alias("raw")).dropDuplicates(["row_id", "toxic"]).collect())
-    return fit([r.raw for r in drawn], [r.toxic for r in drawn])
+    return fit([r.raw for r in drawn], [r.toxic for r in drawn], max_windows)
 
 
 def tag(docs: DataFrame, model: Field) -> DataFrame:

@@ -84,6 +84,33 @@ def test_toxicity_held_out_and_spans(spark):
     assert toxicity.tag(empty(spark), model).count() == 0
 
 
+def test_toxicity_learns_from_texts_that_sort_last():
+    rng = random.Random(8)
+    early, late = ["grumbo" + s for s in ("ix", "at", "el")], ["ягрум" + s for s in ("ба", "во", "ги")]
+    raws, labels = [], []
+    for i in range(900):
+        words = [toy(rng, "yy", 1) for _ in range(40)]
+        bad = None if i % 3 == 0 else late if i % 18 == 1 else early
+        for _ in range(0 if bad is None else 3 if bad is late else 8):
+            words.insert(rng.randrange(1, len(words)), rng.choice(bad))
+        raws.append((("я " if bad is late else "a ") + " ".join(words)).encode())
+        labels.append(int(bad is not None))
+    model = toxicity.fit(raws, labels)
+    assert all(b"w" + w.encode() in model.weights for w in early + late)
+    text = toxicity.words_of(" ".join(["mul"] * 20 + late + ["mul"] * 20).encode())
+    found = model.marginals(text)
+    assert {k for k, p in found if p >= toxicity.SPAN_MARGINAL} == {20, 21, 22} and model.document_score(found) >= 0.7
+
+
+def test_every_mark_has_windows_beyond_the_bound():
+    texts = [np.array([1] * 30 + [2 + i]) for i in range(9)]
+    own = {k: [b"w%d" % k] for k in range(1, 11)}
+    places = toxicity._places(texts, [np.ones(31, bool)] * 9, own, 3)
+    assert {int(texts[i][k]) for i, k in places} == set(own)
+    spread = toxicity._places(texts, [np.ones(31, bool)] * 9, own, 31)
+    assert len(spread) == 31 and {i for i, _ in spread[13:]} == set(range(9))
+
+
 def test_toxicity_without_labels(spark):
     model = toxicity.train(empty(spark), spark.createDataFrame([], "doc_id long, toxic int"))
     assert {r.score < 0.5 for r in toxicity.tag(frame(spark), model).collect()} == {True}
