@@ -161,6 +161,41 @@ def test_license_scan_against_brute_force(spark):
     assert scan_licenses(empty(spark)).count() == 0
 
 
+def test_licenses_in_their_usual_layout_inside_longer_texts():
+    scanner, by = Scanner(), {(n, k): t for n, k, t in TEMPLATES}
+    breaks = {"MIT": ["The above", "THE SOFTWARE"], "BSD-2-Clause": ["1. Redis", "2. Redis", "THIS SOFTWARE"],
+              "BSD-3-Clause": ["1. Redis", "2. Redis", "3. Neither", "THIS SOFTWARE"],
+              "ISC": ["THE SOFTWARE"], "Zlib": ["Permission", "1. The", "2. Altered", "3. This"],
+              "Unlicense": ["Anyone", "In jurisdictions"]}
+    for name, starts in breaks.items():
+        text = " ".join(by[name, "text"].split())
+        for s in starts:
+            text = text.replace(s, "\n\n" + s, 1)
+        raw = "# Toolé\n\nHow to build the thing.\n\n" + text + "\n\n## Usage\n\nCall the software with care."
+        got = scanner.scan(raw.encode())
+        assert [(m["license"], m["kind"], m["dice"]) for m in got] == [(name, "text", 1.0)]
+        assert raw[got[0]["start"]:got[0]["stop"]] == text.rstrip(".")
+    notice = by["Apache-2.0", "notice"].replace(" Unless", "\n\n Unless").replace(" See", "\n\n See").replace("\n", "\n# ")
+    for name, raw in [("Apache-2.0", "import x\n# " + notice + "\nimport y\n"),
+                      ("Apache-2.0", 'x\nLicensed under the Apache License, Version 2.0 (the "License");\ny'),
+                      ("MIT", "The tool is free. It is released\nunder the MIT\nLicense. It has no other terms at all."),
+                      ("CC-BY-4.0", "All pictures here, old and new, are licensed under CC BY 4.0, as said above.")]:
+        assert [m["license"] for m in scanner.scan(raw.encode())] == [name]
+    both = (by["MIT", "text"] + "\n\n" + by["ISC", "text"] + " and " + by["MIT", "text"]).encode()
+    assert [m["license"] for m in scanner.scan(both)] == ["MIT", "ISC", "MIT"]
+
+
+def test_runs_against_all_runs():
+    rng, scanner = random.Random(9), Scanner(0.7, [("A", "x", "a b c d a b"), ("B", "x", "c d e f g h a b c")])
+    for _ in range(150):
+        words = [rng.choice("abcdefgh").encode() for _ in range(25)]
+        any_ = any(scanner.best(words[i:j]) for i in range(25) for j in range(i + 2, 26))
+        got = scanner.scan(b" ".join(words))
+        assert bool(got) == any_
+        for m in got:
+            assert scanner.best(words_of(b" ".join(words)[m["start"]:m["stop"]])) == (m["dice"], m["license"], m["kind"])
+
+
 def test_size_bounds_prune_nothing_that_matches():
     rng = random.Random(6)
     scanner = Scanner(0.6)
