@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from homesense.llm import language
 from homesense.llm.common import id_crc, row_key, small, stage, table
 from homesense.llm.decontaminate import contamination
-from homesense.llm.packing import pack_documents
+from homesense.llm.packing import digests, pack_documents
 from homesense.llm.simhash import simhash_components
 from homesense.llm.substring import cut_repeats
 
@@ -62,7 +62,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences of 1024 tokens."""
-    return pack_documents(docs)
+    return digests(pack_documents(docs))
 
 
 STAGES = [

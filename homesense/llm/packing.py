@@ -9,7 +9,6 @@ tournament tree over the bins' free space finds the first bin that fits in logar
 from __future__ import annotations
 
 import base64
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,12 +17,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from homesense.llm.common import stage, text_bytes
+from homesense.llm.common import row_key, small, stage, text_bytes
 
 LENGTH = 1024
 GROUP_DOCS = 20_000
 END_ID = 0
 CACHE = 400_000
+BATCH_IDS = 8_000_000     # bytes of ids in a batch
 
 
 class Encoder:
@@ -90,22 +90,32 @@ def _tokenised(paths: tuple[str, str, str] | None, length: int):
         if key not in _ENCODERS:
             _ENCODERS[key] = Encoder(*key)
         encode, end = _ENCODERS[key], np.asarray([END_ID], dtype="<u4").tobytes()
+        step = 4 * length
         for b in batches:
-            total, full, tail_crc = [], [], []
-            for raw in b.column("raw"):
+            kept, held, size = [c for c in b.schema.names if c != "raw"], [], 0
+            for k, raw in enumerate(b.column("raw")):
                 text = raw.as_py()
                 ids = (encode(text.decode("utf-8", "replace")) if text else b"") + end
-                step = 4 * length
-                cut = len(ids) - len(ids) % step
-                total.append(len(ids) // 4)
-                full.append([zlib.crc32(ids[i:i + step]) for i in range(0, cut, step)])
-                tail_crc.append(zlib.crc32(ids[cut:]))
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(total, pa.int64()), pa.array(full, pa.list_(pa.int64())),
-                 pa.array(tail_crc, pa.int64())], names=["doc_id", "doc_tokens", "full", "tail_crc"])
+                for i in range(0, len(ids), step):
+                    held.append((k, len(ids) // 4, i // 4, ids[i:i + step]))
+                    size += len(held[-1][3])
+                    if size >= BATCH_IDS:
+                        yield _pieces(b, kept, held)
+                        held, size = [], 0
+            if held:
+                yield _pieces(b, kept, held)
     return run
 
 
+def _pieces(b: pa.RecordBatch, kept: list[str], held: list[tuple]) -> pa.RecordBatch:
+    at, total, start, ids = zip(*held)
+    at = pa.array(at, pa.int64())
+    return pa.RecordBatch.from_arrays(
+        [*[b.column(c).take(at) for c in kept], pa.array(total, pa.int64()), pa.array(start, pa.int64()),
+         pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
+        names=[*kept, "doc_tokens", "start", "length", "ids"])
+
+
 class FreeSpace:
     """Tournament tree: each inner node holds the larger free space of its two children."""
 
@@ -160,32 +170,36 @@ def _pack_group(length: int):
 
 def pack_documents(docs: DataFrame, length: int = LENGTH, group_docs: int = GROUP_DOCS,
                    tokenizer: tuple[str, str, str] | None = None) -> DataFrame:
-    """Pieces of all documents: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
+    """Pieces of all documents: doc_id, row_id, row, start, length, ids, ids_crc32, doc_tokens, sequence_id, offset.
 
     A document is its token ids followed by one end id; a null or empty text is the end id alone. Every id is
-    in exactly one piece; offsets in a sequence run gapless from 0. Repeated rows are packed once each. A very
-    long text gives many full sequences and one tail. Only short per-document rows are shuffled, never ids.
-    ``tokenizer`` is (json file, rank file, pattern), by default the public byte-level BPE.
-    An empty table gives an empty result.
+    in exactly one piece; offsets in a sequence run gapless from 0. ``ids`` holds the piece's ids as little-endian
+    unsigned 32-bit integers, so a sequence is the ``ids`` of its pieces joined by offset. ``row`` numbers the rows
+    of ``docs``: it keeps repeated rows and null ids apart (each row is packed once), but differs between runs;
+    ``row_id`` is the key by id and text. A very long text gives many full sequences and one tail. Placing shuffles
+    short per-document rows; the ids meet their places in one join. ``tokenizer`` is (json file, rank file, pattern),
+    by default the public byte-level BPE. An empty table gives an empty result.
     """
     pieces = stage(
-        docs.select("doc_id", text_bytes().alias("raw"))
-        .mapInArrow(_tokenised(tokenizer, length), "doc_id long, doc_tokens long, full array<long>, tail_crc long")
-        .withColumn("row", F.monotonically_increasing_id()), "pack-docs")
-    n_groups = max(1, -(-pieces.count() // group_docs))
-    tails = pieces.select("row", (F.col("doc_tokens") % length).alias("tail"), F.size("full").alias("n_full"),
-                          F.pmod(F.xxhash64("row"), F.lit(n_groups)).alias("bucket"))
-    placed = tails.groupBy("bucket").applyInPandas(
-        _pack_group(length), "row long, tail_seq long, tail_off long, first_full long")
-    both = pieces.join(placed, "row")
-    last = F.size("full").cast("long") * length
-    tail = F.when(F.col("doc_tokens") > last, F.array(F.struct(
-        last.alias("start"), (F.col("doc_tokens") - last).alias("length"), F.col("tail_crc").alias("ids_crc32"),
-        F.col("tail_seq").alias("sequence_id"), F.col("tail_off").alias("offset"))))
-    whole = F.transform("full", lambda crc, i: F.struct(
-        (i.cast("long") * length).alias("start"), F.lit(length).cast("long").alias("length"),
-        crc.alias("ids_crc32"), (F.col("first_full") + i).alias("sequence_id"), F.lit(0).cast("long").alias("offset")))
-    empty = F.expr("array()").cast("array<struct<start:bigint,length:bigint,ids_crc32:bigint,sequence_id:bigint,"
-                                   "offset:bigint>>")
-    return both.select("doc_id", "doc_tokens", F.explode(F.concat(whole, F.coalesce(tail, empty))).alias("p")).select(
-        "doc_id", "p.start", "p.length", "p.ids_crc32", "doc_tokens", "p.sequence_id", "p.offset")
+        docs.select("doc_id", row_key().alias("row_id"), F.monotonically_increasing_id().alias("row"),
+                    text_bytes().alias("raw"))
+        .mapInArrow(_tokenised(tokenizer, length), "doc_id long, row_id long, row long, doc_tokens long, start long, "
+                                                   "length long, ids binary"), "pack-pieces")
+    # one row per document: only its last piece ends where the document does
+    last = pieces.filter(F.col("start") + F.col("length") == F.col("doc_tokens"))
+    n_groups = max(1, -(-last.count() // group_docs))
+    tails = last.select("row", (F.col("doc_tokens") % length).alias("tail"),
+                        F.expr(f"doc_tokens div {length}").alias("n_full"),
+                        F.pmod(F.xxhash64("row"), F.lit(n_groups)).alias("bucket"))
+    placed = stage(tails.groupBy("bucket").applyInPandas(
+        _pack_group(length), "row long, tail_seq long, tail_off long, first_full long"), "pack-placed")
+    full = F.col("length") == length
+    return pieces.join(small(placed), "row").select(
+        "doc_id", "row_id", "row", "start", "length", "ids", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+        F.when(full, F.col("first_full") + F.expr(f"start div {length}")).otherwise(F.col("tail_seq")).alias("sequence_id"),
+        F.when(full, F.lit(0).cast("long")).otherwise(F.col("tail_off")).alias("offset"))
+
+
+def digests(pieces: DataFrame) -> DataFrame:
+    """The columns of the queries: pieces without their ids, named by a checksum."""
+    return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")

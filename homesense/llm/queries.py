@@ -13,7 +13,7 @@ from homesense.llm.common import id_crc, table
 from homesense.llm.decontaminate import contamination
 from homesense.llm.licenses import scan_licenses
 from homesense.llm.ngram_lm import lm_scores
-from homesense.llm.packing import pack_documents
+from homesense.llm.packing import digests, pack_documents
 from homesense.llm.sharding import shard_documents
 from homesense.llm.simhash import hex16, simhash_components
 from homesense.llm.substring import cut_repeats
@@ -124,7 +124,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op9_packing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(table(spark, sf_dir, "documents"))
+    return digests(pack_documents(table(spark, sf_dir, "documents")))
 
 
 @register("op10_sharding")

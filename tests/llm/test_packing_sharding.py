@@ -37,6 +37,23 @@ def test_pieces_round_trip(spark):
     assert pack_documents(empty(spark)).count() == 0
 
 
+def test_pieces_hold_their_ids_and_rows(spark, monkeypatch):
+    from homesense.llm import packing
+    monkeypatch.setattr(packing, "BATCH_IDS", 500)
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rows, docs = pack_documents(frame(spark), length=64, group_docs=10).collect(), defaultdict(list)
+    for r in rows:
+        assert len(r.ids) == 4 * r.length and zlib.crc32(r.ids) == r.ids_crc32
+        docs[r.row].append(r)
+    got = []
+    for parts in docs.values():
+        parts.sort(key=lambda r: r.start)
+        assert len({(r.doc_id, r.row_id, r.doc_tokens) for r in parts}) == 1
+        got.append((parts[0].doc_id or -1, b"".join(r.ids for r in parts)))
+    assert sorted(got) == sorted((i or -1, np.array(tok.encode(t or "", add_special_tokens=False).ids + [0], "<u4").tobytes())
+                                 for i, t in texts())
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 64), max_size=80))
 def test_first_fit_decreasing_is_first_fit(sizes):
