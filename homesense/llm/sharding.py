@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from homesense.llm.common import stage
 
@@ -52,18 +53,21 @@ def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=[*b.schema.names, "part", "local"])
 
 
-def shard_documents(docs: DataFrame, n_shards: int = N_SHARDS, fine: int = FINE) -> DataFrame:
+def shard_documents(docs: DataFrame, n_shards: int = N_SHARDS, fine: int = FINE, whole: bool = False) -> DataFrame:
     """doc_id, size, text_crc32, shard, slot for every row of ``docs`` (law ``bytes``: sizes near equal).
 
     size is the UTF-8 byte count plus 8. A null text counts as empty: it groups with empty texts, has size 8
     and crc32 0. Equal texts share a shard, repeated rows included; a single group above a shard's fair share
     makes that shard larger, as it must stay whole. Ties in load go to the lowest shard number. ``slot`` runs
-    gapless from 0 within each shard. An empty table gives an empty result.
+    gapless from 0 within each shard. With ``whole``, the column ``document`` carries the whole row of ``docs``, so
+    rows with null or repeated ids keep their own. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", F.xxhash64(text).alias("h"), F.crc32(text.cast("binary")).alias("text_crc32"),
-                       (F.octet_length(text) + F.lit(8)).cast("long").alias("size"))
+                       (F.octet_length(text) + F.lit(8)).cast("long").alias("size"),
+                       *[F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document")] * whole)
+    carried = ["document"] * whole
     key = ["h", "text_crc32", "size"]
     groups = stage(rows.groupBy(*key).agg(F.count("*").alias("n")), "shard-groups")
     total = groups.agg(F.sum(F.col("size") * F.col("n"))).first()[0] or 0
@@ -85,18 +89,21 @@ def shard_documents(docs: DataFrame, n_shards: int = N_SHARDS, fine: int = FINE)
     assigned = (rows.join(F.broadcast(by_group), key, "left")
                 .withColumn("bundle", bundle).join(F.broadcast(by_bundle), "bundle", "left")
                 .select("doc_id", "size", "text_crc32",
-                        F.coalesce("group_shard", "bundle_shard").alias("shard")))
-    numbered = stage(assigned.mapInArrow(_number, "doc_id long, size long, text_crc32 long, shard int, part int, "
-                                                  "local long"), "shard-rows")
+                        F.coalesce("group_shard", "bundle_shard").alias("shard"), *carried))
+    schema = T.StructType([*assigned.schema, T.StructField("part", T.IntegerType()), T.StructField("local", T.LongType())])
+    numbered = stage(assigned.mapInArrow(_number, schema), "shard-rows")
     counts = numbered.groupBy("shard", "part").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("shard", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
     return numbered.join(starts, ["shard", "part"]).select(
-        "doc_id", "size", "text_crc32", "shard", (F.col("start") + F.col("local")).alias("slot"))
+        "doc_id", "size", "text_crc32", "shard", (F.col("start") + F.col("local")).alias("slot"), *carried)
 
 
-def write_shards(docs: DataFrame, sharded: DataFrame, path: str) -> None:
-    """Writes the documents as one folder per shard, rows of a shard ordered by slot."""
-    (docs.join(sharded.select("doc_id", "shard", "slot"), "doc_id")
+def write_shards(docs: DataFrame, path: str, n_shards: int = N_SHARDS, fine: int = FINE) -> None:
+    """Shards ``docs`` and writes every row once, one folder per shard, rows of a shard ordered by slot. A column of
+    ``docs`` that is named shard or slot is written as ``document_shard`` or ``document_slot``."""
+    columns = [F.col(f"document.`{c}`").alias(f"document_{c}" if c.lower() in ("shard", "slot") else c)
+               for c in docs.columns]
+    (shard_documents(docs, n_shards, fine, whole=True).select(*columns, "shard", "slot")
      .repartition(F.col("shard"), F.pmod(F.col("slot"), F.lit(8)))
      .sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path))

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from homesense.llm.packing import Encoder, default_tokenizer, first_fit_decreasing, pack_documents
-from homesense.llm.sharding import lpt, shard_documents
+from homesense.llm.sharding import lpt, shard_documents, write_shards
 from tests.llm.cases import empty, frame, texts
 
 
@@ -95,6 +95,24 @@ def test_shards(spark):
     assert shard_documents(empty(spark)).count() == 0
 
 
+def test_written_shards_hold_every_row_once(spark, scratch):
+    docs = frame(spark, texts() + [(None, None), (None, "nameless words here"), (14, "a third one")])
+    write_shards(docs, f"{scratch}/shards", n_shards=4, fine=64)
+    got = spark.read.parquet(f"{scratch}/shards")
+
+    def rows(df, shard):
+        return sorted(map(repr, df.select(*[c for c in docs.columns if c != "shard"], shard).collect()))
+    assert rows(got.withColumnRenamed("shard", "at").withColumnRenamed("document_shard", "shard"), "shard") == rows(docs, "shard")
+    want = [(-1 if r.doc_id is None else r.doc_id, r.text_crc32, r.shard)
+            for r in shard_documents(docs, n_shards=4, fine=64).collect()]
+    assert sorted((-1 if r.doc_id is None else r.doc_id, zlib.crc32((r.text or "").encode()), r.shard)
+                  for r in got.collect()) == sorted(want)
+    slots = defaultdict(list)
+    for r in got.collect():
+        slots[r.shard].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
 def test_shards_are_level(spark):
     rows = shard_documents(frame(spark, [(i, "w" * (i % 97)) for i in range(2000)]), n_shards=5, fine=64)
     load = [r.b for r in rows.groupBy("shard").agg({"size": "sum"}).toDF("shard", "b").collect()]
