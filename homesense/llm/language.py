@@ -137,11 +137,14 @@ def has_letter() -> Column:
 
 
 def train(docs: DataFrame, sample: int = SAMPLE, sample_chars: int = SAMPLE_CHARS) -> Model:
-    """Fits on rows with a text that has a letter and a non-null ``lang``. A row's chance to be drawn is inverse
-    to its language's frequency; a hash of the text decides, so the sample does not depend on partitioning."""
+    """Fits on rows with a text that has a letter and a non-null ``lang``. Copies of a text in one language count
+    once; a text's chance to be drawn is inverse to its language's number of distinct texts. A hash of the text
+    decides, so the sample does not depend on partitioning."""
     short = docs.filter(F.col("lang").isNotNull() & has_letter() & (F.length("text") <= sample_chars))
-    u = F.pmod(F.xxhash64("text", F.lit(7)), F.lit(1 << 30)) + 1
-    rows = stage(short.select(row_key().alias("row_id"), "lang", u.alias("u")), "language-rows")
+    u = F.pmod(F.col("h"), F.lit(1 << 30)) + 1
+    rows = stage(short.select(row_key().alias("row_id"), "lang", F.xxhash64("text", F.lit(7)).alias("h"))
+                 .groupBy("lang", "h").agg(F.min("row_id").alias("row_id"))
+                 .select("row_id", "lang", u.alias("u")), "language-rows")
     sizes = small(stage(rows.groupBy("lang").agg(F.count("*").alias("n")), "language-sizes"))
     drawn = stage(rows.join(sizes, "lang").withColumn("draw", F.col("u") * F.col("n"))
                   .orderBy("draw", "lang", "row_id").limit(sample).select("row_id", "lang", "draw").distinct(),

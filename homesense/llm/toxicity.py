@@ -323,13 +323,15 @@ def _spans(raw: bytes, hits: dict[int, float]) -> list[dict]:
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_chars: int = SAMPLE_CHARS,
           max_windows: int = MAX_WINDOWS) -> Field:
     """Fits on documents that have a label ``toxic`` 0 or 1. Texts beyond ``sample_chars`` characters are not
-    drawn; a hash of the text decides, so the sample does not depend on partitioning. ``max_windows`` bounds the
+    drawn; copies of a text with one label count once. A hash of the text decides, so the sample does not depend on
+    partitioning. ``max_windows`` bounds the
     training windows (see ``fit``)."""
     y = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter("toxic in (0, 1)").distinct()
-    u = F.pmod(F.xxhash64("text", F.lit(11)), F.lit(1 << 30)) + 1
+    u = F.pmod(F.col("h"), F.lit(1 << 30)) + 1
     short = docs.filter(F.length("text") <= sample_chars)
-    rows = stage(short.select("doc_id", row_key().alias("row_id"), u.alias("u")).join(y, "doc_id")
-                 .select("row_id", "toxic", "u"), "toxicity-rows")
+    rows = stage(short.select("doc_id", row_key().alias("row_id"), F.xxhash64("text", F.lit(11)).alias("h"))
+                 .join(y, "doc_id").groupBy("toxic", "h").agg(F.min("row_id").alias("row_id"))
+                 .select("row_id", "toxic", u.alias("u")), "toxicity-rows")
     sizes = rows.groupBy("toxic").agg(F.count("*").alias("n"))
     drawn = (rows.join(F.broadcast(sizes), "toxic").orderBy(F.col("u") * F.col("n"), "toxic", "row_id").limit(sample)
              .select("row_id", "toxic"))

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from homesense.llm import language, toxicity
 from homesense.llm.licenses import MIN_DICE, Scanner, bigrams, scan_licenses, words_of
@@ -34,6 +35,30 @@ def test_language_learned_from_nothing(spark):
     assert {r.lang_pred for r in language.identify(frame(spark), model).collect()} == {"und"}
 
 
+def copies_that_sort_first(spark, seed):
+    """600 rows, a third of them copies of the text with the lowest draw; the even distinct ones are of kind 0."""
+    rng = random.Random(seed)
+    pool = [(i, toy(rng, "yy", 12)) for i in range(400)]
+    h = F.pmod(F.xxhash64("text", F.lit(seed)), F.lit(1 << 30))
+    first = frame(spark, pool).orderBy(h, "doc_id").first()
+    return pool + [(1000 + 2 * k + first.doc_id % 2, first.text) for k in range(200)]
+
+
+def test_language_sample_holds_a_text_once(spark, monkeypatch):
+    rows = copies_that_sort_first(spark, 7)
+    monkeypatch.setattr(language, "fit", lambda texts, labels: (texts, labels))
+    drawn, labels = language.train(frame(spark, rows, {i: ("xx", "yy")[i % 2] for i, _ in rows}), sample=100)
+    assert len(set(drawn)) == len(drawn) == 100 and 30 <= labels.count("xx") <= 70
+
+
+def test_toxicity_sample_holds_a_text_once(spark, monkeypatch):
+    rows = copies_that_sort_first(spark, 11)
+    monkeypatch.setattr(toxicity, "fit", lambda raws, labels, *_: (raws, labels))
+    y = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    drawn, labels = toxicity.train(frame(spark, rows), y, sample=100)
+    assert len(set(drawn)) == len(drawn) == 100 and 30 <= sum(labels) <= 70
+
+
 def test_long_text_in_pieces_equals_whole(monkeypatch):
     rng = random.Random(3)
     raws = [toy(rng, k, 300).encode() for k in ("xx", "yy")]
