@@ -7,16 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from homesense.llm import language, toxicity
+from homesense.llm import language, quality, toxicity
 from homesense.llm.caps import near_vectors
 from homesense.llm.common import id_crc, table
 from homesense.llm.decontaminate import contamination
 from homesense.llm.licenses import scan_licenses
 from homesense.llm.ngram_lm import lm_scores
 from homesense.llm.packing import digests, pack_documents
+from homesense.llm.search import search
 from homesense.llm.sharding import shard_documents
 from homesense.llm.simhash import hex16, simhash_components
 from homesense.llm.substring import cut_repeats
+from homesense.llm.trie import ends_digest, prefix_trie, shared_heads
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -132,3 +134,66 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
+
+
+@register("op11_prefix_trie", """
+WITH ids AS (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL),
+sized AS (  -- crc32 of the decimal id, byte by byte and bit by bit
+  SELECT conv_id, conv_id - conv_id % 100 AS base,
+         xor(list_reduce([CAST(4294967295 AS BIGINT)] || list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda ch: CAST(ord(ch) AS BIGINT)),
+             lambda crc, byte: list_reduce([xor(crc, byte)] || [CAST(0 AS BIGINT), 0, 0, 0, 0, 0, 0, 0],
+                 lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, CAST(3988292384 AS BIGINT)) ELSE x // 2 END)),
+             CAST(4294967295 AS BIGINT)) % 6 AS h
+  FROM ids),
+seqs AS (SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST, role, text) AS s
+         FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+rebuilt AS (SELECT z.conv_id, coalesce(b.s[1:h], []) || coalesce(o.s[h + 1:], []) AS s
+            FROM sized z JOIN seqs o ON o.conv_id = z.conv_id LEFT JOIN seqs b ON b.conv_id = z.base),
+members AS (SELECT conv_id, s[1:d] AS p, d, len(s) = d AS ends FROM rebuilt, unnest(range(0, len(s) + 1)) AS u(d)),
+nodes AS (SELECT p, CAST(d AS BIGINT) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+                 sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+          FROM members GROUP BY p, d),
+kids AS (SELECT p[1:depth - 1] AS p, depth - 1 AS depth, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+full_nodes AS (SELECT n.*, coalesce(k.n_children, 0) AS n_children,
+                      CASE WHEN n.depth = 0 THEN 0 ELSE (n_convs - 1) * length(n.p[n.depth].t) END AS own
+               FROM nodes n LEFT JOIN kids k ON k.p = n.p AND k.depth = n.depth),
+totals AS (SELECT p[1:d] AS p, d AS depth, CAST(sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_leaves,
+                  CAST(sum(own) AS BIGINT) AS saved_tokens
+           FROM full_nodes, unnest(range(0, depth + 1)) AS u(d) GROUP BY ALL)
+SELECT n.conv_id, n.depth, up.conv_id AS parent_conv_id, n.n_convs, n.n_children, t.n_leaves, t.saved_tokens, n.ends_sha256
+FROM full_nodes n JOIN totals t ON t.p = n.p AND t.depth = n.depth
+LEFT JOIN nodes up ON up.depth = n.depth - 1 AND up.p = n.p[1:n.depth - 1]
+""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes, ends = prefix_trie(table(spark, sf_dir, "conversations"), heads=shared_heads)
+    return nodes.join(ends_digest(ends), "node", "left").select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+        F.coalesce("ends_sha256", F.sha2(F.lit(""), 256)).alias("ends_sha256"))
+
+
+@register("op12_quality")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.judge(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
+
+
+@register("op13_search", """
+WITH t AS (
+  SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+sizes AS (SELECT count(*) FILTER (WHERE len(w) > 0) AS big_n, CAST(sum(len(w)) AS BIGINT) AS big_l FROM t),
+tf AS (SELECT d, doc_id, len(w) AS n, term, count(*) AS tf FROM t, unnest(w) AS u(term) GROUP BY ALL),
+wt AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(big_n) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS wt
+       FROM tf, sizes GROUP BY term),
+asked AS (
+  SELECT DISTINCT q, item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS q, item_id, text FROM benchmark)),
+gains AS (SELECT d, doc_id, term, wt * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * big_n) // big_l))) AS gain
+          FROM tf JOIN wt USING (term), sizes),
+scores AS (SELECT q, item_id, d, doc_id, CAST(sum(gain) AS BIGINT) AS score FROM asked JOIN gains USING (term) GROUP BY ALL),
+ranked AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS r FROM scores WHERE score > 0)
+SELECT item_id, CAST(r AS INTEGER) AS rank, doc_id, score FROM ranked WHERE r <= 50
+""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
