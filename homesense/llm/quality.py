@@ -10,66 +10,123 @@ shuffled, and one per bucket reaches the driver.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from homesense.llm.batches import mix, mix2
 from homesense.llm.common import text_bytes
 
 BUCKETS = 1 << 16
 PRIOR = 20
 THRESHOLD = -0.5
-KNOWN = 200_000             # tokens whose hashes a task keeps
 REPEAT = 5                  # words of a window that is looked for again
-PIECE = 200_000             # tokens hashed at a time
+CHUNK = 1 << 18             # bytes of text that are hashed at a time
 
-_TOKEN = re.compile(rb"[0-9A-Za-z\x80-\xff]+|[!-/:-@\[-`{-~]")
 _SYMBOLS = b"#*$%&|<>"
-_NOT_COUNTED = b" \t\n\x0b\x0c\r" + bytes(range(0x80, 0xC0))    # blanks and bytes that continue a code point
-
-
-class _Hashes(dict):
-    def __missing__(self, token: bytes) -> int:
-        if len(self) > KNOWN:
-            self.clear()
-        self[token] = h = xxhash.xxh64_intdigest(token)
-        return h
-
-
-def buckets(raw: bytes | None, hashes: dict, n_buckets: int) -> Iterator[np.ndarray]:
-    """The bucket numbers of a text's n-grams, in pieces of bounded length."""
-    last = np.zeros(0, np.uint64)
-    found = (m.group() for m in _TOKEN.finditer(raw)) if raw else iter(())
-    while True:
-        h = np.fromiter((hashes[t] for t in islice(found, PIECE)), np.uint64)
-        if not len(h):
-            return
-        both = np.concatenate([last, h])
-        pair = (both[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ both[1:]
-        pair = (pair ^ (pair >> np.uint64(31))) * np.uint64(0xC4CEB9FE1A85EC53)
-        yield (np.concatenate([h, pair]) >> np.uint64(20)) % np.uint64(n_buckets)
-        last = h[-1:]
+_BLANKS = b" \t\n\x0b\x0c\r"
+_NOT_COUNTED = _BLANKS + bytes(range(0x80, 0xC0))    # blanks and bytes that continue a code point
+_BLANK, _LETTER, _MARK, _CONTROL = range(4)
+_KIND = np.array([_BLANK if c in _BLANKS else _LETTER if c >= 128 or chr(c).isalnum() else _MARK if 32 < c < 127 else _CONTROL
+                  for c in range(256)], np.uint8)
+_BASE = 0x9E3779B97F4A7C15                           # odd, so it has an inverse modulo 2**64
+
+
+def _powers(x: int) -> np.ndarray:
+    return np.cumprod(np.concatenate([[np.uint64(1)], np.full(CHUNK, x, np.uint64)]), dtype=np.uint64)
+
+
+_UP, _DOWN = _powers(_BASE), _powers(pow(_BASE, -1, 1 << 64))
+
+
+class Hashed:
+    """The 64-bit hashes of the tokens and words of some texts, with the text (a number) of each."""
+
+    def __init__(self, texts: list[tuple[int, bytes]]):
+        data = np.frombuffer(b" ".join(t for _, t in texts), np.uint8)
+        ends = np.cumsum([len(t) + 1 for _, t in texts])
+        number = np.array([k for k, _ in texts])
+        kind = _KIND[data]
+        before, after = np.concatenate([[0], kind[:-1]]), np.concatenate([kind[1:], [0]])
+        sums = np.concatenate([[np.uint64(0)], np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _UP[:len(data)])])
+
+        def runs(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            lo, hi = np.flatnonzero(first), np.flatnonzero(last) + 1
+            h = (sums[hi] - sums[lo]) * _DOWN[lo]            # the same bytes have the same hash wherever they stand
+            return mix(h), number[np.searchsorted(ends, lo, side="right")]
+
+        letter, mark, word = kind == _LETTER, kind == _MARK, kind != _BLANK
+        self.tokens, self.token_text = runs(mark | letter & (before != _LETTER), mark | letter & (after != _LETTER))
+        self.words, self.word_text = runs(word & (before == _BLANK), word & (after == _BLANK))
+
+    def ngrams(self, last: tuple[int, np.uint64] | None, n_buckets: int) -> tuple[np.ndarray, np.ndarray]:
+        """Bucket and text of every token and of every pair of neighbours; ``last`` is the text and hash of the
+        token before the first."""
+        h, text = self.tokens, self.token_text
+        if last is not None:
+            h, text = np.concatenate([[last[1]], h]), np.concatenate([[last[0]], text])
+        same = text[:-1] == text[1:]
+        pairs = mix2(h[:-1][same], h[1:][same])
+        return ((np.concatenate([self.tokens, pairs]) >> np.uint64(20)) % np.uint64(n_buckets)).astype(np.int64), \
+            np.concatenate([self.token_text, text[1:][same]])
+
+    def with_repeats(self, width: int) -> set[int]:
+        """Texts that may hold a window of ``width`` words twice (all that do, and hardly another)."""
+        n = len(self.words) - width + 1
+        if n < 2:
+            return set()
+        h = np.zeros(n, np.uint64)
+        for k in range(width):
+            h = mix2(h, self.words[k:k + n])
+        inside = self.word_text[:n] == self.word_text[width - 1:]
+        text = self.word_text[:n][inside]
+        h = mix2(h[inside], text.astype(np.uint64))
+        order = np.argsort(h)
+        again = h[order][1:] == h[order][:-1]
+        return set(text[order][1:][again].tolist())
+
+
+def _pieces(raw: bytes) -> Iterator[bytes]:
+    """A text in pieces of at most ``CHUNK`` bytes, cut after a blank where there is one; the cuts depend on the text
+    alone."""
+    at = 0
+    while at < len(raw):
+        end = at + CHUNK
+        if end < len(raw):
+            end = max(raw.rfind(b" ", at, end), raw.rfind(b"\n", at, end)) + 1 or end
+        yield raw[at:end]
+        at = end
+
+
+def hashed(texts: Iterator[bytes | None]) -> Iterator[tuple[Hashed, tuple[int, np.uint64] | None]]:
+    """``Hashed`` groups of texts of bounded size, each with the last token before it."""
+    held, size, last = [], 0, None
+    for k, raw in enumerate(texts):
+        for piece in _pieces(raw or b""):
+            if held and size + len(piece) + 1 > CHUNK:
+                group = Hashed(held)
+                yield group, last
+                last = (int(group.token_text[-1]), group.tokens[-1]) if len(group.tokens) else None
+                held, size = [], 0
+            held.append((k, piece))
+            size += len(piece) + 1
+    if held:
+        yield Hashed(held), last
 
 
 def _counts(n_buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, hashes = np.zeros((2, n_buckets), np.int64), _Hashes()
+        n = np.zeros((2, n_buckets), np.int64)
         for b in batches:
-            for raw, trusted in zip(b.column("raw"), b.column("trusted").to_pylist()):
-                for at in buckets(raw.as_py(), hashes, n_buckets):
-                    part = np.bincount(at.astype(np.int64), minlength=n_buckets) if len(at) > n_buckets // 8 else None
-                    for row in (0, 1) if trusted else (0,):
-                        if part is None:
-                            np.add.at(n[row], at, 1)
-                        else:
-                            n[row] += part
+            trusted = np.array(b.column("trusted").to_pylist(), bool)
+            for group, last in hashed(x.as_py() for x in b.column("raw")):
+                bucket, text = group.ngrams(last, n_buckets)
+                n[0] += np.bincount(bucket, minlength=n_buckets)
+                n[1] += np.bincount(bucket[trusted[text]], minlength=n_buckets)
         at = np.flatnonzero(n[0])
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[0][at]), pa.array(n[1][at])],
                                          names=["bucket", "raw_n", "trusted_n"])
@@ -114,20 +171,26 @@ def repeated_lines(raw: bytes) -> int:
 
 def _scored(ratios: np.ndarray, prior: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
         for b in batches:
-            rows = []
-            for x in b.column("raw"):
-                raw = x.as_py() or b""
-                words = raw.split()
-                total, n = 0.0, 0
-                for at in buckets(raw, hashes, len(ratios)):
-                    total, n = total + float(ratios[at].sum()), n + len(at)
-                rows.append((len(words), len(raw.translate(None, _NOT_COUNTED)), len(raw) - len(raw.translate(None, _SYMBOLS)),
-                             repeated_lines(raw), repeated_words(words), total / (n + prior) if n else 0.0))
-            cols = list(zip(*rows)) or [()] * 6
+            total, n, words, repeats = (np.zeros(b.num_rows, kind) for kind in (np.float64, np.int64, np.int64, np.int64))
+            dup_lines, chars, symbols = (np.zeros(b.num_rows, np.int64) for _ in range(3))
+            doubtful = set()
+            for group, last in hashed(x.as_py() for x in b.column("raw")):
+                bucket, text = group.ngrams(last, len(ratios))
+                total += np.bincount(text, ratios[bucket], minlength=b.num_rows)
+                n += np.bincount(text, minlength=b.num_rows)
+                words += np.bincount(group.word_text, minlength=b.num_rows)
+                doubtful |= group.with_repeats(REPEAT)
+            for k, x in enumerate(b.column("raw")):
+                if raw := x.as_py():
+                    chars[k] = len(raw.translate(None, _NOT_COUNTED))
+                    symbols[k] = len(raw) - len(raw.translate(None, _SYMBOLS))
+                    dup_lines[k] = repeated_lines(raw)
+                    if len(raw) > CHUNK or k in doubtful:
+                        own = raw.split()
+                        words[k], repeats[k] = len(own), repeated_words(own)
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), *[pa.array(c, pa.int64()) for c in cols[:5]], pa.array(cols[5], pa.float64())],
+                [b.column("doc_id"), *[pa.array(c) for c in (words, chars, symbols, dup_lines, repeats, total / (n + prior))]],
                 names=["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "llr"])
     return run
 

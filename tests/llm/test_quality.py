@@ -3,9 +3,11 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from homesense.llm import quality as q
+from homesense.llm.batches import mix, mix2
 from tests.llm.cases import empty, frame, sentence, texts
 
 
@@ -23,8 +25,11 @@ def brute_base(text):
 
 
 def brute_buckets(text, n):
-    hashes = q._Hashes()
-    return [int(b) for part in q.buckets((text or "").encode(), hashes, n) for b in part]
+    """Bytes of the tokens -> polynomial hash modulo 2**64, neighbours paired, both reduced to buckets."""
+    one = lambda x: np.array([x & (2 ** 64 - 1)], np.uint64)
+    h = [mix(one(sum((c + 1) * pow(q._BASE, k, 1 << 64) for k, c in enumerate(t))))
+         for t in re.findall(rb"[0-9A-Za-z\x80-\xff]+|[!-/:-@\[-`{-~]", (text or "").encode())]
+    return [(int(x[0]) >> 20) % n for x in [*h, *[mix2(a, b) for a, b in zip(h, h[1:])]]]
 
 
 def test_equals_brute_force(spark):
@@ -66,11 +71,26 @@ def test_without_labels_only_the_base_rules_reject(spark):
 
 
 def test_ngrams_across_pieces(monkeypatch):
-    text = sentence(random.Random(8), 400).encode()
-    whole = sorted(b for part in q.buckets(text, q._Hashes(), 4096) for b in part.tolist())
-    monkeypatch.setattr(q, "PIECE", 7)
-    monkeypatch.setattr(q, "KNOWN", 5)
-    assert sorted(b for part in q.buckets(text, q._Hashes(), 4096) for b in part.tolist()) == whole
+    texts = [sentence(random.Random(8), 400).encode(), None, b"", b"a,b*", sentence(random.Random(9), 90).encode()]
+
+    def found():
+        out = {}
+        for group, last in q.hashed(iter(texts)):
+            for b, t in zip(*group.ngrams(last, 4096)):
+                out.setdefault(int(t), []).append(int(b))
+        return {t: sorted(b) for t, b in out.items()}
+
+    whole = found()
+    assert whole == {k: sorted(brute_buckets(t.decode(), 4096)) for k, t in enumerate(texts) if t}
+    monkeypatch.setattr(q, "CHUNK", 40)
+    assert found() == whole
+
+
+def test_long_texts_and_words(spark, monkeypatch):
+    monkeypatch.setattr(q, "CHUNK", 64)
+    long = "aa bb cc dd ee ff " * 30 + "x" * 300 + "\n"
+    out = q.judge(frame(spark, [(1, long), (2, "short one")]).coalesce(1), np.zeros(512)).orderBy("doc_id").collect()
+    assert [(r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in out] == [brute_base(long), brute_base("short one")]
 
 
 def test_repeats_with_many_distinct_words():
