@@ -2,9 +2,10 @@
 
 Tokens (runs of letters and digits, and every other visible character for itself) and pairs of neighbouring tokens
 are hashed into ``BUCKETS`` counts, once over the trusted documents and once over the whole corpus: two multinomials
-with add-one smoothing. A document's score is the sum of log(trusted / raw) over its n-grams, divided by their number
+with add-one smoothing. The trusted side is fitted on at most ``TRUSTED`` labelled documents, whose ids are broadcast;
+the raw side counts every document. A document's score is the sum of log(trusted / raw) over its n-grams, divided by their number
 plus ``PRIOR`` (so a short text, which says little, stays near 0). Every document with a score below a fixed threshold
-is rejected; no draw decides. All documents are counted and scored in whole; only one count per bucket and task is
+is rejected; no draw decides. Texts are counted and scored in whole where they lie; only one count per bucket and task is
 shuffled, and one per bucket reaches the driver.
 """
 
@@ -24,6 +25,7 @@ from homesense.llm.common import text_bytes
 BUCKETS = 1 << 16
 PRIOR = 20
 THRESHOLD = -0.5
+TRUSTED = 200_000
 REPEAT = 5                  # words of a window that is looked for again
 CHUNK = 1 << 18             # bytes of text that are hashed at a time
 
@@ -195,12 +197,13 @@ def _scored(ratios: np.ndarray, prior: float):
     return run
 
 
-def learn(docs: DataFrame, labels: DataFrame, n_buckets: int = BUCKETS) -> np.ndarray:
-    """The log ratio of every bucket: trusted are the documents of which every label says quality 1, raw are all.
-    Labels with a null id or quality say nothing."""
+def learn(docs: DataFrame, labels: DataFrame, n_buckets: int = BUCKETS, most: int = TRUSTED) -> np.ndarray:
+    """The log ratio of every bucket: trusted are the documents of which every label says quality 1 (beyond ``most``
+    ids those with the smallest hashes), raw are all. Labels with a null id or quality say nothing."""
     trusted = (labels.select("doc_id", "quality").filter("doc_id IS NOT NULL AND quality IS NOT NULL")
-               .groupBy("doc_id").agg((F.min("quality") == 1).alias("trusted")).filter("trusted"))
-    rows = docs.select("doc_id", text_bytes().alias("raw")).join(trusted, "doc_id", "left").select(
+               .groupBy("doc_id").agg((F.min("quality") == 1).alias("trusted")).filter("trusted")
+               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
+    rows = docs.select("doc_id", text_bytes().alias("raw")).join(F.broadcast(trusted), "doc_id", "left").select(
         "raw", F.coalesce("trusted", F.lit(False)).alias("trusted"))
     n = np.zeros((2, n_buckets), np.int64)
     for r in (rows.mapInArrow(_counts(n_buckets), "bucket long, raw_n long, trusted_n long").groupBy("bucket")

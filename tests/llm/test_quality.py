@@ -70,6 +70,13 @@ def test_without_labels_only_the_base_rules_reject(spark):
     assert q.judge(empty(spark), q.learn(empty(spark), labels(spark, [(1, 1)]))).count() == 0
 
 
+def test_the_trusted_side_is_bounded(spark):
+    docs = frame(spark, [(k, f"word{k} and more") for k in range(30)])
+    few = q.learn(docs, labels(spark, [(k, 1) for k in range(30)]), n_buckets=64, most=1)
+    one = [q.learn(docs, labels(spark, [(k, 1)]), n_buckets=64) for k in range(30)]
+    assert sum(np.array_equal(few, x) for x in one) == 1
+
+
 def test_ngrams_across_pieces(monkeypatch):
     texts = [sentence(random.Random(8), 400).encode(), None, b"", b"a,b*", sentence(random.Random(9), 90).encode()]
 
