@@ -256,23 +256,50 @@ def prefix_trie(conversations: DataFrame, heads=None, top_nodes: int = TOP_NODES
     return upper.select(*_NODE).unionByName(below.select(*_NODE)), passed.filter("last").select("node", "conv_id")
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted ends -> (node, first id, ids comma-joined) for every node and run of at most ``ROWS`` of its ids."""
+    out: list[tuple[bytes, int, list[int]]] = []
+
+    def flush(keep: int) -> pa.RecordBatch:
+        rows = out[:len(out) - keep]
+        del out[:len(out) - keep]
+        return pa.RecordBatch.from_arrays([pa.array([n for n, _, _ in rows], pa.binary()), pa.array([c for _, c, _ in rows], pa.int64()),
+                                           pa.array([",".join(map(str, ids)) for _, _, ids in rows], pa.string())],
+                                          names=["node", "first", "ids"])
+
+    size = 0
+    for b in batches:
+        for node, conv in zip(b.column("node").to_pylist(), b.column("conv_id").to_pylist()):
+            if out and out[-1][0] == node and len(out[-1][2]) < ROWS:
+                out[-1][2].append(conv)
+            else:
+                out.append((node, conv, [conv]))
+            size += 1
+            if size >= 10 * ROWS:
+                if len(out) > 1:
+                    yield flush(1)
+                size = len(out[-1][2])
+    if out:
+        yield flush(0)
+
+
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     node, sha, out = None, None, []
 
     def flush() -> pa.RecordBatch:
-        rows = pa.RecordBatch.from_arrays([pa.array([n for n, _ in out], pa.binary()), pa.array([d for _, d in out])],
+        rows = pa.RecordBatch.from_arrays([pa.array([n for n, _ in out], pa.binary()), pa.array([d for _, d in out], pa.string())],
                                           names=["node", "ends_sha256"])
         out.clear()
         return rows
 
     for b in batches:
-        for at, conv in zip(b.column("node").to_pylist(), b.column("conv_id").to_pylist()):
+        for at, ids in zip(b.column("node").to_pylist(), b.column("ids").to_pylist()):
             if at != node:
                 if sha:
                     out.append((node, sha.hexdigest()))
-                node, sha = at, hashlib.sha256(b"%d" % conv)
+                node, sha = at, hashlib.sha256(ids.encode())
             else:
-                sha.update(b",%d" % conv)
+                sha.update(b"," + ids.encode())
         if len(out) > ROWS:
             yield flush()
     if sha:
@@ -281,6 +308,11 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def ends_digest(ends: DataFrame) -> DataFrame:
-    """node, ends_sha256: SHA-256 of the ids of the conversations that end at a node, ascending and comma-joined. The ids
-    of a node pass through the hash as a sorted stream; they are never held together."""
-    return ends.repartition("node").sortWithinPartitions("node", "conv_id").mapInArrow(_digests, "node binary, ends_sha256 string")
+    """node, ends_sha256: SHA-256 of the ids of the conversations that end at a node, ascending and comma-joined.
+
+    Ids are sorted in ranges, so those of a node where many conversations end are spread over tasks, which join them to
+    runs of up to ``ROWS``; the runs of a node pass through its hash as a stream."""
+    runs = ends.repartitionByRange("node", "conv_id").sortWithinPartitions("node", "conv_id").mapInArrow(
+        _packed, "node binary, first long, ids string")
+    return runs.repartition("node").sortWithinPartitions("node", "first").select("node", "ids").mapInArrow(
+        _digests, "node binary, ends_sha256 string")

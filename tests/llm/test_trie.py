@@ -98,6 +98,13 @@ def test_nodes_give_their_texts(spark):
     assert sorted(tuple(r) for r in got) == [(1, "user", "a", 2), (2, "", "", 1), (2, "assistant", "b", 1)]
 
 
+def test_many_ends_at_one_node(spark, monkeypatch):
+    monkeypatch.setattr(trie, "ROWS", 7)
+    seqs = {c: [("user", "same")] for c in range(-50, 300)} | {900: []}
+    nodes, ends = trie.prefix_trie(frame(spark, [(c, 0, "user", "same") for c in range(-50, 300)]))
+    assert set(result(nodes, ends.repartition(5))) == brute({c: s for c, s in seqs.items() if s})
+
+
 def test_one_long_conversation(spark):
     rows = [(7, k, "user", f"t{k % 5}") for k in range(3000)] + [(8, 0, "user", "t0")]
     nodes, _ = trie.prefix_trie(frame(spark, rows), top_nodes=10, queue=16)
