@@ -70,13 +70,13 @@ SELECT event_id, ts, user_id, event_type, CAST(value AS VARCHAR) AS value FROM e
 WHERE ts < TIMESTAMP '2024-02-20'
 """, "SRC8", "SCH2")
 def q_incremental_append(spark, sf):
-    """Sign-ups before the bound of the first fetch arrive late, with the second one."""
+    """Two fetches with a look-back of thirty days: sign-ups before the first one's bound arrive late, with the second."""
     ev = table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value")
     bound = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
-    first = (F.col("ts") < bound) & ~F.coalesce(F.col("event_type") == "signup", F.lit(False))
-    stored = ev.where(first)
-    fresh = ev.where(~first).withColumn("value", F.col("value").cast("string"))  # schema drift: text in the new batch
-    return cat.incremental_append(stored, fresh, "ts", until="2024-02-20")
+    on_time = (F.col("ts") < bound) & ~F.coalesce(F.col("event_type") == "signup", F.lit(False))
+    stored = cat.incremental_append(ev.limit(0), ev.where(on_time), "ts", until="2024-01-15")
+    fresh = ev.withColumn("value", F.col("value").cast("string"))  # schema drift: text in the new batch
+    return cat.incremental_append(stored, fresh, "ts", since="2023-12-16", until="2024-02-20")
 
 
 @register("extract_window", """

@@ -1,5 +1,6 @@
 """The base and profile domains as registered datasets: each recipe with its parents, on a catalogue whose
-``raw`` and ``lookup`` sources the caller has registered."""
+``raw`` and ``lookup`` sources the caller has registered. All of them derive a patient's rows from that patient's (and
+the lookups), so with sources keyed alike an update derives only the touched patients anew."""
 
 from __future__ import annotations
 
@@ -7,6 +8,7 @@ from homesense.operators import resample as rs
 from homesense.plans.recipes import base, profile, sleep
 from homesense.sources.catalog import Catalog
 
+KEYS = ("patient_id",)
 # Rooms of the daily activity table, in output order.
 ACTIVITY_ROOMS = ("Bathroom", "Bedroom", "Hallway", "Kitchen", "Lounge")
 
@@ -17,25 +19,25 @@ def register_base(c: Catalog, tz: str | None = base.LONDON, sleep_tiebreak: str
     raw = {n: (n, "raw") for n in ("door", "activity", "appliances", "ambient_temperature", "light", "vital_signs",
                                    "blood_pressure", "sleep_mat")}
     devices = ("device_types", "lookup")
-    c.recipe("base", "doors", [raw["door"]])(lambda door: base.process_doors(door, tz, door_tiebreak))
-    c.recipe("base", "entryway", [("doors", "base")])(base.process_entryway)
-    c.recipe("base", "temperature", [raw["ambient_temperature"], devices])(
+    c.recipe("base", "doors", [raw["door"]], keys=KEYS)(lambda door: base.process_doors(door, tz, door_tiebreak))
+    c.recipe("base", "entryway", [("doors", "base")], keys=KEYS)(base.process_entryway)
+    c.recipe("base", "temperature", [raw["ambient_temperature"], devices], keys=KEYS)(
         lambda ambient_temperature, device_types: base.process_environment(ambient_temperature, device_types, tz))
-    c.recipe("base", "light", [raw["light"], devices])(
+    c.recipe("base", "light", [raw["light"], devices], keys=KEYS)(
         lambda light, device_types: base.process_environment(light, device_types, tz))
-    c.recipe("base", "kitchen", [raw["appliances"], ("doors", "base"), raw["activity"], devices])(
+    c.recipe("base", "kitchen", [raw["appliances"], ("doors", "base"), raw["activity"], devices], keys=KEYS)(
         lambda appliances, doors, activity, device_types: base.process_kitchen(appliances, doors, activity, device_types, tz))
-    c.recipe("base", "sleep", [raw["sleep_mat"]])(
+    c.recipe("base", "sleep", [raw["sleep_mat"]], keys=KEYS)(
         lambda sleep_mat: sleep.process_sleep(sleep_mat, tiebreak=sleep_tiebreak, tz=tz))
-    c.recipe("base", "bed_occupancy", [("sleep", "base")])(
+    c.recipe("base", "bed_occupancy", [("sleep", "base")], keys=KEYS)(
         lambda sleep: _edges(sleep))
-    c.recipe("base", "motion", [raw["activity"], ("entryway", "base"), ("bed_occupancy", "base")])(
+    c.recipe("base", "motion", [raw["activity"], ("entryway", "base"), ("bed_occupancy", "base")], keys=KEYS)(
         lambda activity, entryway, bed_occupancy: base.process_motion(activity, entryway, bed_occupancy, tz))
-    c.recipe("base", "physiology", [raw["vital_signs"], raw["blood_pressure"], devices])(
+    c.recipe("base", "physiology", [raw["vital_signs"], raw["blood_pressure"], devices], keys=KEYS)(
         lambda vital_signs, blood_pressure, device_types: base.process_physiology(vital_signs, blood_pressure, device_types, tz))
-    c.recipe("base", "habitat", [raw["light"], raw["ambient_temperature"], devices])(
+    c.recipe("base", "habitat", [raw["light"], raw["ambient_temperature"], devices], keys=KEYS)(
         lambda light, ambient_temperature, device_types: base.process_habitat(light, ambient_temperature, device_types))
-    c.recipe("base", "transitions", [("motion", "base")])(base.process_transitions)
+    c.recipe("base", "transitions", [("motion", "base")], keys=KEYS)(base.process_transitions)
 
 
 def _edges(minutes):
@@ -45,18 +47,18 @@ def _edges(minutes):
 def register_profile(c: Catalog, gap_hours: float = 1.0, rooms=ACTIVITY_ROOMS) -> None:
     """Daily and weekly activity, nightly sleep and its model, daily physiology, light and temperature profiles."""
     key = ["patient_id"]
-    c.recipe("profile", "activity_dailies", [("motion", "base")])(
+    c.recipe("profile", "activity_dailies", [("motion", "base")], keys=KEYS)(
         lambda motion: rs.activity_dailies(motion, key, "start_date", "location_name", rooms))
-    c.recipe("profile", "activity_weeklies", [("activity_dailies", "profile")])(
+    c.recipe("profile", "activity_weeklies", [("activity_dailies", "profile")], keys=KEYS)(
         lambda activity_dailies: profile.weeklies(activity_dailies))
-    c.recipe("profile", "sleep_dailies", [("sleep", "base"), ("bed_occupancy", "base")])(
+    c.recipe("profile", "sleep_dailies", [("sleep", "base"), ("bed_occupancy", "base")], keys=KEYS)(
         lambda sleep, bed_occupancy: _dailies(sleep, bed_occupancy, gap_hours))
-    c.recipe("profile", "physiology_dailies", [("physiology", "base"), ("sleep_dailies", "profile")])(
+    c.recipe("profile", "physiology_dailies", [("physiology", "base"), ("sleep_dailies", "profile")], keys=KEYS)(
         lambda physiology, sleep_dailies: profile.physiology_dailies(physiology, sleep_dailies))
-    c.recipe("profile", "sleep_model", [("sleep_dailies", "profile")])(
+    c.recipe("profile", "sleep_model", [("sleep_dailies", "profile")], keys=KEYS)(
         lambda sleep_dailies: profile.sleep_model(sleep_dailies))
-    c.recipe("profile", "light", [("light", "base")])(lambda light: profile.habitat_profile(light))
-    c.recipe("profile", "temperature", [("temperature", "base")])(lambda temperature: profile.habitat_profile(temperature))
+    c.recipe("profile", "light", [("light", "base")], keys=KEYS)(lambda light: profile.habitat_profile(light))
+    c.recipe("profile", "temperature", [("temperature", "base")], keys=KEYS)(lambda temperature: profile.habitat_profile(temperature))
 
 
 def _dailies(minutes, edges, gap_hours: float):
