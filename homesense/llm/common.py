@@ -14,9 +14,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+ARROW_BYTES = 4_000_000
+BROADCAST_BYTES = 32_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,18 +41,46 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: int = ARROW_BYTES) -> Iterator[None]:
+    """Arrow batches of at most ``size`` bytes for what is run inside, so that a batch of long texts stays small."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back: computed once, lineage cut."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small(df: DataFrame, rows: int = 400_000) -> DataFrame:
-    """``df`` (a staged table of short rows) marked for broadcasting if a count proves it has at most ``rows``
-    rows; beyond that it is left to a shuffled join."""
-    return F.broadcast(df) if df.count() <= rows else df
+def small(df: DataFrame, limit: int | None = None) -> DataFrame:
+    """``df`` (a staged table) marked for broadcasting if its rows are counted to take at most ``limit`` bytes; beyond that it
+    is left to a shuffled join, with the same result."""
+    size = df.agg(F.sum(sum((_bytes(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields), F.lit(16)))).first()[0]
+    return F.broadcast(df) if (size or 0) <= (BROADCAST_BYTES if limit is None else limit) else df
+
+
+def _bytes(x: Column, kind: T.DataType) -> Column:
+    """Bytes that a value takes."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        n = F.octet_length(x) + 16
+    elif isinstance(kind, T.ArrayType):
+        flat = not isinstance(kind.elementType, (T.StringType, T.BinaryType, T.ArrayType, T.StructType))
+        n = 16 + (8 * F.size(x) if flat else F.aggregate(x, F.lit(0).cast("long"), lambda a, e: a + _bytes(e, kind.elementType)))
+    elif isinstance(kind, T.StructType):
+        n = sum((_bytes(x[f.name], f.dataType) for f in kind.fields), F.lit(16))
+    else:
+        return F.lit(8).cast("long")
+    return F.coalesce(n, F.lit(0)).cast("long")
 
 
 def row_key(*cols: str) -> Column:
