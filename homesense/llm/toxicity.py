@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from homesense.llm.batches import mix2
 from homesense.llm.common import row_key, stage, text_bytes
+from homesense.llm.language import drawable
 
 SAMPLE = 4000
 SAMPLE_CHARS = 20_000
@@ -41,8 +42,8 @@ WINDOW = 10
 MAX_WINDOWS = 6000    # half of them around marked words
 EACH = 4
 STEPS = 250
-CACHE = 400_000
-RUN = 256
+CACHE = 100_000
+RUN = 256             # tabled powers of the step matrix
 SPAN_MARGINAL = 0.5
 
 _WORD = re.compile(rb"[a-z\x80-\xff]+")
@@ -73,6 +74,19 @@ class Field:
         known = [self.weights[f] for f in features(word) if f in self.weights]
         return self.rest + sum(known) if known else None
 
+    def run(self, gap: int) -> tuple[float, float, float, float]:
+        """The scaled ``gap``-th power of the step matrix over words without known features: tabled up to ``RUN``, beyond
+        that put together from its squares."""
+        runs = self.runs()
+        if gap <= RUN:
+            return runs[gap]
+        out, square, gap = runs[gap % RUN], runs[RUN], gap // RUN
+        while gap:
+            if gap & 1:
+                out = _product(out, square)
+            square, gap = _product(square, square), gap >> 1
+        return out
+
     def runs(self) -> list[tuple[float, float, float, float]]:
         """Scaled powers of the step matrix over words without known features."""
         if self._runs is None:
@@ -97,14 +111,14 @@ class Field:
                 hits.append((k, math.exp(min(50.0, s))))
         if not hits:
             return []
-        runs, (aa, ab, ba, bb) = self.runs(), np.exp(self.step).ravel().tolist()
+        aa, ab, ba, bb = np.exp(self.step).ravel().tolist()
         # state of the first word before its own score counts; then it is a step like the others
         forward, o, t, last = [], 1.0, math.exp(self.rest), 0
         for k, e in hits:
             if not k:
                 t = 1.0
             else:
-                m = runs[min(max(0, k - last - 1), RUN)]
+                m = self.run(max(0, k - last - 1))
                 o, t = o * m[0] + t * m[2], o * m[1] + t * m[3]
                 o, t = o * aa + t * ba, o * ab + t * bb
             t *= e
@@ -117,7 +131,7 @@ class Field:
             if later is not None:
                 t *= later
                 o, t = o * aa + t * ab, o * ba + t * bb
-            m = runs[min(gap, RUN)]
+            m = self.run(gap)
             o, t = o * m[0] + t * m[1], o * m[2] + t * m[3]
             o, t = o / (o + t), t / (o + t)
             out.append((k, ft * t / (fo * o + ft * t)))
@@ -129,6 +143,13 @@ class Field:
         return 1 / (1 + math.exp(-max(-50.0, min(50.0, self.doc[0] + self.doc[1] * x[0] + self.doc[2] * x[1]))))
 
 
+def _product(p: tuple, q: tuple) -> tuple[float, float, float, float]:
+    """The product of two 2 x 2 matrices, scaled to sum 1."""
+    out = (p[0] * q[0] + p[1] * q[2], p[0] * q[1] + p[1] * q[3], p[2] * q[0] + p[3] * q[2], p[2] * q[1] + p[3] * q[3])
+    total = sum(out)
+    return tuple(x / total for x in out)
+
+
 def _summary(marginals: list[tuple[int, float]]) -> tuple[float, float]:
     return (math.log1p(sum(p for _, p in marginals)), max((p for _, p in marginals), default=0.0))
 
@@ -323,21 +344,20 @@ def _spans(raw: bytes, hits: dict[int, float]) -> list[dict]:
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_chars: int = SAMPLE_CHARS,
           max_windows: int = MAX_WINDOWS) -> Field:
     """Fits on documents that have a label ``toxic`` 0 or 1. Texts beyond ``sample_chars`` characters are not
-    drawn; copies of a text with one label count once. A hash of the text decides, so the sample does not depend on
+    drawn, but for the shortest of a label that has no shorter one; copies of a text with one label count once. A hash of the text decides, so the sample does not depend on
     partitioning. ``max_windows`` bounds the
     training windows (see ``fit``)."""
     y = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter("toxic in (0, 1)").distinct()
     u = F.pmod(F.col("h"), F.lit(1 << 30)) + 1
-    short = docs.filter(F.length("text") <= sample_chars)
-    rows = stage(short.select("doc_id", row_key().alias("row_id"), F.xxhash64("text", F.lit(11)).alias("h"))
-                 .join(y, "doc_id").groupBy("toxic", "h").agg(F.min("row_id").alias("row_id"))
-                 .select("row_id", "toxic", u.alias("u")), "toxicity-rows")
-    sizes = rows.groupBy("toxic").agg(F.count("*").alias("n"))
-    drawn = (rows.join(F.broadcast(sizes), "toxic").orderBy(F.col("u") * F.col("n"), "toxic", "row_id").limit(sample)
-             .select("row_id", "toxic"))
+    docs = docs.select("doc_id", "text").filter(F.col("text").isNotNull())
+    rows = stage(docs.select("doc_id", row_key().alias("row_id"), F.xxhash64("text", F.lit(11)).alias("h"), F.length("text").alias("n"))
+                 .join(y, "doc_id").groupBy("toxic", "h").agg(F.min("row_id").alias("row_id"), F.min("n").alias("n"))
+                 .select("row_id", "toxic", u.alias("u"), "n"), "toxicity-rows")
+    drawn = (drawable(rows, "toxic", sample, sample_chars)
+             .orderBy(F.col("u") * F.col("of"), "toxic", "row_id").limit(sample).select("row_id", "toxic"))
     drawn = stage(drawn.distinct(), "toxicity-drawn")   # at most ``sample`` rows: only their texts are gathered
-    drawn = (short.withColumn("row_id", row_key()).join(F.broadcast(drawn), "row_id")
-             .select("row_id", "toxic", text_bytes().alias("raw")).dropDuplicates(["row_id", "toxic"]).collect())
+    drawn = (docs.select(row_key().alias("row_id"), text_bytes().alias("raw")).join(F.broadcast(drawn), "row_id")
+             .dropDuplicates(["row_id", "toxic"]).collect())
     return fit([r.raw for r in drawn], [r.toxic for r in drawn], max_windows)
 
 
