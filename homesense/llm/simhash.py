@@ -11,6 +11,7 @@ lists are compared in blocks, and only spanning forests of links leave a task.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -26,27 +27,40 @@ from homesense.llm.lists import blocked, components, group_ids, groups
 SHINGLE = 4
 MAX_BITS = 4
 SEED = 42
-CHUNK = 100_000
+CHUNK = 200_000
+
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def fingerprint(raw: bytes | None, shingle: int = SHINGLE) -> int:
     """SimHash of a text: a bit is set if it is set in over half of the shingles' hashes; 0 without words."""
-    words = raw.lower().split() if raw else []
-    if not words:
-        return 0
-    if len(words) < shingle:
-        return xxhash.xxh64_intdigest(b" ".join(words), SEED)
-    joined = b" ".join(words)
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-    starts = np.concatenate([[0], ends[:-1]])[:len(words) - shingle + 1].tolist()
-    stops = (ends[shingle - 1:] - 1).tolist()
-    digest, ones = xxhash.xxh64_intdigest, np.zeros(64, np.int64)
-    for at in range(0, len(starts), CHUNK):
-        h = np.fromiter((digest(joined[s:e], SEED) for s, e in zip(starts[at:at + CHUNK], stops[at:at + CHUNK])),
-                        np.uint64, min(CHUNK, len(starts) - at))
+    digest, ones, n, words = xxhash.xxh64_intdigest, np.zeros(64, np.int64), 0, []
+    for piece in _pieces(raw.lower()) if raw else ():
+        words = words[1 - shingle:] if shingle > 1 else []      # shingles that begin in the piece before
+        words = words + piece.split()
+        if len(words) < shingle:
+            continue
+        joined = b" ".join(words)
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+        starts = np.concatenate([[0], ends[:-1]])[:len(words) - shingle + 1].tolist()
+        stops = (ends[shingle - 1:] - 1).tolist()
+        h = np.fromiter((digest(joined[s:e], SEED) for s, e in zip(starts, stops)), np.uint64, len(starts))
         ones += np.unpackbits(h.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(
             axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(starts), bitorder="little").view("<u8")[0])
+        n += len(starts)
+    if not n:
+        return digest(b" ".join(words), SEED) if words else 0
+    return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
+
+
+def _pieces(raw: bytes) -> Iterator[bytes]:
+    """A text in pieces of about ``CHUNK`` bytes, cut before a blank."""
+    at = 0
+    while at < len(raw):
+        blank = _BLANK.search(raw, at + CHUNK)
+        end = blank.start() if blank else len(raw)
+        yield raw[at:end]
+        at = end
 
 
 def _fingerprints(shingle: int):
