@@ -3,7 +3,9 @@
 Every document is tokenised once. Its whole multiples of the sequence length become full sequences; the
 remaining tail of each document is placed by first-fit decreasing. Tails are dealt into randomised groups of
 bounded expected size (a hash of a row number decides), each group is packed alone in one task, and a
-tournament tree over the bins' free space finds the first bin that fits in logarithmic time.
+tournament tree over the bins' free space finds the first bin that fits in logarithmic time. Full sequences are
+numbered where they are cut, and tails travel once, with their ids, to the task that packs them: no piece is
+joined with its place.
 """
 
 from __future__ import annotations
@@ -12,18 +14,19 @@ import base64
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from homesense.llm.common import row_key, small, stage, text_bytes
+from homesense.llm.common import row_key, stage, text_bytes
 
 LENGTH = 1024
-GROUP_DOCS = 20_000
+GROUP_DOCS = 4_000
 END_ID = 0
-CACHE = 400_000
-BATCH_IDS = 8_000_000     # bytes of ids in a batch
+CACHE = 50_000
+BATCH_IDS = 4_000_000     # bytes of ids in a batch
+FULL = 1 << 61            # numbers of full sequences begin here
 
 
 class Encoder:
@@ -81,6 +84,7 @@ def default_tokenizer() -> tuple[str, str, str]:
             public_tokenizers.PATTERN)
 
 
+_PIECE = "doc_id long, row_id long, row long, doc_tokens long, start long, length long, ids binary, sequence_id long"
 _ENCODERS: dict[tuple, Encoder] = {}
 
 
@@ -90,30 +94,33 @@ def _tokenised(paths: tuple[str, str, str] | None, length: int):
         if key not in _ENCODERS:
             _ENCODERS[key] = Encoder(*key)
         encode, end = _ENCODERS[key], np.asarray([END_ID], dtype="<u4").tobytes()
-        step = 4 * length
+        step, number = 4 * length, FULL + (TaskContext.get().partitionId() << 36)
         for b in batches:
             kept, held, size = [c for c in b.schema.names if c != "raw"], [], 0
             for k, raw in enumerate(b.column("raw")):
                 text = raw.as_py()
                 ids = (encode(text.decode("utf-8", "replace")) if text else b"") + end
                 for i in range(0, len(ids), step):
-                    held.append((k, len(ids) // 4, i // 4, ids[i:i + step]))
-                    size += len(held[-1][3])
+                    part = ids[i:i + step]
+                    held.append((k, len(ids) // 4, i // 4, part, number if len(part) == step else None))
+                    number += len(part) == step
+                    size += len(part)
                     if size >= BATCH_IDS:
                         yield _pieces(b, kept, held)
                         held, size = [], 0
             if held:
                 yield _pieces(b, kept, held)
+        encode.cache.clear()
     return run
 
 
 def _pieces(b: pa.RecordBatch, kept: list[str], held: list[tuple]) -> pa.RecordBatch:
-    at, total, start, ids = zip(*held)
+    at, total, start, ids, number = zip(*held)
     at = pa.array(at, pa.int64())
     return pa.RecordBatch.from_arrays(
         [*[b.column(c).take(at) for c in kept], pa.array(total, pa.int64()), pa.array(start, pa.int64()),
-         pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
-        names=[*kept, "doc_tokens", "start", "length", "ids"])
+         pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()), pa.array(number, pa.int64())],
+        names=[*kept, "doc_tokens", "start", "length", "ids", "sequence_id"])
 
 
 class FreeSpace:
@@ -153,18 +160,12 @@ def first_fit_decreasing(sizes: list[int], capacity: int) -> tuple[list[int], li
 
 
 def _pack_group(length: int):
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("row", kind="stable").reset_index(drop=True)
-        base = int(group["bucket"].iloc[0]) << 32
-        tail = group["tail"].to_numpy()
-        at = np.flatnonzero(tail > 0)
-        bins, offsets = first_fit_decreasing(tail[at].tolist(), length)
-        tail_seq, tail_off = np.zeros(len(group), np.int64), np.zeros(len(group), np.int64)
-        tail_seq[at], tail_off[at] = np.asarray(bins, np.int64) + base, offsets
-        n_bins = max(bins, default=-1) + 1
-        first_full = base + n_bins + np.concatenate([[0], np.cumsum(group["n_full"].to_numpy())[:-1]])
-        return pd.DataFrame({"row": group["row"], "tail_seq": tail_seq, "tail_off": tail_off,
-                             "first_full": first_full.astype(np.int64)})
+    def run(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks().sort_by("row")
+        bins, offsets = first_fit_decreasing(group["length"].to_pylist(), length)
+        base = group["bucket"][0].as_py() << 32
+        group = group.set_column(group.schema.get_field_index("sequence_id"), "sequence_id", pa.array([base + x for x in bins], pa.int64()))
+        return group.drop_columns(["bucket"]).append_column("offset", pa.array(offsets, pa.int64()))
     return run
 
 
@@ -176,28 +177,19 @@ def pack_documents(docs: DataFrame, length: int = LENGTH, group_docs: int = GROU
     in exactly one piece; offsets in a sequence run gapless from 0. ``ids`` holds the piece's ids as little-endian
     unsigned 32-bit integers, so a sequence is the ``ids`` of its pieces joined by offset. ``row`` numbers the rows
     of ``docs``: it keeps repeated rows and null ids apart (each row is packed once), but differs between runs;
-    ``row_id`` is the key by id and text. A very long text gives many full sequences and one tail. Placing shuffles
-    short per-document rows; the ids meet their places in one join. ``tokenizer`` is (json file, rank file, pattern),
-    by default the public byte-level BPE. An empty table gives an empty result.
+    ``row_id`` is the key by id and text. A very long text gives many full sequences and at most one tail. ``tokenizer`` is
+    (json file, rank file, pattern), by default the public byte-level BPE. An empty table gives an empty result.
     """
     pieces = stage(
         docs.select("doc_id", row_key().alias("row_id"), F.monotonically_increasing_id().alias("row"),
-                    text_bytes().alias("raw"))
-        .mapInArrow(_tokenised(tokenizer, length), "doc_id long, row_id long, row long, doc_tokens long, start long, "
-                                                   "length long, ids binary"), "pack-pieces")
-    # one row per document: only its last piece ends where the document does
-    last = pieces.filter(F.col("start") + F.col("length") == F.col("doc_tokens"))
-    n_groups = max(1, -(-last.count() // group_docs))
-    tails = last.select("row", (F.col("doc_tokens") % length).alias("tail"),
-                        F.expr(f"doc_tokens div {length}").alias("n_full"),
-                        F.pmod(F.xxhash64("row"), F.lit(n_groups)).alias("bucket"))
-    placed = stage(tails.groupBy("bucket").applyInPandas(
-        _pack_group(length), "row long, tail_seq long, tail_off long, first_full long"), "pack-placed")
-    full = F.col("length") == length
-    return pieces.join(small(placed), "row").select(
-        "doc_id", "row_id", "row", "start", "length", "ids", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
-        F.when(full, F.col("first_full") + F.expr(f"start div {length}")).otherwise(F.col("tail_seq")).alias("sequence_id"),
-        F.when(full, F.lit(0).cast("long")).otherwise(F.col("tail_off")).alias("offset"))
+                    text_bytes().alias("raw")).mapInArrow(_tokenised(tokenizer, length), _PIECE), "pack-pieces")
+    tails = pieces.filter("sequence_id IS NULL")
+    n_groups = max(1, -(-tails.count() // group_docs))
+    packed = tails.withColumn("bucket", F.pmod(F.xxhash64("row"), F.lit(n_groups))).groupBy("bucket").applyInArrow(
+        _pack_group(length), _PIECE + ", offset long")
+    full = pieces.filter("sequence_id IS NOT NULL").withColumn("offset", F.lit(0).cast("long"))
+    return full.unionByName(packed).select("doc_id", "row_id", "row", "start", "length", "ids", F.crc32("ids").alias("ids_crc32"),
+                                           "doc_tokens", "sequence_id", "offset")
 
 
 def digests(pieces: DataFrame) -> DataFrame:
