@@ -60,22 +60,37 @@ def winnowed(rows: DataFrame) -> DataFrame:
     """
     grams = rows.select("row_id", _grams(F.col("ws"), K).alias("gs")).filter(F.size("gs") >= W)
     at = grams.select("row_id", "gs", F.explode(F.sequence(F.lit(0), F.size("gs") - W)).alias("i"))
+    new, low, place = _pick()
+    return at.filter(new).select("row_id", low.alias("h"), (F.col("i") + place).alias("pos"), F.lit(SPAN).alias("size"))
+
+
+def _pick() -> tuple[Column, Column, Column]:
+    """Of the window of ``W`` grams that begins at ``i`` in ``gs``: whether its pick is new, the pick, and its place."""
     g = [F.get("gs", F.col("i") + j) for j in range(W)]
     left, inner = F.get("gs", F.col("i") - 1), F.least(*g[:-1])
     low = F.least(*g)
     place = F.lit(W - 1)
     for j in range(W - 2, -1, -1):
         place = F.when(g[j] == low, F.lit(j)).otherwise(place)
-    return at.filter((F.col("i") == 0) | (g[-1] < inner) | (left <= inner)).select(
-        "row_id", low.alias("h"), (F.col("i") + place).alias("pos"), F.lit(SPAN).alias("size"))
+    return (F.col("i") == 0) | (g[-1] < inner) | (left <= inner), low, place
 
 
 def fingerprints(rows: DataFrame, short: list[int]) -> DataFrame:
-    """Kept grams of the rows' texts, with all grams of the given short sizes besides."""
-    out = winnowed(rows)
-    for size in short:
-        out = out.union(_all_grams(rows, size))
-    return out
+    """Kept grams of the rows' texts, with all grams of the given short sizes besides: one pass over the texts, one row per
+    word, from which the window's pick (if it is new) and the grams that start there are taken."""
+    if not short:
+        return winnowed(rows)
+    hashed = rows.select("row_id", F.transform("ws", lambda x: F.xxhash64(x)).alias("hs"), _grams(F.col("ws"), K).alias("gs"))
+    at = hashed.filter(F.size("hs") > 0).select("row_id", "hs", "gs", F.explode(F.sequence(F.lit(0), F.size("hs") - 1)).alias("i"))
+
+    def kept(when: Column, h: Column, pos: Column, size: int) -> Column:
+        return F.when(when, F.struct(h.alias("h"), pos.alias("pos"), F.lit(size).alias("size")))
+
+    new, low, place = _pick()
+    inside = F.col("i") + W <= F.size("gs")
+    found = [kept(inside & new, low, F.col("i") + place, SPAN)]
+    found += [kept(F.col("i") + n <= F.size("hs"), F.xxhash64(F.slice("hs", F.col("i") + 1, n)), F.col("i"), n) for n in short]
+    return at.select("row_id", F.explode(F.array_compact(F.array(*found))).alias("x")).select("row_id", "x.*")
 
 
 def _window_text(ws: Column, start: Column, size: Column) -> Column:
