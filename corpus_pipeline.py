@@ -18,13 +18,15 @@ from homesense.llm.simhash import simhash_components
 from homesense.llm.substring import cut_repeats
 
 _KEY = "__row_id"
+MIN_KNOWN = 0.5
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a recognisable language (null text or no letter). Learns as the query does; if
-    there is nothing to learn from, only texts without letters go, too."""
+    """Drops documents whose language is not recognised: null text, no letter, or less than ``MIN_KNOWN`` of the text's
+    n-grams known to the classifier (a script or language that it has not learned, or noise). Learns as the query does; if
+    there is nothing to learn from, only texts without letters go."""
     model = language.train(docs.filter(F.pmod(id_crc(), F.lit(5)) != 0))
-    found = language.identify(docs, model).filter(F.col("lang_pred") == language.UNKNOWN)
+    found = language.identify(docs, model).filter((F.col("lang_pred") == language.UNKNOWN) | (F.col("known") < MIN_KNOWN))
     rejected = found if model.labels else docs.filter(~language.has_letter()).select(row_key().alias("row_id"))
     return _without(docs, rejected, "language")
 
