@@ -1,4 +1,4 @@
-"""Skew-safe ordered primitives: lead/lag and running sums per entity.
+"""Skew-safe ordered primitives: lead/lag, running sums and the last value so far per entity.
 
 A plain ``Window.partitionBy(patient)`` sends every row of one patient to one task; one patient holding a
 third of all rows would then sort a third of the data in one task. Here each entity's sequence is cut into
@@ -15,6 +15,8 @@ recomputed per branch).
   emits a summary row; summaries of a key meet in partition ``(keys, -1)`` and get the exclusive prefix
   of chunk totals; a third window over ``(keys, chunk)`` hands that offset to the chunk's rows. Three
   exchanges, one row per chunk in the per-key partition.
+* last non-null value so far: the same scan with "the later non-null one" in place of the sum: the local last value,
+  and for rows without one the last value of the nearest earlier chunk that has any.
 
 ``chunk_seconds=None`` gives the single-window form (one exchange, hot keys stay whole); both forms return
 identical rows (tested).
@@ -97,6 +99,42 @@ def with_shifts(df: DataFrame, keys: Sequence[str], ts: str, tiebreak, shifts: M
     return d.select(*base_cols, *out)
 
 
+def _scan(df: DataFrame, keys: list[str], ts: str, tiebreak, value, chunk_seconds: int, fold, join, out: str) -> DataFrame:
+    """A segmented scan: ``fold`` over a chunk's values up to a row, joined with ``fold`` over the earlier chunks' totals."""
+    base_cols, order = df.columns, _order(ts, tiebreak)
+    d = df.withColumn(_CHUNK, chunk_of(ts, chunk_seconds)).withColumn("__v", c(value))
+    wc = Window.partitionBy(*keys, _CHUNK).orderBy(*order)
+    whole = wc.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    d = d.select("*", fold(F.col("__v")).over(wc.rowsBetween(Window.unboundedPreceding, 0)).alias("__local"),
+                 fold(F.col("__v")).over(whole).alias("__tot"),
+                 F.row_number().over(wc).alias(_RN), F.count(F.lit(1)).over(whole).alias(_CNT))
+    # kind 0 = data row, kind 1 = the chunk's summary row (emitted once, from its last row)
+    d = d.withColumn("__kind", F.explode(F.when(F.col(_RN) == F.col(_CNT), F.array(F.lit(0), F.lit(1)))
+                                         .otherwise(F.array(F.lit(0)))))
+    is_sum = F.col("__kind") == 1
+    d = d.withColumn(_PART, F.when(is_sum, F.lit(-1)).otherwise(F.col(_CHUNK)))
+    w2 = Window.partitionBy(*keys, _PART).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    d = d.withColumn("__off", F.when(is_sum, fold(F.when(is_sum, F.col("__tot"))).over(w2)))
+    w3 = Window.partitionBy(*keys, _CHUNK)      # only the summary row has an offset
+    d = d.withColumn("__off", F.first("__off", ignorenulls=True).over(w3))
+    return d.where(F.col("__kind") == 0).select(*base_cols, join(F.col("__local"), F.col("__off")).alias(out))
+
+
+def with_last(df: DataFrame, keys: Sequence[str], ts: str, tiebreak, value, out: str,
+              chunk_seconds: int | None | str = AUTO) -> DataFrame:
+    """Add ``out`` = last non-null ``value`` up to the current row per key in (ts, tiebreak) order."""
+    keys = require_keys(keys)
+    chunk_seconds = resolve_chunk(df, chunk_seconds)
+
+    def last(x: Column) -> Column:
+        return F.last(x, ignorenulls=True)
+
+    if chunk_seconds is None:
+        w = Window.partitionBy(*keys).orderBy(*_order(ts, tiebreak)).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumn(out, last(c(value)).over(w))
+    return _scan(df, keys, ts, tiebreak, value, chunk_seconds, last, F.coalesce, out)
+
+
 def with_running_sum(df: DataFrame, keys: Sequence[str], ts: str, tiebreak, value, out: str,
                      chunk_seconds: int | None | str = AUTO) -> DataFrame:
     """Add ``out`` = running sum of ``value`` (inclusive of the current row) per key in (ts, tiebreak) order."""

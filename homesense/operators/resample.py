@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from homesense.functions.scalars import row_total
 from homesense.functions.time import bin_start, week_label
-from homesense.operators.ordered import AUTO, require_keys, with_shifts
+from homesense.operators.ordered import AUTO, require_keys, with_last, with_shifts
 
 BETWEEN_NIGHT = ("18:00", "12:00")
 
@@ -137,20 +137,23 @@ def period_stats(df: DataFrame, keys: Sequence[str], ts: str, measures: Sequence
     return a.withColumnRenamed("__w", "start_date")
 
 
-def resample_mean_ffill(df: DataFrame, keys: Sequence[str], ts: str, value: str, every_seconds: int = 900
-                        ) -> DataFrame:
+FILL_BINS = 8192        # bins in a chunk of the forward fill
+
+
+def resample_mean_ffill(df: DataFrame, keys: Sequence[str], ts: str, value: str, every_seconds: int = 900,
+                        chunk_seconds: int | None | str = "bins") -> DataFrame:
     """Mean per key and clock bin, dense, forward-filled within the key (``process_light``, AG8).
 
     The fill is computed on the occupied bins first (last non-null mean so far) and copied into the
-    inserted empty bins, so the only window runs over aggregated rows.
+    inserted empty bins. It is a scan over chunks of ``FILL_BINS`` bins, so no window holds more rows of a key however
+    long its series is; ``chunk_seconds`` None gives one window per key.
     """
     keys = require_keys(keys)
+    width = FILL_BINS * every_seconds if chunk_seconds == "bins" else chunk_seconds
     a = (drop_null_keys(df, keys).withColumn("start_date", bin_start(ts, every_seconds))
-         .groupBy(*keys, "start_date").agg(F.avg(value).alias(value)))
-    w = Window.partitionBy(*keys).orderBy("start_date").rowsBetween(Window.unboundedPreceding, 0)
-    a = a.withColumn(value, F.last(F.col(value), ignorenulls=True).over(w))
-    w2 = Window.partitionBy(*keys).orderBy("start_date")
-    a = a.withColumn("__next", F.lead("start_date").over(w2))
+         .groupBy(*keys, "start_date").agg(F.avg(value).alias("__mean")))
+    a = with_last(a, keys, "start_date", None, "__mean", value, width).drop("__mean")
+    a = with_shifts(a, keys, "start_date", None, {"__next": ("start_date", 1)}, width)
     stop = F.when(F.col("__next").isNull(), F.col("start_date")).otherwise(
         F.timestamp_add("SECOND", F.lit(-every_seconds), F.col("__next")))
     return step_bins(a, "start_date", stop, every_seconds, "SECOND", "__b").select(

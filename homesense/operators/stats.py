@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from homesense.functions.levels import with_levels
 from homesense.functions.time import angle_to_hms_text, c, micros_of_day
 from homesense.operators.ordered import require_keys
 
@@ -27,25 +28,84 @@ OUT_OF_BED, EXTREMELY_LOW, EXTREMELY_HIGH = "OOB", "Extremely low", "Extremely h
 # ---------------------------------------------------------------- AG13 quartile labels
 
 
+LEAF = 10_000           # values that are sorted at last
+NARROW = 1_000          # accuracy of the splitters
+
+
+def exact_quantiles(df: DataFrame, x: str, probs: Sequence[float], leaf: int = LEAF) -> list[float] | None:
+    """Exact linear quantiles of a column, as ``percentile`` gives them, without gathering its values; None if it has none.
+
+    Order statistics are selected by narrowing: an approximate percentile sketch proposes three values around each rank,
+    one aggregate counts the values below and between them exactly, and only the part that holds the rank is
+    looked at again, until at most ``leaf`` values are left to sort (or all are equal). Each round passes over the
+    input and keeps a few thousandths of it.
+    """
+    v = F.col(x).cast("double")
+    base = df.where(v.isNotNull()).select(v.alias("v"))
+    n, lo, hi = base.agg(F.count("*"), F.min("v"), F.max("v")).first()
+    if not n:
+        return None
+    places = [p * (n - 1) for p in probs]
+    # rank -> (lowest and highest value that it can have, number of values below the lowest, number from lowest to highest)
+    spans = {r: (lo, hi, 0, n) for p in places for r in (math.floor(p), math.ceil(p))}
+    while open_ := {r: s for r, s in spans.items() if s[3] > leaf and s[0] < s[1]}:
+        shares = {r: (r - s[2] + 0.5) / s[3] for r, s in open_.items()}
+        near = base.agg(*[F.percentile_approx(F.when(F.col("v").between(s[0], s[1]), F.col("v")),
+                                              [max(0.0, shares[r] - 3 / NARROW), shares[r], min(1.0, shares[r] + 3 / NARROW)], NARROW)
+                          for r, s in open_.items()]).first()
+        counts = base.agg(*[f for s, (a, m, b) in zip(open_.values(), near) for f in _zones(F.col("v"), *s[:2], a, m, b)]).first()
+        for k, ((r, s), (a, m, b)) in enumerate(zip(open_.items(), near)):
+            cuts, ends = counts[8 * k:8 * k + 4], counts[8 * k + 4:8 * k + 8]
+            # below a, from a to below m, m itself, beyond m up to b, beyond b: m is a value, so every part is smaller
+            zones = [(s[0], ends[0]), (a, ends[1]), (m, m), (ends[2], b), (ends[3], s[1])]
+            bounds = [s[2], *cuts, s[2] + s[3]]
+            z = next(z for z in range(5) if bounds[z] <= r < bounds[z + 1])
+            spans[r] = (*zones[z], bounds[z], bounds[z + 1] - bounds[z])
+    left = sorted({(s[0], s[1]) for s in spans.values() if s[0] < s[1]})
+    rows = {s: [] for s in left}
+    for a, b in left:       # at most ``leaf`` values each
+        rows[(a, b)] = [r.v for r in base.where(F.col("v").between(a, b)).orderBy("v").collect()]
+    at = {r: s[0] if s[0] == s[1] else rows[(s[0], s[1])][r - s[2]] for r, s in spans.items()}
+    out = []
+    for p in places:
+        low, high = math.floor(p), math.ceil(p)
+        out.append(at[low] if low == high or at[low] == at[high] else (high - p) * at[low] + (p - low) * at[high])
+    return out
+
+
+def _zones(v: Column, lo: float, hi: float, a: float, m: float, b: float) -> list[Column]:
+    """How many values lie below ``a``, below ``m``, up to ``m`` and up to ``b``, and the values next to these borders within
+    [lo, hi]."""
+    return [F.count_if(v < a), F.count_if(v < m), F.count_if(v <= m), F.count_if(v <= b),
+            F.max(F.when((v >= lo) & (v < a), v)), F.max(F.when((v >= a) & (v < m), v)),
+            F.min(F.when((v > m) & (v <= b), v)), F.min(F.when((v > b) & (v <= hi), v))]
+
+
 def iqr_labels(df: DataFrame, x: str, labels: Sequence[str] = OCCUPANCY_LABELS, out: str = "global_outcome",
                full_out: str | None = "outcome_full", approx_accuracy: int | None = None,
-               rank_out: str | None = None) -> DataFrame:
+               rank_out: str | None = None, discrete: bool = False) -> DataFrame:
     """Label each value against the cohort quartiles and 1.5 IQR fences.
 
     0 -> OOB; > q3 + 1.5 IQR -> Extremely high; < q1 - 1.5 IQR -> Extremely low; (lo, q1] / (q1, q3] /
     (q3, hi] -> labels; exactly lo -> null. ``out`` keeps only OOB and the three labels (the others
     become null), ``full_out`` keeps all six, ``rank_out`` is the full label's place in the order from out of
-    bed to extremely high. Quartiles are exact and linear, taken from a (value, count) table: values are
-    counted on all tasks first, and only distinct ones meet (for hours-in-bed at most 1441); pass
-    ``approx_accuracy`` for ``percentile_approx`` on unbounded value sets.
+    bed to extremely high; both label columns hold that order in their schema (``functions.levels``).
+
+    Quartiles are exact and linear. They are found by selection (``exact_quantiles``: a few passes when this is
+    called, no task sees all values); with ``discrete``, for a measure of few distinct values (hours in bed: at
+    most 1441), they are taken lazily from a (value, count) table whose distinct values meet in one task;
+    ``approx_accuracy`` takes ``percentile_approx``.
     """
     probs = F.array(F.lit(0.25), F.lit(0.75))
-    if approx_accuracy is None:
+    if approx_accuracy is not None:
+        quartiles = df.select(F.percentile_approx(F.col(x).cast("double"), probs, approx_accuracy).cast("array<double>")).scalar()
+    elif discrete:
         counts = df.where(F.col(x).isNotNull()).groupBy(F.col(x).alias("__x")).agg(F.count("*").alias("__n"))
-        quartiles = counts.select(F.percentile("__x", probs, F.col("__n")))
+        quartiles = counts.select(F.percentile("__x", probs, F.col("__n"))).scalar()
     else:
-        quartiles = df.select(F.percentile_approx(F.col(x).cast("double"), probs, approx_accuracy).cast("array<double>"))
-    d = df.withColumn("__q", quartiles.scalar())
+        found = exact_quantiles(df, x, (0.25, 0.75))
+        quartiles = F.array(*[F.lit(q) for q in found or (None, None)]).cast("array<double>")
+    d = df.withColumn("__q", quartiles)
     q1, q3 = F.col("__q")[0], F.col("__q")[1]
     iqr = q3 - q1
     lo, hi = q1 - iqr * 1.5, q3 + iqr * 1.5
@@ -56,8 +116,9 @@ def iqr_labels(df: DataFrame, x: str, labels: Sequence[str] = OCCUPANCY_LABELS,
     d = d.withColumn("__full", full)
     keep = [OUT_OF_BED, *labels]
     d = d.withColumn(out, F.when(F.col("__full").isin(keep), F.col("__full")))
+    order = [OUT_OF_BED, EXTREMELY_LOW, *labels, EXTREMELY_HIGH]
+    d = with_levels(with_levels(d, out, keep), "__full", order)
     if rank_out:
-        order = [OUT_OF_BED, EXTREMELY_LOW, *labels, EXTREMELY_HIGH]
         place = F.array_position(F.array(*[F.lit(x) for x in order]), F.col("__full")) - 1
         d = d.withColumn(rank_out, place.cast("int"))
     if full_out:

@@ -104,7 +104,7 @@ SELECT user_id, start_date, round(Time_in_bed, 6) AS Time_in_bed, unit, outcome_
 FROM l
 """, "AG13", "SCH6", "D16")
 def q_iqr_labels(spark, sf):
-    return round_doubles(st.iqr_labels(occupancy(spark, sf), "Time_in_bed"))
+    return round_doubles(st.iqr_labels(occupancy(spark, sf), "Time_in_bed", discrete=True))
 
 
 @register("daily_naps", """

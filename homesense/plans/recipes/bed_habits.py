@@ -15,4 +15,4 @@ def process_outcome(sleep: DataFrame, keys: Sequence[str] = ("patient_id",), app
     """Hours in bed per noon-day (18:00-12:00 minutes, zero-filled) labelled against the cohort's
     quartiles: ``global_outcome`` keeps OOB / Low / Normal / High TIB, ``outcome_full`` all six labels."""
     return iqr_labels(occupancy_daily(sleep, list(keys), "start_date"), "Time_in_bed",
-                      approx_accuracy=approx_accuracy)
+                      approx_accuracy=approx_accuracy, discrete=True)
