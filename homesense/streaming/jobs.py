@@ -20,10 +20,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from homesense.functions.time import epoch_micros, from_epoch_micros
 from homesense.operators.sequences import transitions
@@ -139,6 +140,94 @@ def pending_transitions(spark: SparkSession, state: str, batch_id: int, keys: Se
     return _paired(spark.read.parquet(f"{state}/batch={batch_id}"), keys)
 
 
+class _Pairing(StatefulProcessor):
+    """Events of a key are held until the watermark has passed them, then paired in event order; an event-time timer for
+    each held time wakes the key, another removes its last event after ``lifetime``."""
+
+    def __init__(self, lifetime_ms: int):
+        self.lifetime_ms = lifetime_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.held = handle.getListState("held", "us long, tb long, v string")
+        self.last = handle.getValueState("last", "us long, tb long, v string")
+
+    def handleInputRows(self, key, rows, timerValues):
+        bound = timerValues.getCurrentWatermarkInMs() * 1000
+        late, times = [], set()
+        for pdf in rows:        # the columns come without names
+            for us, tb, v in zip(pdf.iloc[:, -3], pdf.iloc[:, -2], pdf.iloc[:, -1]):
+                us, tb, v = int(us), None if pd.isna(tb) else int(tb), None if pd.isna(v) else v
+                if us < bound:
+                    late.append((us, v))
+                else:
+                    self.held.appendValue((us, tb, v))
+                    times.add(us // 1000 + 1)
+        for ms in times:
+            self.handle.registerTimer(ms)
+        yield _events(key, [(us, None, v, None) for us, v in late], "late")
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        bound = timerValues.getCurrentWatermarkInMs() * 1000
+        held = [tuple(r) for r in self.held.get()]
+        ready = sorted((r for r in held if r[0] < bound), key=lambda r: (r[0], r[1] is not None, r[1] or 0))
+        last = tuple(self.last.get()) if self.last.exists() else None
+        pairs = []
+        for r in ready:
+            if last:
+                pairs.append((last[0], r[0], last[2], r[2]))
+            last = r
+        if ready:
+            rest = [r for r in held if r[0] >= bound]
+            self.held.put(rest) if rest else self.held.clear()
+            self.last.update(last)
+            self.handle.registerTimer(last[0] // 1000 + 1 + self.lifetime_ms)
+        elif last and not held and bound >= last[0] + self.lifetime_ms * 1000:
+            self.last.clear()
+        yield _events(key, pairs, "pair")
+
+    def close(self) -> None:
+        pass
+
+
+def _events(key, rows: list[tuple], kind: str) -> pd.DataFrame:
+    text = {f"k{i}": [str(x)] * len(rows) for i, x in enumerate(key)}
+    out = pd.DataFrame({n: pd.Series(x, dtype=object) for n, x in text.items()})
+    for n, c in enumerate(("us", "next_us", "v", "next_v")):
+        out[c] = pd.Series([r[n] for r in rows], dtype="Int64" if c.endswith("us") else object)
+    out["kind"] = pd.Series([kind] * len(rows), dtype=object)
+    return out
+
+
+def keyed_transitions(stream: DataFrame, keys: Sequence[str], ts: str, value: str, tiebreak: str, delay: str = "1 hour",
+                      lifetime_seconds: int = 30 * 86_400) -> DataFrame:
+    """T3 with keyed state: transitions (as WN1) of a stream, in event order, as a streaming DataFrame.
+
+    Held events and the last event of every key live in the state store (``spark.sql.streaming.stateStore.providerClass`` must be
+    the RocksDB one), so a micro-batch is read once and nothing but the store's own files is kept. An event is paired
+    when the watermark (newest event time less ``delay``) has passed it; ``kind`` is ``pair``, or ``late`` for an event
+    that arrived behind the watermark and can't be placed any more (only start_date and source are set). A key's last
+    event is forgotten ``lifetime_seconds`` of event time after it. Rows with a null key or time are left out.
+    """
+    keys = list(keys)
+    d = stream.where(F.col(ts).isNotNull())
+    for k in keys:
+        d = d.where(F.col(k).isNotNull())
+    d = d.select(*keys, event_time(ts).alias("__et"), F.col(tiebreak).cast("long").alias("__tb"), F.col(value).cast("string").alias("__v"))
+    # the copy of the time carries no watermark: the store's operator must see late events, not drop them
+    d = d.withWatermark("__et", delay).select(*[F.col(k).cast("string").alias(k) for k in keys], F.unix_micros("__et").alias("__us"), "__tb", "__v")
+    names = [f"k{i}" for i in range(len(keys))]
+    schema = ", ".join(f"{n} string" for n in names) + ", us long, next_us long, v string, next_v string, kind string"
+    out = d.groupBy(*keys).transformWithStateInPandas(_Pairing(lifetime_seconds * 1000), schema, "Append", "EventTime")
+    source, sink = (F.coalesce(c, F.lit("nan")) for c in ("v", "next_v"))
+    pair = F.col("kind") == "pair"
+    return out.select(*[F.col(n).cast(stream.schema[k].dataType).alias(k) for n, k in zip(names, keys)],
+                      from_epoch_micros(F.col("us")).alias("start_date"), from_epoch_micros(F.col("next_us")).alias("end_date"),
+                      source.alias("source"), F.when(pair, sink).alias("sink"),
+                      F.when(pair, F.concat(source, F.lit(">"), sink)).alias("transition"),
+                      ((F.col("next_us") - F.col("us")) / 1e6).alias("dur"), "kind")
+
+
 # ---------------------------------------------------------------- T4 / T5
 
 
