@@ -6,7 +6,9 @@ sends each *bucket* (a range of key hashes) one row with its keys packed. A buck
 row, packed in the same order. So a key travels at most once per batch, however often it occurs there: a
 frequent key costs no more than a rare one, and no bucket grows hot. Batches have a bounded size in bytes (a
 longer single text is a batch of its own) and the number of buckets grows with the input, so both sides of
-the exchange fit a task at every size.
+the exchange fit a task at every size. A batch sends nothing to a bucket for which it has no key: there are never
+more rows than distinct keys per batch, so the exchange grows with the corpus also where buckets outnumber the
+keys of a batch.
 """
 
 from __future__ import annotations
@@ -86,10 +88,11 @@ def unpack(payload: bytes) -> pa.Table:
 class Tokens:
     """The words of a batch: ``ids`` number them within the batch, ``names`` are the words' 64-bit hashes.
 
-    ``ends`` adds an end token (number 0) to each document; number 1 is kept free for its start.
+    ``ends`` adds an end token (number 0) to each document; number 1 is kept free for its start. ``keep`` keeps the
+    words for ``second``, names by an independent hash.
     """
 
-    def __init__(self, raws: list[bytes | None], lower: bool, ends: bool):
+    def __init__(self, raws: list[bytes | None], lower: bool, ends: bool, keep: bool = False):
         number: dict[bytes, int] = {}
         flat = []
         for raw in raws:
@@ -104,14 +107,19 @@ class Tokens:
         self.doc = np.repeat(np.arange(len(flat)), self.lens)
         self.names = np.fromiter((xxhash.xxh64_intdigest(w) for w in number), np.uint64, len(number))
         self.names = np.concatenate([np.array([1, 2], np.uint64), self.names])
+        self.words = list(number) if keep else None
+
+    def second(self) -> np.ndarray:
+        names = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in self.words), np.uint64, len(self.words))
+        return np.concatenate([np.array([1, 2], np.uint64), names])
 
 
 def by_bucket(keys: np.ndarray, n_buckets: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
-    """Order that puts keys of a bucket together, and (bucket, low, high) of each bucket's part of it."""
+    """Stable order that puts keys of a bucket together, and (bucket, low, high) of each part of it that is not empty."""
     bucket = ((keys >> np.uint64(32)) * np.uint64(n_buckets)) >> np.uint64(32)
     order = np.argsort(bucket, kind="stable")
-    cuts = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
-    return order, [(b, int(cuts[b]), int(cuts[b + 1])) for b in range(n_buckets)]
+    found, low = np.unique(bucket[order], return_index=True)
+    return order, list(zip(found.tolist(), low.tolist(), [*low[1:].tolist(), len(order)]))
 
 
 def pack(x: np.ndarray) -> bytes:

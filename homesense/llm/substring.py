@@ -12,8 +12,8 @@ So each window chooses its *anchor* by its content alone: of the symbols it dete
 level, the smallest by hash of the words it depends on (single words are the lowest level, so there always
 is one). Neighbouring windows mostly choose the same symbol. Three rounds over the corpus follow, each a
 packed exchange (see ``batches``): anchors that occur in two or more documents reveal the places where long
-repeats can be; windows there are verified by a hash of all their words against the smallest document that
-holds them; and the words covered by windows of a smaller document are removed.
+repeats can be; windows there are verified by two independent hashes of all their words (128 bits together)
+against the smallest document that holds them; and the words covered by windows of a smaller document are removed.
 """
 
 from __future__ import annotations
@@ -35,16 +35,17 @@ ROUNDS = 2
 LAST = np.iinfo(np.int64).max        # stands for a null id: never smaller than any other
 FAR = 1 << 30                        # a dependency beyond the document
 _BASE = 0x9E3779B97F4A7C15           # odd, so it has an inverse modulo 2**64
+_SECOND = 0xD1342543DE82EF95         # base of the second hash
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 class Spans:
     """Hashes of arbitrary spans of words: a polynomial over mixed word names modulo 2**64, then mixed."""
 
-    def __init__(self, names: np.ndarray):
+    def __init__(self, names: np.ndarray, base: int = _BASE):
         n = len(names)
-        power = np.full(n + 1, _BASE, np.uint64)
-        inverse = np.full(n + 1, pow(_BASE, -1, 1 << 64), np.uint64)
+        power = np.full(n + 1, base, np.uint64)
+        inverse = np.full(n + 1, pow(base, -1, 1 << 64), np.uint64)
         power[0] = inverse[0] = 1
         power, self.inverse = np.cumprod(power, dtype=np.uint64), np.cumprod(inverse, dtype=np.uint64)
         self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(names) * power[:n], dtype=np.uint64)])
@@ -136,7 +137,7 @@ class _Batch:
 
     def __init__(self, payload: bytes, width: int):
         self.table, self.width = unpack(payload), width
-        self.tokens = t = Tokens(self.table.column("__raw").to_pylist(), lower=False, ends=False)
+        self.tokens = t = Tokens(self.table.column("__raw").to_pylist(), lower=False, ends=False, keep=True)
         ids = self.table.column("__id").to_pylist()
         self.id = np.array([LAST if x is None else x for x in ids], np.int64)
         if len(t.ids) >= FAR:
@@ -157,8 +158,8 @@ class _Batch:
         at = np.flatnonzero(self.starts)
         at = at[shared[np.searchsorted(self.anchor_keys, self.anchor[at])]] if len(self.anchor_keys) else at
         self.at = at
-        key = self.spans(at, at + self.width - 1)
-        self.keys, self.of = np.unique(key, return_inverse=True)
+        again = Spans(self.tokens.second()[self.tokens.ids], _SECOND)
+        self.keys, self.more, self.of = _distinct(self.spans(at, at + self.width - 1), again(at, at + self.width - 1))
         self.least = np.full(len(self.keys), LAST)
         np.minimum.at(self.least, self.of, self.id[self.tokens.doc[at]])
 
@@ -172,6 +173,17 @@ class _Batch:
         return np.cumsum(edge[:-1]) > 0
 
 
+def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct pairs, and the number of each row's pair."""
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    of = np.empty(len(a), np.int64)
+    of[order] = np.cumsum(new) - 1
+    return a[new], b[new], of
+
+
 def _by_key(key: np.ndarray, _id: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     distinct, of = np.unique(key, return_inverse=True)
     least, most = np.full(len(distinct), LAST), np.full(len(distinct), -1)
@@ -180,17 +192,19 @@ def _by_key(key: np.ndarray, _id: np.ndarray, doc: np.ndarray) -> tuple[np.ndarr
     return distinct, least, most
 
 
-def _rows(bid: int, keys: np.ndarray, values: np.ndarray, n_buckets: int) -> pa.RecordBatch:
+def _rows(bid: int, keys: np.ndarray, more: np.ndarray, values: np.ndarray, n_buckets: int) -> pa.RecordBatch:
+    """Rows of a batch; ``more`` (if not empty) holds the keys' second halves."""
     order, parts = by_bucket(keys, n_buckets)
     return pa.RecordBatch.from_arrays(
-        [pa.array(range(n_buckets), pa.int32()), pa.array([bid] * n_buckets, pa.int64()),
+        [pa.array([b for b, _, _ in parts], pa.int64()), pa.array([bid] * len(parts), pa.int64()),
          pa.array([keys[order[lo:hi]].astype("<u8").tobytes() for _, lo, hi in parts], pa.binary()),
+         pa.array([more[order[lo:hi]].astype("<u8").tobytes() if len(more) else b"" for _, lo, hi in parts], pa.binary()),
          pa.array([pack(values[order[lo:hi]]) for _, lo, hi in parts], pa.binary())],
-        names=["bucket", "bid", "keys", "vals"])
+        names=["bucket", "bid", "keys", "more", "vals"])
 
 
-_SENT = "bucket int, bid long, keys binary, vals binary"
-_ANSWER = "bid long, bucket int, bits binary"
+_SENT = "bucket long, bid long, keys binary, more binary, vals binary"
+_ANSWER = "bid long, bucket long, bits binary"
 
 
 def _answers(group: pa.Table, bits: list[np.ndarray]) -> pa.Table:
@@ -207,16 +221,17 @@ def _answered(keys: np.ndarray, answers: pa.Table, n_buckets: int) -> np.ndarray
     return out
 
 
-def _in_bucket(group: pa.Table, dtype: str) -> tuple[np.ndarray, np.ndarray, list[slice]]:
+def _in_bucket(group: pa.Table, dtype: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[slice]]:
     keys = [np.frombuffer(x, "<u8") for x in group.column("keys").to_pylist()]
     vals = [unpacked(x, len(k), dtype) for x, k in zip(group.column("vals").to_pylist(), keys)]
     ends = np.cumsum([len(k) for k in keys]).tolist()
-    return np.concatenate(keys), np.concatenate(vals), [slice(e - len(k), e) for e, k in zip(ends, keys)]
+    more = np.concatenate([np.frombuffer(x, "<u8") for x in group.column("more").to_pylist()])
+    return np.concatenate(keys), more, np.concatenate(vals), [slice(e - len(k), e) for e, k in zip(ends, keys)]
 
 
 def _shared(group: pa.Table) -> pa.Table:
     """Which anchors occur in two or more documents."""
-    keys, many, parts = _in_bucket(group, "|u1")
+    keys, _, many, parts = _in_bucket(group, "|u1")
     distinct, of, n = np.unique(keys, return_inverse=True, return_counts=True)
     yes = (n > 1) | (np.bincount(of, weights=many, minlength=len(distinct)) > 0)
     return _answers(group, [yes[of[p]] for p in parts])
@@ -224,8 +239,8 @@ def _shared(group: pa.Table) -> pa.Table:
 
 def _smaller(group: pa.Table) -> pa.Table:
     """Which windows another batch holds in a smaller document."""
-    keys, least, parts = _in_bucket(group, "<i8")
-    distinct, of = np.unique(keys, return_inverse=True)
+    keys, more, least, parts = _in_bucket(group, "<i8")
+    distinct, _, of = _distinct(keys, more)
     low = np.full(len(distinct), LAST)
     np.minimum.at(low, of, least)
     return _answers(group, [low[of[p]] < least[p] for p in parts])
@@ -236,7 +251,7 @@ def _send_anchors(n_buckets: int, width: int):
         for b in batches:
             for bid, payload in zip(b.column("bid").to_pylist(), b.column("payload")):
                 x = _Batch(payload.as_py(), width)
-                yield _rows(bid, x.anchor_keys, x.anchor_many.astype("|u1"), n_buckets)
+                yield _rows(bid, x.anchor_keys, x.anchor_keys[:0], x.anchor_many.astype("|u1"), n_buckets)
     return run
 
 
@@ -246,7 +261,7 @@ def _send_windows(n_buckets: int, width: int):
         for bid, payload in zip(left.column("bid").to_pylist(), left.column("payload").to_pylist()):
             x = _Batch(payload, width)
             x.windows(_answered(x.anchor_keys, right, n_buckets))
-            out.append(_rows(bid, x.keys, x.least.astype("<i8"), n_buckets))
+            out.append(_rows(bid, x.keys, x.more, x.least.astype("<i8"), n_buckets))
         return pa.Table.from_batches(out)
     return run
 
@@ -283,7 +298,8 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     judged on the input. Repeats within one document, or between rows of equal doc_id, remove nothing; a null
     doc_id is larger than any other and never causes a removal in another null row. A null or empty text has no
     words. A text of fewer than ``window`` words keeps all of them. All columns of ``docs`` are carried along,
-    whatever their names. An empty table gives an empty result. Word and window names are 64-bit hashes.
+    whatever their names. An empty table gives an empty result. Windows are equal if two
+    64-bit hashes of their words, over two independent hashes of each word, agree.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     fields = [T.StructField(f.name, f.dataType, True) for f in docs.schema.fields]

@@ -108,6 +108,83 @@ def test_lm_against_brute_force(spark):
     assert lm_scores(empty(spark), F.lit(True), F.lit(False)).count() == 0
 
 
+def brute_mixture(rows, train, fold, order):
+    """Scores of all rows by dictionaries: counts, cells of the fold's distinct texts without their copies, mixture."""
+    def tokens(t):
+        return [w.encode() for w in split("".join(c.lower() if c.isascii() else c for c in t or ""))] + ["end"]
+
+    def grams(t):
+        w = ["start"] * (order - 1) + tokens(t)
+        at = range(order - 1, len(w))
+        return [[tuple(w[i - k:i + 1]) for k in range(order)] for i in at], [[tuple(w[i - k:i]) for k in range(order)] for i in at]
+    counts, contexts = Counter(), Counter()
+    for (i, t), yes in zip(rows, train):
+        if yes:
+            g, h = grams(t)
+            counts.update(x for xs in g for x in xs)
+            contexts.update(x for xs in h for x in xs[1:])
+    v = sum(len(k) == 1 and c > 0 for k, c in counts.items())
+    n = sum(c for k, c in counts.items() if len(k) == 1)
+    levels = max(1, 8 // order)
+
+    def estimates(g, h, own, own_h, copies, n):
+        ps, bucket = [(counts[g[0]] - copies * own[g[0]]) / max(n, 1)], 0
+        for k in range(1, order):
+            c = contexts[h[k]] - copies * own_h[h[k]]
+            ps.append(min(counts[g[k]] - copies * own[g[k]], c) / c if c > 0 else 0.0)
+            bucket = (k - 1) * 48 + min(47, 1 + int(math.log2(c))) if c > 0 else bucket
+        return ps, bucket
+    cells, done = Counter(), set()
+    for (i, t), yes in zip(rows, fold):
+        if not yes or (t or "") in done:
+            continue
+        done.add(t or "")
+        copies = sum(y and (u or "") == (t or "") for (_, u), y in zip(rows, train))
+        g, h = grams(t)
+        own, own_h = Counter(x for xs in g for x in xs), Counter(x for xs in h for x in xs[1:])
+        for x, y in zip(g, h):
+            ps, b = estimates(x, y, own, own_h, copies, n - copies * len(g))
+            cells[(b, *[1 + round(-levels * math.log2(p)) if p > 0 else 0 for p in reversed(ps)])] += 1
+    lam = mixture(np.array([(*k, c) for k, c in sorted(cells.items())], np.int64).reshape(-1, order + 2), 1 / (v + 1), levels)
+    out = []
+    for i, t in rows:
+        total, none = 0.0, Counter()
+        for x, y in zip(*grams(t)):
+            ps, b = estimates(x, y, none, none, 0, n)
+            total += math.log10(sum(a * p for a, p in zip(lam[b], reversed(ps))) + lam[b][-1] / (v + 1))
+        out.append((-1 if i is None else i, round(total, 6)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("order, batch", [(1, 5_000_000), (2, 300), (2, 5_000_000), (3, 2_000)])
+def test_lm_scores_against_dictionaries(spark, monkeypatch, order, batch):
+    monkeypatch.setattr(batches.batched, "__defaults__", (batch,))
+    monkeypatch.setattr(batches.bucket_count, "__defaults__", (batch,))
+    rows = texts() + [(100 + k, "copies of one text in all folds") for k in range(9)]
+    ids = [1 if i is None else i for i, _ in rows]
+    doc = F.coalesce(F.col("doc_id"), F.lit(1))
+    got = lm_scores(frame(spark, rows), doc % 4 != 2, doc % 4 == 3, order=order).collect()
+    want = brute_mixture(rows, [i % 4 != 2 for i in ids], [i % 4 == 3 for i in ids], order)
+    have = sorted((-1 if r.doc_id is None else r.doc_id, round(r.score, 6)) for r in got)
+    assert [x[0] for x in have] == [x[0] for x in want]
+    assert np.allclose([x[1] for x in have], [x[1] for x in want], atol=1e-5)
+
+
+def test_exchange_rows_follow_the_keys():
+    """Buckets beyond the number of keys add no rows."""
+    keys = batches.mix(np.arange(100, dtype=np.uint64))
+    for n in (1, 7, 1000, 10 ** 8):
+        order, parts = batches.by_bucket(keys, n)
+        assert len(parts) <= min(n, 100) and all(lo < hi for _, lo, hi in parts)
+        assert sorted(order.tolist()) == list(range(100)) and parts[0][1] == 0 and parts[-1][2] == 100
+    assert batches.by_bucket(keys[:0], 5)[1] == []
+
+
+def test_windows_with_one_equal_hash_stay_apart():
+    a, b, of = substring._distinct(np.array([7, 7, 7, 3], np.uint64), np.array([1, 2, 1, 1], np.uint64))
+    assert a.tolist() == [3, 7, 7] and b.tolist() == [1, 1, 2] and of.tolist() == [1, 2, 1, 0]
+
+
 def test_lm_without_training_rows(spark):
     got = lm_scores(frame(spark), F.lit(False), F.lit(False)).collect()
     assert len(got) == len(texts()) and all(r.base_score == 0 and r.train_tokens == 0 for r in got)
