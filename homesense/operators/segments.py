@@ -9,13 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from homesense.functions.scalars import np_round
 from homesense.functions.time import (bin_start, c, day_start, duration_hours, micros_of_day,
                                       noon_day_bin, parse_time_of_day, time_angle)
-from homesense.operators.ordered import AUTO, require_keys, with_running_sum, with_shifts
+from homesense.operators.ordered import AUTO, chunk_of, require_keys, resolve_chunk, with_running_sum, with_shifts
 from homesense.operators.sequences import _no_null_keys
 
 # Edge labels and sleep states as written by the reference recipes.
@@ -191,6 +191,83 @@ def sleep_periods(marked: DataFrame, habits: DataFrame | None, keys: Sequence[st
     return j.na.drop(subset=["time_in_bed", "DEEP", "hr_max"])
 
 
+def minute_periods(sleep: DataFrame, keys: Sequence[str], ts: str = "start_date", gap_seconds: float = 3600,
+                   digits: int = 2, chunk_seconds: int | None | str = AUTO,
+                   states: Sequence[str] = SLEEP_STATES) -> DataFrame:
+    """Sleep periods straight from a minute table with at most one row per key and minute: the rows that
+    ``presence_edges``, ``mine_transition``, ``gap_sessions``, ``bed_habits``, ``mark_periods`` and ``sleep_periods`` give
+    one after the other, by two exchanges.
+
+    A stay is a run of consecutive minutes, a period a run of stays with gaps of at most ``gap_seconds``. Minutes are
+    ordered inside a time chunk only and each chunk's part of a period (a piece) is aggregated there. Pieces of a key meet
+    in one task: their number is bounded by the time span over chunk and gap, not by the rows. The key's last stay has
+    no Bed_out, so it neither opens a period nor completes one: the period that its minutes fall to is dropped. Rows
+    with a null key or time belong to no period.
+    """
+    keys = require_keys(keys)
+    if gap_seconds < 0:
+        raise ValueError("gap_seconds must not be negative")
+    size = resolve_chunk(sleep, chunk_seconds)
+    micros = F.lit(int(gap_seconds * 1e6))
+
+    def far(prev: str, here: str) -> Column:
+        return F.timestamp_diff("MICROSECOND", F.col(prev) + _minute(), F.col(here)) > micros
+
+    d = _no_null_keys(sleep, keys).where(F.col(ts).isNotNull()).select(
+        *keys, F.col(ts).alias("__t"), F.col("snoring").cast("long").alias("__snore"), "heart_rate", "respiratory_rate",
+        "state").withColumn("__chunk", F.lit(0).cast("long") if size is None else chunk_of("__t", size))
+    wc = Window.partitionBy(*keys, "__chunk").orderBy("__t")
+    d = d.withColumn("__p", F.lag("__t").over(wc))
+    d = d.withColumn("__in", F.col("__p").isNull() | (F.col("__p") + _minute() != F.col("__t")))
+    d = d.withColumn("__part", F.sum(F.when(far("__p", "__t"), 1).otherwise(0)).over(
+        wc.rowsBetween(Window.unboundedPreceding, 0)))
+    # a sum of pieces must round as one sum does: whole 65,536ths are added exactly, only the small rests as doubles
+    def whole(x: str) -> Column:
+        return F.when(F.abs(F.col(x)) < 2.0 ** 20, F.floor(F.col(x) * 65536.0)).otherwise(F.lit(0).cast("long"))
+
+    def rest(x: str) -> Column:
+        return F.col(x) - whole(x) / F.lit(65536.0)
+
+    hours = [F.count(F.when(F.col("state") == s, 1)).alias(f"__n_{s}") for s in states]
+    pieces = d.groupBy(*keys, "__chunk", "__part").agg(
+        F.min("__t").alias("__a"), F.max("__t").alias("__b"), F.count(F.lit(1)).alias("__n"),
+        F.count(F.when(F.col("__in"), 1)).alias("__stays"), F.max(F.when(F.col("__in"), F.col("__t"))).alias("__last"),
+        F.sum("__snore").alias("__snore"), *hours,
+        *[f.alias(f"__{n}_{x}") for x in NIGHT_MEANS
+          for n, f in (("whole", F.sum(whole(x))), ("rest", F.sum(rest(x))), ("obs", F.count(x)), ("min", F.min(x)), ("max", F.max(x)))])
+
+    wk = Window.partitionBy(*keys).orderBy("__a")
+    every = wk.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    q = pieces.withColumn("__p", F.lag("__b").over(wk))
+    joined = F.coalesce(F.col("__p") + _minute() == F.col("__a"), F.lit(False))   # a stay cut by the chunk's border
+    q = q.withColumn("__stays", F.col("__stays") - F.when(joined, 1).otherwise(0))
+    q = q.withColumn("__last", F.max(F.when(~(joined & (F.col("__last") == F.col("__a"))), F.col("__last"))).over(every))
+    opens = (F.col("__p").isNull() | far("__p", "__a")) & (F.col("__a") != F.col("__last"))
+    q = q.withColumn("__seg", F.sum(F.when(opens, 1).otherwise(0)).over(wk.rowsBetween(Window.unboundedPreceding, 0)))
+
+    def mean(x: str) -> Column:
+        n = F.sum(f"__obs_{x}")
+        return F.when(n > 0, (F.sum(f"__whole_{x}") / F.lit(65536.0) + F.sum(f"__rest_{x}")) / n)
+
+    g = q.groupBy(*keys, "__seg").agg(
+        F.min("__a").alias("start_date"), F.max("__b").alias("end_date"), F.max("__last").alias("__last"),
+        F.sum("__snore").alias("minutes_snoring"), mean("heart_rate").alias("heart_rate"),
+        F.min("__min_heart_rate").alias("hr_min"), F.max("__max_heart_rate").alias("hr_max"),
+        mean("respiratory_rate").alias("respiratory_rate"), F.min("__min_respiratory_rate").alias("rr_min"),
+        F.max("__max_respiratory_rate").alias("rr_max"), F.sum("__obs_respiratory_rate").alias("period_obs"),
+        *[(F.sum(f"__n_{s}") / 60.0).alias(s) for s in states],
+        (F.sum("__stays") - 1).alias("awake_events"), (F.sum("__n") * 60 / 3600.0).alias("time_in_bed"))
+    g = g.where(F.col("end_date") < F.col("__last"))
+    for s in states:
+        g = g.where(F.col(s) > 0)
+    g = (g.withColumn("__out", F.col("end_date") + _minute())
+         .withColumn("bed_time_period", duration_hours("start_date", "__out"))
+         .withColumn("time_out_of_bed", F.col("bed_time_period") - F.col("time_in_bed"))
+         .withColumn("period_type", period_type("start_date", "__out"))).drop("__seg", "__last", "__out").na.drop()
+    dbl = [f.name for f in g.schema.fields if f.dataType.typeName() == "double" and f.name not in keys]
+    return g.select(*[np_round(F.col(x), digits).alias(x) if x in dbl else F.col(x) for x in g.columns])
+
+
 def nightly_metrics(periods: DataFrame, keys: Sequence[str], kind: str = NOCTURNAL) -> DataFrame:
     """Per key and noon-day (of the period start): sums, means, mins and maxs of the periods of one type,
     awakenings = max(0, periods + awake events - 1), period length and time out of bed (AG10)."""
@@ -207,22 +284,26 @@ def nightly_metrics(periods: DataFrame, keys: Sequence[str], kind: str = NOCTURN
             .withColumn("time_out_of_bed", F.col("bed_time_period") - F.col("time_in_bed")))
 
 
-def sleep_dailies(sleep: DataFrame, edges: DataFrame, keys: Sequence[str], gap_seconds: float = 3600,
+def sleep_dailies(sleep: DataFrame, edges: DataFrame | None, keys: Sequence[str], gap_seconds: float = 3600,
                   nap_window: tuple[str, str] = ("08:00", "20:00"), chunk_seconds: int | None | str = AUTO) -> DataFrame:
-    """Nightly sleep features from minute rows and bed edges (``process_sleep_dailies``, D12)."""
+    """Nightly sleep features from minute rows and bed edges (``process_sleep_dailies``, D12). ``edges=None`` means
+    the edges of the minute rows themselves, at most one per key and minute (:func:`minute_periods`)."""
     from homesense.operators.resample import daily_counts_between
     from homesense.operators.sequences import mine_transition
 
     keys = require_keys(keys)
-    # presence edges hold at most one row per key and minute, so the distinct step is skipped
-    tr = mine_transition(edges.select(*keys, "start_date", "location_name"), keys, "location_name",
-                         "start_date", 1, None, chunk_seconds, dedupe=False)
-    bed_in = tr.where(F.col("transition") == f"{BED_IN}>{BED_OUT}")
-    bed_in = gap_sessions(bed_in, keys, "start_date", "end_date", gap_seconds, chunk_seconds=chunk_seconds)
-    habits = bed_habits(bed_in, keys)
-    # habit attributes ride on each period's opening row: habits are consumed once
-    marked = mark_periods(sleep, habits, keys, "start_date", chunk_seconds=chunk_seconds, carry=HABIT_COLS)
-    periods = sleep_periods(marked, None, keys)
+    if edges is None:
+        periods = minute_periods(sleep, keys, "start_date", gap_seconds, chunk_seconds=chunk_seconds)
+    else:
+        # presence edges hold at most one row per key and minute, so the distinct step is skipped
+        tr = mine_transition(edges.select(*keys, "start_date", "location_name"), keys, "location_name",
+                             "start_date", 1, None, chunk_seconds, dedupe=False)
+        bed_in = tr.where(F.col("transition") == f"{BED_IN}>{BED_OUT}")
+        bed_in = gap_sessions(bed_in, keys, "start_date", "end_date", gap_seconds, chunk_seconds=chunk_seconds)
+        habits = bed_habits(bed_in, keys)
+        # habit attributes ride on each period's opening row: habits are consumed once
+        marked = mark_periods(sleep, habits, keys, "start_date", chunk_seconds=chunk_seconds, carry=HABIT_COLS)
+        periods = sleep_periods(marked, None, keys)
     night = nightly_metrics(periods, keys)
     naps = daily_counts_between(sleep, keys, "start_date", *nap_window).select(*keys, "date", "nap_ibp")
     night = (night.withColumn("date", day_start("start_date"))

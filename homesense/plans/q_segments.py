@@ -242,13 +242,12 @@ WITH {SLEEP_CHAIN_SQL}
 {_round_sql(_NIGHT_DBL, _NIGHT_OTHER, "night")}
 """, "AG10")
 def q_nightly(spark, sf):
-    return round_doubles(sg.nightly_metrics(periods(spark, sf), K))
+    p = sg.minute_periods(base_sleep(spark, sf), K, gap_seconds=GAP_HOURS * 3600)
+    return round_doubles(sg.nightly_metrics(p, K))
 
 
 def sleep_dailies(spark, sf):
-    sleep = base_sleep(spark, sf)
-    edges = process_bed_occupancy(sleep, K, one_row_per_minute=True)
-    return sg.sleep_dailies(sleep, edges, K, GAP_HOURS * 3600)
+    return sg.sleep_dailies(base_sleep(spark, sf), None, K, GAP_HOURS * 3600)
 
 
 @register("sleep_dailies", f"""

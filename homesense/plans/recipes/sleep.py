@@ -51,7 +51,8 @@ def process_bed_occupancy(sleep: DataFrame, keys: Sequence[str] = ("patient_id",
     return presence_edges(sleep, list(keys), "start_date", chunk_seconds, one_row_per_minute=one_row_per_minute)
 
 
-def process_sleep_dailies(sleep: DataFrame, bed_occupancy: DataFrame, keys: Sequence[str] = ("patient_id",),
+def process_sleep_dailies(sleep: DataFrame, bed_occupancy: DataFrame | None, keys: Sequence[str] = ("patient_id",),
                           gap_hours: float = 1.0, chunk_seconds: int | None | str = AUTO) -> DataFrame:
-    """Nightly sleep profile."""
+    """Nightly sleep profile (D12). ``bed_occupancy=None`` takes the edges of the minute table itself, which must then
+    hold at most one row per key and minute (a localised one holds more in the hour that autumn repeats)."""
     return sleep_dailies(sleep, bed_occupancy, list(keys), gap_hours * 3600, chunk_seconds=chunk_seconds)

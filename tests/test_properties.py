@@ -123,3 +123,46 @@ def test_presence_edges_one_row_per_minute_flag(spark):
     a = sg.presence_edges(sleep, ["patient_id"], "start_date")
     b = sg.presence_edges(sleep, ["patient_id"], "start_date", one_row_per_minute=True)
     assert _rows(a) == _rows(b)
+
+
+def _minute_rows(spark, seed, keys=4, nights=6):
+    """Stays of random length with random gaps, some across midnight; states, nulls and a hot key; a key with one stay."""
+    rnd = random.Random(seed)
+    rows = []
+    for k in range(keys):
+        t = dt.datetime(2024, 1, 1, 20)
+        for _ in range(nights * (10 if k == 0 else 4)):
+            for _ in range(rnd.randint(1, 90)):
+                rows.append((k, t, rnd.choice(["AWAKE", "DEEP", "REM", "LIGHT", None]), rnd.choice([55.0, 61.5, None]),
+                             rnd.choice([12.0, 15.25]), rnd.random() < 0.2))
+                t += dt.timedelta(minutes=1)
+            t += dt.timedelta(minutes=rnd.choice([1, 2, 30, 59, 60, 61, 200, 700]))
+    rows += [(90, dt.datetime(2024, 1, 1, 23, 50) + dt.timedelta(minutes=i), "DEEP", 60.0, 14.0, False) for i in range(30)]
+    rows += [(None, dt.datetime(2024, 1, 1), "DEEP", 60.0, 14.0, False), (1, None, "DEEP", 60.0, 14.0, False)]
+    rnd.shuffle(rows)
+    return spark.createDataFrame(rows, "p long, start_date timestamp_ntz, state string, heart_rate double, "
+                                       "respiratory_rate double, snoring boolean")
+
+
+def test_minute_periods_equal_the_operators_one_by_one(spark):
+    for seed, gap in ((1, 3600), (2, 0)):
+        sleep = _minute_rows(spark, seed)
+        edges = sg.presence_edges(sleep, ["p"], "start_date", one_row_per_minute=True)
+        tr = seq.mine_transition(edges.select("p", "start_date", "location_name"), ["p"], "location_name", "start_date", 1)
+        bed_in = sg.gap_sessions(tr.where(F.col("transition") == "Bed_in>Bed_out"), ["p"], gap_seconds=gap)
+        marked = sg.mark_periods(sleep, sg.bed_habits(bed_in, ["p"]), ["p"], carry=sg.HABIT_COLS)
+        periods = sg.sleep_periods(marked, None, ["p"])
+        want = _rows(periods)
+        assert len(want) > 5 and want[0]
+        for chunk in (None, 3600):
+            got = sg.minute_periods(sleep, ["p"], gap_seconds=gap, chunk_seconds=chunk)
+            assert got.columns == periods.columns and _rows(got) == want
+    plain, fused = (sg.sleep_dailies(sleep, e, ["p"], gap) for e in (edges, None))
+    assert plain.columns == fused.columns and _rows(plain) == _rows(fused)
+    assert sg.minute_periods(sleep.limit(0), ["p"]).count() == 0
+
+
+def test_sleep_dailies_plan_is_short(spark):
+    from homesense.plans import q_segments
+    plan = q_segments.sleep_dailies(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert sum("Exchange" in line for line in plan.splitlines()) <= 6
