@@ -4,6 +4,8 @@ import datetime as dt
 import os
 import zipfile
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from homesense.plans.recipes import base, bed_habits, legacy, profile
@@ -192,3 +194,45 @@ def test_base_and_profile_domains_load(spark, scratch):
     for name in ("activity_weeklies", "physiology_dailies", "light"):
         assert c.load(name, "profile").count() > 0
     assert {r.dataset for r in c.manifest().collect()} >= {"sleep_mat", "sleep", "bed_occupancy", "sleep_dailies", "motion"}
+
+
+def test_bed_habits_and_legacy_domains_load(spark, scratch):
+    from homesense.plans.recipes.domains import register_base, register_bed_habits, register_legacy
+    from homesense.sources.catalog import Catalog
+    obs = ("subject,location,datetimeObserved,type,valueState,valueQuantity,valueUnit\n"
+           "s1,Hall,2016-01-01 10:00:00,272149007-2,,,\n"
+           "s1,Main Door,2016-01-01 10:01:00,224751004,Open,,\n"
+           "s1,Main Door,2016-01-01 10:02:00,224751004,Close,,\n"
+           "s1,Lounge,2016-01-01 10:03:00,60832-3,,21.5,C\n"
+           "s1,Lounge,2016-01-01 10:03:00,56242006,,7,lx\n"
+           "s1,,2016-01-01 10:04:00,8867-4,,72,bpm\n")
+    head = "questionnaire,datetimeReceived,subject,datetimeAnswered,question,answer\n"
+    paths = {p: os.path.join(scratch, f"legacy-{p}.zip") for p in ("one", "two")}
+    _zip(paths["one"], {"Observations.csv": obs, "Observation-type.csv": "code,display\n29463-7,Body weight\n",
+                        "Flags.csv": "flagId,category,type\n1,1,8\n2,3,5\n", "Flag-type.csv": "code,display\n5,Fall\n8,Oxygen\n",
+                        "FlagValidations.csv": "flag,valid,category\n1,yes,9\n",
+                        "QuestionnaireResponses.csv": head + "x,2020-01-01,s1,2020-01-01 10:00:00,mood,3\n"})
+    _zip(paths["two"], {"Observations.csv": obs.splitlines()[0] + "\ns2,Hall,2017-01-01 10:00:00,272149007-2,,,\n",
+                        "QuestionnaireResponses.csv": head + "x,2020-01-02,s2,2020-01-02 10:00:00,sleep,2\n"})
+    c = Catalog(spark, os.path.join(scratch, "legacy-catalogue"))
+    register_legacy(c, paths, flags_of=["one"])
+    c.source("raw", "sleep_mat")(lambda s: _sleep_mat(s))
+    register_base(c)
+    register_bed_habits(c)
+
+    assert sorted(r.patient_id for r in c.load("motion", "legacy").collect()) == ["s1", "s2"]
+    assert [r.transition for r in c.load("doors", "legacy").collect()] == ["opened>closed"]
+    assert [r.location_name for r in c.load("entryway", "legacy").collect()] == ["front door"]
+    assert [r.value for r in c.load("temperature", "legacy").collect()] == [21.5]
+    assert [r.source for r in c.load("light", "legacy").collect()] == ["raw_light"]
+    assert [r.source for r in c.load("physiology", "legacy").collect()] == ["raw_heart_rate"]
+    assert {(r.flagId, r.type, r.categorydf) for r in c.load("flags", "legacy").collect()} == {
+        ("1", "Blood Oxygen Saturation", "Clinical"), ("2", "Fall", "Technical")}
+    assert sorted((r.project, r.subject, r.mood, r.sleep) for r in c.load("wellbeing", "legacy").collect()) == [
+        ("one", "s1", "3", None), ("two", "s2", None, "2")]
+    nights = c.load("bed_occupancy", "bed_habits").collect()
+    assert len(nights) == 3 and {r.unit for r in nights} == {"hour"}
+    with pytest.raises(ValueError):
+        register_legacy(c, paths, types_of="three")
+    with pytest.raises(ValueError):
+        register_legacy(c, {})
