@@ -11,6 +11,7 @@ joined with its place.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +25,8 @@ from homesense.llm.common import row_key, stage, text_bytes
 LENGTH = 1024
 GROUP_DOCS = 4_000
 END_ID = 0
-CACHE = 50_000
+TEXT_CHARS = 1_000_000
+GAP = re.compile(r"(?<=\S) (?=\S)")
 BATCH_IDS = 4_000_000     # bytes of ids in a batch
 FULL = 1 << 61            # numbers of full sequences begin here
 
@@ -32,9 +34,9 @@ FULL = 1 << 61            # numbers of full sequences begin here
 class Encoder:
     """Token ids of a text, equal to ``tokenizers`` with ``add_special_tokens=False``.
 
-    The vocabulary's pre-tokenisation never joins characters across a single space that is followed by a
-    non-space, so a text is cut there and each chunk's ids are remembered. Texts with other runs of spaces
-    are encoded whole, and texts that hold a special token's string go to ``tokenizers`` itself.
+    A text is encoded in one call. The vocabulary's pre-tokenisation never joins characters across a single space
+    between two non-spaces, so texts longer than ``TEXT_CHARS`` are cut at such spaces to bound memory. Texts that
+    hold a special token's string go to ``tokenizers`` itself.
     """
 
     def __init__(self, json_path: str, ranks_path: str, pattern: str):
@@ -43,33 +45,24 @@ class Encoder:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.fast = tiktoken.Encoding("public", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.json_path, self.full, self.specials = json_path, None, _specials(json_path)
-        self.cache: dict[str, bytes] = {}
 
-    def _whole(self, text: str) -> bytes:
+    def __call__(self, text: str) -> bytes:
+        """The ids as little-endian unsigned 32-bit integers."""
         if any(s in text for s in self.specials):
             if self.full is None:
                 from tokenizers import Tokenizer
                 self.full = Tokenizer.from_file(self.json_path)
-            ids = self.full.encode(text, add_special_tokens=False).ids
-        else:
-            ids = self.fast.encode_ordinary(text)
-        return np.asarray(ids, dtype="<u4").tobytes()
+            return np.asarray(self.full.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return b"".join(np.asarray(self.fast.encode_ordinary(x), dtype="<u4").tobytes() for x in _cut(text))
 
-    def __call__(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit integers."""
-        first, *rest = text.split(" ")
-        if any(s in text for s in self.specials) or not all(rest) or any(x[0].isspace() for x in rest):
-            return self._whole(text)
-        cache = self.cache
-        if len(cache) > CACHE:
-            cache.clear()
-        out = [self._whole(first)] if first else []
-        for chunk in rest:
-            ids = cache.get(chunk)
-            if ids is None:
-                ids = cache[chunk] = np.asarray(self.fast.encode_ordinary(" " + chunk), dtype="<u4").tobytes()
-            out.append(ids)
-        return b"".join(out)
+
+def _cut(text: str) -> Iterator[str]:
+    """``text`` in parts of about ``TEXT_CHARS`` characters, each but the first beginning with a single space."""
+    at = 0
+    while len(text) - at > TEXT_CHARS and (gap := GAP.search(text, at + TEXT_CHARS)):
+        yield text[at:gap.start()]
+        at = gap.start()
+    yield text[at:] if at else text
 
 
 def _specials(json_path: str) -> list[str]:
@@ -110,7 +103,6 @@ def _tokenised(paths: tuple[str, str, str] | None, length: int):
                         held, size = [], 0
             if held:
                 yield _pieces(b, kept, held)
-        encode.cache.clear()
     return run
 
 

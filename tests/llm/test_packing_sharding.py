@@ -81,6 +81,28 @@ def test_encoder_with_special_token_text():
     assert Encoder(*paths)(text) == np.array(tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
+def test_encoder_takes_a_text_in_one_call(monkeypatch):
+    encode, calls = Encoder(*default_tokenizer()), []
+    plain = encode.fast.encode_ordinary
+    monkeypatch.setattr(encode.fast, "encode_ordinary", lambda x: calls.append(x) or plain(x))
+    text = " ".join(f"word{k}" for k in range(3000))
+    assert np.frombuffer(encode(text), "<u4").tolist() == plain(text) and calls == [text]
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.text(alphabet="aé 1.\n\t'sß好  \x1c\x85\u2028", max_size=200))
+def test_long_texts_are_cut_without_changing_ids(text):
+    from homesense.llm import packing
+    paths, before = default_tokenizer(), packing.TEXT_CHARS
+    try:
+        packing.TEXT_CHARS = 5
+        parts, got = list(packing._cut(text)), Encoder(*paths)(text)
+    finally:
+        packing.TEXT_CHARS = before
+    assert "".join(parts) == text and all(x[0] == " " and len(x) > 5 for x in parts[1:-1])
+    assert got == np.array(Tokenizer.from_file(paths[0]).encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
 def test_shards(spark):
     docs = frame(spark)
     rows = shard_documents(docs, n_shards=4, fine=64).collect()
