@@ -18,15 +18,16 @@ against the smallest document that holds them; and the words covered by windows
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from homesense.llm.batches import Tokens, batched, bucket_count, by_bucket, mix, mix2, pack, unpack, unpacked
+from homesense.llm.batches import batched, bucket_count, by_bucket, mix, mix2, pack, unpack, unpacked
 from homesense.llm.common import stage, text_bytes
 
 WINDOW = 13
@@ -37,6 +38,61 @@ FAR = 1 << 30                        # a dependency beyond the document
 _BASE = 0x9E3779B97F4A7C15           # odd, so it has an inverse modulo 2**64
 _SECOND = 0xD1342543DE82EF95         # base of the second hash
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
+LONG_WORD = 64                       # bytes; longer words are hashed one by one, there are few of them
+_SPACE = np.isin(np.arange(256), [0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D])
+_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)     # masks of the first k bytes
+
+
+class Words:
+    """The words of a batch: ``lens`` and ``starts`` by document, ``doc`` of each word, names by hash.
+
+    Nothing is done word by word: the texts stand in one buffer, each followed by a space, and a word is the
+    stretch from ``first`` to the white space at ``end``.
+    """
+
+    def __init__(self, raws: list[bytes | None]):
+        self.buffer = b" ".join([*(x or b"" for x in raws), bytes(8)])     # eight bytes may be read at every word
+        self.bytes = np.frombuffer(self.buffer, np.uint8)[:-8]
+        gap = np.concatenate([[True], _SPACE[self.bytes]])
+        edges = np.flatnonzero(gap[1:] != gap[:-1])
+        self.first, self.end = edges[::2], edges[1::2]
+        sizes = np.fromiter((len(x) + 1 if x else 1 for x in raws), np.int64, len(raws))
+        self.starts = np.searchsorted(self.first, np.cumsum(sizes) - sizes)
+        self.lens = np.diff(np.append(self.starts, len(self.first)))
+        self.doc = np.repeat(np.arange(len(raws)), self.lens)
+
+    def names(self, odd: int, long_word: Callable[[bytes], int]) -> np.ndarray:
+        """64-bit names: a mixed hash of eight bytes at a time (``odd`` selects it), ``long_word`` for long ones."""
+        size, odd = self.end - self.first, np.uint64(odd)
+        at = np.ndarray(max(0, len(self.buffer) - 7), "<u8", self.buffer, strides=(1,))
+        out = mix(size.astype(np.uint64) * odd)
+        todo = np.flatnonzero(size <= LONG_WORD)
+        for k in range(0, LONG_WORD, 8):
+            todo = todo[size[todo] > k]
+            if not len(todo):
+                break
+            piece = at[self.first[todo] + k] & _BYTES[np.minimum(size[todo] - k, 8)]
+            out[todo] = mix(out[todo] ^ (piece * odd))
+        for i in np.flatnonzero(size > LONG_WORD).tolist():
+            out[i] = long_word(self.buffer[self.first[i]:self.end[i]])
+        return out
+
+    def joined(self, left: np.ndarray) -> pa.Array:
+        """The texts of the words chosen by ``left``, joined by one space."""
+        left = np.flatnonzero(left)
+        first, end, doc = self.first[left], self.end[left], self.doc[left]
+        inner = np.zeros(len(left), bool)          # another word of the document follows
+        inner[:-1] = doc[1:] == doc[:-1]
+        edge = np.zeros(len(self.bytes) + 1, np.int8)
+        edge[first] += 1
+        edge[end + inner] -= 1
+        out = self.bytes.copy()
+        out[end] = 0x20
+        out = out[np.cumsum(edge[:-1], dtype=np.int8).astype(bool)]
+        upto = np.concatenate([[0], np.cumsum(end - first + inner)])
+        ends = upto[np.cumsum(np.bincount(doc, minlength=len(self.lens)))]
+        return pa.Array.from_buffers(pa.large_string(), len(self.lens), [
+            None, pa.py_buffer(np.concatenate([[0], ends]).astype(np.int64)), pa.py_buffer(out)])
 
 
 class Spans:
@@ -137,12 +193,12 @@ class _Batch:
 
     def __init__(self, payload: bytes, width: int):
         self.table, self.width = unpack(payload), width
-        self.tokens = t = Tokens(self.table.column("__raw").to_pylist(), lower=False, ends=False, keep=True)
+        self.words = t = Words(self.table.column("__raw").to_pylist())
         ids = self.table.column("__id").to_pylist()
         self.id = np.array([LAST if x is None else x for x in ids], np.int64)
-        if len(t.ids) >= FAR:
+        if len(t.doc) >= FAR:
             raise ValueError("a single text has too many words")
-        names = t.names[t.ids]
+        names = t.names(_BASE, xxhash.xxh64_intdigest)
         at = np.arange(len(names))
         self.starts = at + width <= (t.starts + t.lens)[t.doc]
         self.spans = Spans(names)
@@ -150,24 +206,23 @@ class _Batch:
         # an anchor per stretch of windows, then per batch
         begin = self.starts.copy()
         begin[1:] &= (self.anchor[1:] != self.anchor[:-1]) | (t.doc[1:] != t.doc[:-1])
-        self.anchor_keys, least, most = _by_key(self.anchor[begin], self.id[t.doc[begin]], t.doc[begin])
-        self.anchor_many = least != most
+        self.stretch = np.cumsum(begin) - 1
+        self.anchor_keys, self.anchor_of, self.anchor_many = _by_key(self.anchor[begin], t.doc[begin])
 
     def windows(self, shared: np.ndarray) -> None:
         """Distinct windows whose anchor is shared, with the smallest document id among the batch's own."""
         at = np.flatnonzero(self.starts)
-        at = at[shared[np.searchsorted(self.anchor_keys, self.anchor[at])]] if len(self.anchor_keys) else at
-        self.at = at
-        again = Spans(self.tokens.second()[self.tokens.ids], _SECOND)
+        self.at = at = at[shared[self.anchor_of][self.stretch[at]]]
+        again = Spans(self.words.names(_SECOND, xxhash.xxh3_64_intdigest), _SECOND)
         self.keys, self.more, self.of = _distinct(self.spans(at, at + self.width - 1), again(at, at + self.width - 1))
         self.least = np.full(len(self.keys), LAST)
-        np.minimum.at(self.least, self.of, self.id[self.tokens.doc[at]])
+        np.minimum.at(self.least, self.of, self.id[self.words.doc[at]])
 
     def removed(self, smaller: np.ndarray) -> np.ndarray:
         """Words covered by a window that also starts in a smaller document."""
-        t = self.tokens
+        t = self.words
         gone = smaller[self.of] | (self.least[self.of] < self.id[t.doc[self.at]])
-        edge = np.zeros(len(t.ids) + 1, np.int64)
+        edge = np.zeros(len(t.doc) + 1, np.int64)
         np.add.at(edge, self.at[gone], 1)
         np.add.at(edge, self.at[gone] + self.width, -1)
         return np.cumsum(edge[:-1]) > 0
@@ -175,7 +230,9 @@ class _Batch:
 
 def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The distinct pairs, and the number of each row's pair."""
-    order = np.lexsort((b, a))
+    order = np.argsort(a)
+    if np.any((a[order[1:]] == a[order[:-1]]) & (b[order[1:]] != b[order[:-1]])):     # hardly ever
+        order = np.lexsort((b, a))
     a, b = a[order], b[order]
     new = np.ones(len(a), bool)
     new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
@@ -184,12 +241,13 @@ def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return a[new], b[new], of
 
 
-def _by_key(key: np.ndarray, _id: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _by_key(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys, the number of each row's key, and which keys occur in several documents."""
     distinct, of = np.unique(key, return_inverse=True)
     least, most = np.full(len(distinct), LAST), np.full(len(distinct), -1)
     np.minimum.at(least, of, doc)
     np.maximum.at(most, of, doc)
-    return distinct, least, most
+    return distinct, of, least != most
 
 
 def _rows(bid: int, keys: np.ndarray, more: np.ndarray, values: np.ndarray, n_buckets: int) -> pa.RecordBatch:
@@ -274,15 +332,10 @@ def _cut(n_buckets: int, width: int, schema: pa.Schema):
         for payload in left.column("payload").to_pylist():
             x = _Batch(payload, width)
             x.windows(_answered(x.anchor_keys, first, n_buckets))
-            t = x.tokens
+            t = x.words
             gone = x.removed(_answered(x.keys, second, n_buckets))
             n_gone = np.bincount(t.doc[gone], minlength=len(t.lens)).astype(np.int64)
-            kept = []
-            for raw, lo, n, g in zip(x.table.column("__raw"), t.starts.tolist(), t.lens.tolist(), n_gone.tolist()):
-                words = raw.as_py().split() if n else []
-                left_over = words if not g else [w for w, z in zip(words, gone[lo:lo + n].tolist()) if not z]
-                kept.append(b" ".join(left_over).decode("utf-8", "replace"))
-            found = {"__n_words": pa.array(t.lens), "__n_removed": pa.array(n_gone), "__kept": pa.array(kept, pa.string())}
+            found = {"__n_words": pa.array(t.lens), "__n_removed": pa.array(n_gone), "__kept": t.joined(~gone)}
             text = x.table.column("__raw").cast(pa.string())
             out.append(pa.table([found[f.name] if f.name in found else text if f.name == "text" else x.table.column(f.name)
                                  for f in schema], names=schema.names))

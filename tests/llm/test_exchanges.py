@@ -57,6 +57,31 @@ def test_cut_repeats_against_brute_force(spark, monkeypatch, batch):
     assert cut_repeats(empty(spark)).count() == 0
 
 
+def test_words_of_a_batch_without_a_step_per_word(monkeypatch):
+    rng, calls = random.Random(3), []
+    digest = substring.xxhash.xxh64_intdigest
+    monkeypatch.setattr(substring.xxhash, "xxh64_intdigest", lambda x: calls.append(x) or digest(x))
+    some = ["a", "b", "a\0", "\0", "\0\0", "é\x1c", "\x85\xa0", "x" * 8, "x" * 9, "x" * 16, "x" * 17, "x" * 63, "x" * 64,
+            "x" * 65, "x" * 65 + "y", "好" * 40, "\u2028x"]
+    raws = [None, b"", b" \t\n", b"a"] + [
+        "".join(rng.choice(some) + rng.choice([" ", "  ", "\n", "\t\x0b\x0c\r "]) for _ in range(rng.randint(0, 30))).encode()
+        for _ in range(40)] + [b"  last word"]
+    t, want = substring.Words(raws), [(x or b"").split() for x in raws]
+    flat = [w for ws in want for w in ws]
+    assert t.lens.tolist() == [len(ws) for ws in want] and t.doc.tolist() == [k for k, ws in enumerate(want) for _ in ws]
+    assert [t.buffer[a:b] for a, b in zip(t.first, t.end)] == flat
+    for odd in (substring._BASE, substring._SECOND):
+        names = t.names(odd, substring.xxhash.xxh64_intdigest).tolist()
+        assert len(set(zip(flat, names))) == len(set(flat)) == len(set(names))
+    assert calls and min(map(len, calls)) == 65
+    left = np.array([rng.random() < 0.6 for _ in flat])
+    at = iter(left.tolist())
+    assert t.joined(left).to_pylist() == [b" ".join([w for w in ws if next(at)]).decode() for ws in want]
+    for raws in ([], [None], [b"", b" "]):
+        t = substring.Words(raws)
+        assert not len(t.names(1, digest)) and t.joined(np.zeros(0, bool)).to_pylist() == [""] * len(raws)
+
+
 def test_symbols_agree_inside_a_repeat():
     rng = np.random.default_rng(1)
     inner = rng.integers(0, 4, 60).astype(np.uint64)
